@@ -1,0 +1,17 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows. Above the bound the frame
+    is returned as is and the planner (AQE, with runtime sizes) picks a
+    shuffled join instead.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
