@@ -121,7 +121,8 @@ _TIME_ORDER = ("occurred_at_ns, arrival_seq, kind, phase, node_id NULLS FIRST, "
 def _chain_cte(name: str, flag: str) -> str:
     return f"""
 {name} AS (
-  SELECT e.*, row_number() OVER w - 1 AS task_index, lag(e.task_name) OVER w AS upstream_task
+  SELECT e.*, gx.n_task_ok, row_number() OVER w - 1 AS task_index,
+    lag(e.task_name) OVER w AS upstream_task
   FROM ev e JOIN gx USING (workflow_id)
   WHERE gx.{flag} AND e.kind = 'task' AND e.phase = 3
   WINDOW w AS (PARTITION BY e.workflow_id ORDER BY {_TIME_ORDER}))"""
@@ -218,3 +219,207 @@ SELECT workflow_id, pipeline_name, pipeline_id, n_tasks FROM ph""",
 SELECT tc.workflow_id, pipeline_name, pipeline_id, n_tasks, task_index, task_name
 FROM tc JOIN ph ON tc.workflow_id = ph.workflow_id""",
 }
+
+
+# --- literals and datasets ------------------------------------------------------
+
+# The driver tables in TESTDATA.md order and their columns with the
+# Arrow-style type names Spark's parquet read gives (FIXTURES.md §4).
+TABLE_SCHEMAS = {
+    "region": [("r_regionkey", "int32"), ("r_name", "string")],
+    "nation": [("n_nationkey", "int32"), ("n_name", "string"), ("n_regionkey", "int32")],
+    "customer": [("c_custkey", "int64"), ("c_name", "string"), ("c_nationkey", "int32"),
+                 ("c_acctbal", "double"), ("c_mktsegment", "string")],
+    "supplier": [("s_suppkey", "int64"), ("s_name", "string"), ("s_nationkey", "int32"),
+                 ("s_acctbal", "double")],
+    "part": [("p_partkey", "int64"), ("p_name", "string"), ("p_brand", "string"),
+             ("p_type", "string"), ("p_size", "int32"), ("p_retailprice", "double")],
+    "orders": [("o_orderkey", "int64"), ("o_custkey", "int64"), ("o_orderstatus", "string"),
+               ("o_totalprice", "double"), ("o_orderdate", "timestamp[us]"),
+               ("o_orderpriority", "string")],
+    "lineitem": [("l_orderkey", "int64"), ("l_partkey", "int64"), ("l_suppkey", "int64"),
+                 ("l_linenumber", "int32"), ("l_quantity", "double"),
+                 ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
+                 ("l_returnflag", "string"), ("l_linestatus", "string"),
+                 ("l_shipdate", "timestamp[us]")],
+    "events": [("event_id", "int64"), ("ts", "timestamp[us]"), ("user_id", "int64"),
+               ("event_type", "string"), ("value", "double"), ("props", "string")],
+    "documents": [("doc_id", "int64"), ("text", "string"), ("lang", "string"),
+                  ("source", "string"), ("n_chars", "int64")],
+    "embeddings": [("vec_id", "int64"), ("embedding", "list<element: float>"),
+                   ("label", "int32")],
+    "pages": [("page_id", "int64"), ("url", "string"), ("html", "string")],
+    "benchmark": [("item_id", "int64"), ("text", "string")],
+    "labels": [("doc_id", "int64"), ("quality", "int32"), ("toxic", "int32")],
+    "conversations": [("conv_id", "int64"), ("turn", "int64"), ("role", "string"),
+                      ("text", "string")],
+}
+DERIVED_SCHEMAS = {
+    "events_props": [("event_id", "int64"), ("props", "struct<k: int64>")],
+    "orders_tz": [("o_orderkey", "int64"), ("o_orderdate", "timestamp[us, tz=UTC]")],
+}
+_WIDTHS = {"int8": 1, "int16": 2, "int32": 4, "int64": 8, "float": 4, "double": 8,
+           "date32[day]": 4, "timestamp[us]": 8, "duration[us]": 8}
+_TABLE_LIST = "[" + ", ".join(f"'{t}'" for t in TABLE_SCHEMAS) + "]"
+
+
+def _table_uri(idx: str) -> str:
+    return f"'dataset://' || {_TABLE_LIST}[({idx}) % 14 + 1]"
+
+
+LIT_CTE = f"""
+lb AS (
+  SELECT CAST(l_partkey AS BIGINT) AS part, CAST(l_suppkey AS BIGINT) AS supp,
+    's3://meta/o' || CAST(l_orderkey AS VARCHAR) || '/n' || CAST(l_linenumber - 1 AS VARCHAR)
+      AS node_dir
+  FROM lineitem),
+lit AS (
+  SELECT node_dir || '/outputs.pb' AS uri, 'o0' AS var, 'schema' AS kind,
+    {_table_uri('part')} AS schema_uri FROM lb WHERE part % 5 <> 0 AND part % 3 >= 1
+  UNION ALL SELECT node_dir || '/outputs.pb', 'o1', 'blob', CAST(NULL AS VARCHAR)
+    FROM lb WHERE part % 5 <> 0 AND part % 3 = 2
+  UNION ALL SELECT node_dir || '/outputs.pb', 'o2', 'schema', {_table_uri('part + 7')}
+    FROM lb WHERE part % 5 <> 0 AND part % 3 = 2
+  UNION ALL SELECT node_dir || '/outputs.pb', 'o3', 'collection', CAST(NULL AS VARCHAR)
+    FROM lb WHERE part % 5 <> 0 AND part % 3 = 2
+  UNION ALL SELECT node_dir || '/inputs.pb', 'i0', 'schema', {_table_uri('supp')}
+    FROM lb WHERE supp % 2 = 1),
+sl AS (
+  SELECT uri, schema_uri, row_number() OVER (PARTITION BY uri ORDER BY var, schema_uri NULLS FIRST) - 1 AS ordinal
+  FROM lit WHERE kind = 'schema')"""
+
+TD_CTE = f"""
+want AS (
+  SELECT workflow_id, task_index, task_name, task_version, occurred_at_ns, n_task_ok,
+    'o' AS direction, output_uri AS map_uri FROM tc WHERE output_uri IS NOT NULL
+  UNION ALL
+  SELECT workflow_id, task_index, task_name, task_version, occurred_at_ns, n_task_ok,
+    'i' AS direction, coalesce(input_uri, '') AS map_uri FROM tc WHERE task_index = 0),
+td AS (
+  SELECT w.workflow_id, w.task_index, w.task_name, w.direction, sl.ordinal,
+    w.task_name || '.' || w.direction || CAST(sl.ordinal AS VARCHAR) AS dataset_name,
+    sl.schema_uri, sl.schema_uri || '/00000' AS dataset_uri,
+    {_VERSION.replace('task_version', 'w.task_version')} AS version,
+    w.occurred_at_ns AS created_ns, w.n_task_ok,
+    CASE WHEN w.direction = 'i' THEN -1 ELSE w.task_index END AS slot
+  FROM want w JOIN sl ON w.map_uri = sl.uri)"""
+
+DS_BASE = BASE + "," + LIT_CTE + "," + TD_CTE
+
+
+def _nbytes_sql(table: str, cols: list[tuple[str, str]]) -> str:
+    parts = []
+    for name, typ in cols:
+        p = (f"(CASE WHEN count({name}) < count(*) THEN CAST(ceil(count(*) / 8.0) AS BIGINT) "
+             "ELSE 0 END)")
+        if typ == "bool":
+            p += " + CAST(ceil(count(*) / 8.0) AS BIGINT)"
+        elif typ in _WIDTHS:
+            p += f" + count(*) * {_WIDTHS[typ]}"
+        elif typ in ("string", "binary"):
+            p += f" + 4 * count(*) + coalesce(sum(strlen({name})), 0)"
+        elif typ.startswith("list<element: "):
+            w = _WIDTHS[typ[len("list<element: "):-1]]
+            p += f" + 4 * count(*) + {w} * coalesce(sum(len({name})), 0)"
+        parts.append(p)
+    return (f"SELECT '{table}' AS dataset, count(*) AS n_rows, {len(cols)} AS n_cols, "
+            f"CAST({' + '.join(parts)} AS BIGINT) AS nbytes FROM {table}")
+
+
+PROFILE_CTE = "prof AS (" + "\nUNION ALL ".join(
+    _nbytes_sql(t, cols) for t, cols in TABLE_SCHEMAS.items()) + ")"
+
+
+def _fields_values(schemas: dict) -> str:
+    rows = []
+    for ds, cols in schemas.items():
+        for pos, (name, typ) in enumerate(cols):
+            rows.append(f"('{ds}', {pos}, '{name}', '{typ}', TRUE)")
+    return ("fields(dataset, position, name, native_type, nullable) AS (VALUES "
+            + ", ".join(rows) + ")")
+
+
+# The reference's type table (28 keys) plus decimal(20,0) (widened uint64).
+_TYPE_MAP_ROWS = [
+    ("None", "Null"), ("null", "Null"), ("bool", "Boolean"),
+    ("int8", "Number"), ("int16", "Number"), ("int32", "Number"), ("int64", "Number"),
+    ("uint8", "Number"), ("uint16", "Number"), ("uint32", "Number"), ("uint64", "Number"),
+    ("halffloat", "Number"), ("float", "Number"), ("double", "Number"), ("string", "String"),
+    ("time32[s]", "Time"), ("time64[us]", "Time"), ("timestamp[s]", "Time"),
+    ("timestamp[ms]", "Time"), ("timestamp[us]", "Time"), ("timestamp[ns]", "Time"),
+    ("duration[s]", "Time"), ("duration[ms]", "Time"), ("duration[us]", "Time"),
+    ("duration[ns]", "Time"), ("date32[day]", "Date"), ("date64[ms]", "Date"),
+    ("binary", "Bytes"), ("decimal128(20, 0)", "Number"),
+]
+CONVERT_CTE = (_fields_values({**TABLE_SCHEMAS, **DERIVED_SCHEMAS}) + ",\n"
+               + "tmap(t, cls) AS (VALUES "
+               + ", ".join(f"('{a}', '{b}')" for a, b in _TYPE_MAP_ROWS) + "),\n" + """
+conv AS (
+  SELECT f.dataset, f.position, f.name AS field_path, f.native_type,
+    CASE WHEN starts_with(f.native_type, 'list') THEN 'Array'
+         WHEN starts_with(f.native_type, 'dictionary') THEN 'Map'
+         ELSE m.cls END AS type_class,
+    f.name AS description, FALSE AS recursive, f.nullable
+  FROM fields f LEFT JOIN tmap m ON f.native_type = m.t),
+dsok AS (
+  SELECT dataset, bool_and(type_class IS NOT NULL) AS ok,
+    count(*) FILTER (WHERE type_class IS NULL) AS n_bad_fields,
+    arg_min(field_path, position) FILTER (WHERE type_class IS NULL) AS first_bad
+  FROM conv GROUP BY dataset)""")
+
+SQL.update({
+    "dataset_literals": _with(LIT_CTE) + """
+SELECT uri, var, kind, schema_uri,
+  CASE WHEN kind = 'schema' THEN row_number() OVER (PARTITION BY uri, kind = 'schema'
+    ORDER BY var, schema_uri NULLS FIRST) - 1 END AS ordinal
+FROM lit""",
+
+    "datasets_per_map": _with(LIT_CTE) + """
+SELECT uri, count(*) AS n_literals, count(*) FILTER (WHERE kind = 'schema') AS n_datasets
+FROM lit GROUP BY uri""",
+
+    "dataset_names": DS_BASE + """
+SELECT workflow_id, task_index, direction, ordinal, dataset_name, dataset_uri FROM td""",
+
+    "task_outputs": DS_BASE + """
+SELECT workflow_id, task_index, task_name, ordinal, dataset_name FROM td WHERE direction = 'o'""",
+
+    "task_inputs": DS_BASE + """
+SELECT workflow_id, task_index, ordinal, dataset_name FROM td WHERE direction = 'i'
+UNION ALL
+SELECT workflow_id, task_index + 1 AS task_index, ordinal, dataset_name FROM td
+WHERE direction = 'o' AND task_index + 1 < n_task_ok""",
+
+    "run_datasets": DS_BASE + """
+SELECT workflow_id, slot, ordinal, dataset_name, dataset_uri FROM td""",
+
+    "dataset_profile": _with(PROFILE_CTE) + """
+SELECT dataset, n_rows, n_cols, nbytes FROM prof""",
+
+    "schema_fields": _with(CONVERT_CTE) + """
+SELECT c.* FROM conv c JOIN dsok d ON c.dataset = d.dataset WHERE d.ok""",
+
+    "schema_rejects": _with(CONVERT_CTE) + """
+SELECT dataset, n_bad_fields, first_bad,
+  'unable to convert field ''' || first_bad || '''' AS reason
+FROM dsok WHERE NOT ok""",
+
+    "schema_hash": DS_BASE + "," + _fields_values(TABLE_SCHEMAS) + """,
+ft AS (SELECT 'dataset://' || dataset AS uri, list_sort(list(native_type)) AS types
+       FROM fields GROUP BY dataset)
+SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name,
+  md5(td.dataset_name || array_to_string(ft.types, '')) AS schema_hash
+FROM td JOIN ft ON td.schema_uri = ft.uri""",
+
+    "schema_text": _with(_fields_values(TABLE_SCHEMAS)) + """
+SELECT dataset, string_agg(name || ': ' || native_type
+  || CASE WHEN nullable THEN '' ELSE ' not null' END, chr(10) ORDER BY position) AS schema_text
+FROM fields GROUP BY dataset""",
+
+    "dataset_metadata": DS_BASE + "," + PROFILE_CTE + """
+SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name, td.version, td.created_ns,
+  td.dataset_uri AS meta_uri,
+  '(' || CAST(p.n_rows AS VARCHAR) || ', ' || CAST(p.n_cols AS VARCHAR) || ')' AS meta_shape,
+  CAST(p.nbytes AS VARCHAR) AS meta_nbytes
+FROM td JOIN prof p ON td.schema_uri = 'dataset://' || p.dataset""",
+})

@@ -146,3 +146,132 @@ QUERIES: dict[str, Query] = {
     "pipeline_header": pipeline_header,
     "pipeline_tasks": pipeline_tasks,
 }
+
+
+# --- datasets ------------------------------------------------------------------
+
+from eventweave.operators import convert as cv  # noqa: E402
+from eventweave.operators import datasets as ds  # noqa: E402
+from eventweave.operators import profile as pf  # noqa: E402
+from eventweave.sources.tables import TABLES, read_table  # noqa: E402
+
+
+def _chain(spark, sf, o):
+    ev = _events(spark, sf)
+    return ch.task_chain(ev, gt.gate(ev, o), o)
+
+
+def _task_datasets(spark, sf, o):
+    return ds.task_datasets(_chain(spark, sf, o), adapter.literals(spark, sf), o)
+
+
+def dataset_literals(spark, sf, o: LineageOptions = DEFAULT):
+    return ds.literal_ordinals(adapter.literals(spark, sf))
+
+
+def datasets_per_map(spark, sf, o: LineageOptions = DEFAULT):
+    return ds.datasets_per_map(adapter.literals(spark, sf))
+
+
+def dataset_names(spark, sf, o: LineageOptions = DEFAULT):
+    return _task_datasets(spark, sf, o).select(
+        "workflow_id", "task_index", "direction", "ordinal", "dataset_name", "dataset_uri")
+
+
+def task_outputs(spark, sf, o: LineageOptions = DEFAULT):
+    return ds.task_outputs(_task_datasets(spark, sf, o))
+
+
+def task_inputs(spark, sf, o: LineageOptions = DEFAULT):
+    return ds.task_inputs(_task_datasets(spark, sf, o))
+
+
+def run_datasets(spark, sf, o: LineageOptions = DEFAULT):
+    return ds.run_datasets(_task_datasets(spark, sf, o)).select(
+        "workflow_id", "slot", "ordinal", "dataset_name", "dataset_uri")
+
+
+def table_frames(spark, sf) -> dict:
+    return {t: (read_table(spark, sf, t), adapter.DATASET_SCHEME + t) for t in TABLES}
+
+
+def derived_frames(spark, sf) -> dict:
+    """Datasets Spark derives from the tables, with types the tables lack."""
+    ev = read_table(spark, sf, "events", "event_id", "props")
+    od = read_table(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    return {
+        "events_props": (ev.select("event_id", F.from_json("props", "k bigint").alias("props")),
+                         None),
+        "orders_tz": (od.select("o_orderkey", c("o_orderdate").cast("timestamp")
+                                .alias("o_orderdate")), None),
+    }
+
+
+def _profiles(spark, sf):
+    return pf.profile_many(spark, table_frames(spark, sf))
+
+
+def dataset_profile(spark, sf, o: LineageOptions = DEFAULT):
+    return _profiles(spark, sf).select("dataset", "n_rows", "n_cols", "nbytes")
+
+
+def _fields(spark, sf):
+    tz = spark.conf.get("spark.sql.session.timeZone", "UTC")
+    frames = {**table_frames(spark, sf), **derived_frames(spark, sf)}
+    return cv.fields_frame(spark, {k: pf.schema_fields(df.schema, tz)
+                                   for k, (df, _) in frames.items()})
+
+
+def schema_fields(spark, sf, o: LineageOptions = DEFAULT):
+    conv = cv.CatalogSchemaConverter(spark, strict=o.strict_types).convert(_fields(spark, sf))
+    good, _ = cv.all_or_nothing(conv)
+    return good
+
+
+def schema_rejects(spark, sf, o: LineageOptions = DEFAULT):
+    conv = cv.CatalogSchemaConverter(spark, strict=o.strict_types).convert(_fields(spark, sf))
+    _, bad = cv.all_or_nothing(conv)
+    return bad
+
+
+def _instances(spark, sf, o):
+    """Dataset instances of built runs joined to their source profiles."""
+    inst = ds.run_datasets(_task_datasets(spark, sf, o))
+    prof = F.broadcast(_profiles(spark, sf))  # one row per source table: bounded
+    return inst.join(prof, inst.schema_uri == prof.uri).drop("uri")
+
+
+def schema_hash(spark, sf, o: LineageOptions = DEFAULT):
+    inst = _instances(spark, sf, o)
+    return inst.select("workflow_id", "slot", "ordinal", "dataset_name",
+                       pf.schema_hash(c("dataset_name"), c("fields")).alias("schema_hash"))
+
+
+def schema_text(spark, sf, o: LineageOptions = DEFAULT):
+    return _profiles(spark, sf).select("dataset", c("raw_schema").alias("schema_text"))
+
+
+def dataset_metadata(spark, sf, o: LineageOptions = DEFAULT):
+    """Custom properties of each dataset instance (uri, shape, nbytes)."""
+    inst = _instances(spark, sf, o)
+    return inst.select(
+        "workflow_id", "slot", "ordinal", "dataset_name", "version", "created_ns",
+        c("dataset_uri").alias("meta_uri"),
+        pf.shape_text(c("n_rows"), c("n_cols")).alias("meta_shape"),
+        c("nbytes").cast("string").alias("meta_nbytes"))
+
+
+QUERIES.update({
+    "dataset_literals": dataset_literals,
+    "datasets_per_map": datasets_per_map,
+    "dataset_names": dataset_names,
+    "task_outputs": task_outputs,
+    "task_inputs": task_inputs,
+    "run_datasets": run_datasets,
+    "dataset_profile": dataset_profile,
+    "schema_fields": schema_fields,
+    "schema_rejects": schema_rejects,
+    "schema_hash": schema_hash,
+    "schema_text": schema_text,
+    "dataset_metadata": dataset_metadata,
+})
