@@ -423,3 +423,92 @@ SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name, td.version, td.crea
   CAST(p.nbytes AS VARCHAR) AS meta_nbytes
 FROM td JOIN prof p ON td.schema_uri = 'dataset://' || p.dataset""",
 })
+
+
+# --- entities ----------------------------------------------------------------------
+
+_DS_URN = "'urn:li:dataset:(urn:li:dataPlatform:flyte,' || {} || ',DEV)'"
+_FLOW_URN = "'urn:li:dataFlow:(flyte,' || {} || ',DEV)'"
+_JOB_URN = "'urn:li:dataJob:(urn:li:dataFlow:(flyte,' || {} || ',DEV),' || {} || ')'"
+
+ENT_BASE = DS_BASE + "," + HEADER_CTE + "," + PROFILE_CTE + "," + _fields_values(TABLE_SCHEMAS) + """,
+ft AS (SELECT 'dataset://' || dataset AS uri, list_sort(list(native_type)) AS types,
+         count(*) AS n_fields FROM fields GROUP BY dataset),
+tin AS (
+  SELECT workflow_id, task_index, ordinal, dataset_name FROM td WHERE direction = 'i'
+  UNION ALL
+  SELECT workflow_id, task_index + 1, ordinal, dataset_name FROM td
+  WHERE direction = 'o' AND task_index + 1 < n_task_ok),
+tio AS (
+  SELECT t.workflow_id, t.task_index,
+    coalesce((SELECT string_agg(""" + _DS_URN.format("i.dataset_name") + """, ',' ORDER BY i.ordinal)
+              FROM tin i WHERE i.workflow_id = t.workflow_id AND i.task_index = t.task_index), '')
+      AS inputs,
+    coalesce((SELECT string_agg(""" + _DS_URN.format("x.dataset_name") + """, ',' ORDER BY x.ordinal)
+              FROM td x WHERE x.direction = 'o' AND x.workflow_id = t.workflow_id
+                AND x.task_index = t.task_index), '') AS outputs
+  FROM tc t),
+dent AS (
+  SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name,
+    """ + _DS_URN.format("td.dataset_name") + """ AS urn, 4 AS n_aspects,
+    'datasetProperties,status,ownership,schemaMetadata' AS aspect_names,
+    md5(td.dataset_name || array_to_string(ft.types, '')) AS schema_hash,
+    td.created_ns // 1000000 AS created_ms, CAST(ft.n_fields AS INTEGER) AS n_fields,
+    '(' || CAST(p.n_rows AS VARCHAR) || ', ' || CAST(p.n_cols AS VARCHAR) || ')' AS shape,
+    td.version
+  FROM td JOIN ft ON td.schema_uri = ft.uri JOIN prof p ON td.schema_uri = 'dataset://' || p.dataset),
+tent AS (
+  SELECT tc.workflow_id, tc.task_index, tc.task_name,
+    """ + _JOB_URN.format("ph.pipeline_name", "tc.task_name") + """ AS urn, 3 AS n_aspects,
+    'dataJobInfo,dataJobInputOutput,ownership' AS aspect_names,
+    coalesce(tc.log_uris[1], '') AS external_url, tio.inputs, tio.outputs,
+    CASE WHEN tc.upstream_task IS NULL THEN ''
+      ELSE """ + _JOB_URN.format("ph.pipeline_name", "tc.upstream_task") + """ END AS upstream
+  FROM tc JOIN ph ON tc.workflow_id = ph.workflow_id
+  JOIN tio ON tc.workflow_id = tio.workflow_id AND tc.task_index = tio.task_index),
+fent AS (
+  SELECT workflow_id, pipeline_name, """ + _FLOW_URN.format("pipeline_name") + """ AS urn,
+    3 AS n_aspects, 'dataFlowInfo,ownership,globalTags' AS aspect_names FROM ph)"""
+
+_MCE = """
+SELECT workflow_id, 0 AS grp, slot, ordinal AS item, 'dataset' AS entity_type, urn,
+  n_aspects FROM dent
+UNION ALL SELECT workflow_id, 1, CAST(0 AS BIGINT), CAST(0 AS BIGINT), 'dataFlow', urn, n_aspects
+  FROM fent
+UNION ALL SELECT workflow_id, 2, task_index, CAST(0 AS BIGINT), 'dataJob', urn, n_aspects
+  FROM tent"""
+
+SQL.update({
+    "dataset_entities": ENT_BASE + "\nSELECT * FROM dent",
+    "task_entities": ENT_BASE + "\nSELECT * FROM tent",
+    "flow_entities": ENT_BASE + "\nSELECT * FROM fent",
+    "mce_stream": ENT_BASE + _MCE,
+    "mce_datasets_only": ENT_BASE + """
+SELECT workflow_id, 0 AS grp, slot, ordinal AS item, 'dataset' AS entity_type, urn, n_aspects
+FROM dent""",
+    "mce_single_task": ENT_BASE + """
+SELECT workflow_id, task_name, urn, n_aspects FROM tent WHERE task_index = 0""",
+    "lineage_edges": ENT_BASE + """,
+edges AS (
+  SELECT t.workflow_id, """ + _DS_URN.format("i.dataset_name") + """ AS src_urn, t.urn AS dst_urn,
+    'dataset_to_task' AS edge_type
+  FROM tent t JOIN tin i ON t.workflow_id = i.workflow_id AND t.task_index = i.task_index
+  UNION ALL
+  SELECT t.workflow_id, t.urn, """ + _DS_URN.format("x.dataset_name") + """, 'task_to_dataset'
+  FROM tent t JOIN td x ON x.direction = 'o' AND t.workflow_id = x.workflow_id
+    AND t.task_index = x.task_index
+  UNION ALL
+  SELECT workflow_id, upstream, urn, 'task_to_task' FROM tent WHERE upstream <> '')
+SELECT * FROM edges""",
+    "urns": ENT_BASE + """
+SELECT workflow_id, 'dataset' AS entity_type, dataset_name AS name,
+  """ + _DS_URN.format("dataset_name") + """ AS urn FROM td
+UNION ALL SELECT workflow_id, 'dataFlow', pipeline_name, """ + _FLOW_URN.format("pipeline_name") + """
+  FROM ph
+UNION ALL SELECT tc.workflow_id, 'dataJob', tc.task_name,
+  """ + _JOB_URN.format("ph.pipeline_name", "tc.task_name") + """
+  FROM tc JOIN ph ON tc.workflow_id = ph.workflow_id""",
+    "audit_stamps": DS_BASE + """
+SELECT workflow_id, task_index, direction, ordinal, created_ns,
+  created_ns // 1000000 AS time_ms, 'urn:li:corpuser:flyte_executor' AS actor FROM td""",
+})

@@ -275,3 +275,102 @@ QUERIES.update({
     "schema_text": schema_text,
     "dataset_metadata": dataset_metadata,
 })
+
+
+# --- entities, change events, edges ------------------------------------------------
+
+from dataclasses import replace  # noqa: E402
+
+from eventweave.plans import lineage as ln  # noqa: E402
+
+
+def _lineage(spark, sf, o):
+    return ln.build(spark, _events(spark, sf), adapter.literals(spark, sf),
+                    _profiles(spark, sf), o)
+
+
+def _names(col):
+    return F.array_join(F.transform(col, lambda a: a["aspect"]), ",")
+
+
+def dataset_entities(spark, sf, o: LineageOptions = DEFAULT):
+    d = _lineage(spark, sf, o).dataset_entities
+    return d.select("workflow_id", "slot", "ordinal", "dataset_name", "urn",
+                    F.size("aspects").alias("n_aspects"), _names(c("aspects")).alias("aspect_names"),
+                    "schema_hash", "created_ms", "n_fields", "shape", "version")
+
+
+def task_entities(spark, sf, o: LineageOptions = DEFAULT):
+    t = _lineage(spark, sf, o).task_entities
+    return t.select("workflow_id", "task_index", "task_name", "urn",
+                    F.size("aspects").alias("n_aspects"), _names(c("aspects")).alias("aspect_names"),
+                    "external_url",
+                    F.array_join("input_urns", ",").alias("inputs"),
+                    F.array_join("output_urns", ",").alias("outputs"),
+                    F.coalesce(F.array_join("upstream_urns", ","), F.lit("")).alias("upstream"))
+
+
+def flow_entities(spark, sf, o: LineageOptions = DEFAULT):
+    f = _lineage(spark, sf, o).flow_entities
+    return f.select("workflow_id", "pipeline_name", "urn", F.size("aspects").alias("n_aspects"),
+                    _names(c("aspects")).alias("aspect_names"))
+
+
+def _mce_flat(m):
+    return m.select("workflow_id", "grp", "slot", "item", "entity_type", "urn",
+                    F.size("aspects").alias("n_aspects"))
+
+
+def mce_stream(spark, sf, o: LineageOptions = DEFAULT):
+    return _mce_flat(_lineage(spark, sf, o).mce)
+
+
+def mce_datasets_only(spark, sf, o: LineageOptions = DEFAULT):
+    return _mce_flat(_lineage(spark, sf, replace(o, datasets_only=True)).mce)
+
+
+def mce_single_task(spark, sf, o: LineageOptions = DEFAULT):
+    """The change event of one chosen task (the first task of each pipeline)."""
+    t = _lineage(spark, sf, o).task_entities.filter(c("task_index") == 0)
+    return t.select("workflow_id", "task_name", "urn", F.size("aspects").alias("n_aspects"))
+
+
+def lineage_edges(spark, sf, o: LineageOptions = DEFAULT):
+    return _lineage(spark, sf, o).edges
+
+
+def urns(spark, sf, o: LineageOptions = DEFAULT):
+    """URNs of every dataset instance, pipeline and task."""
+    from eventweave.functions.columns import dataset_urn, flow_urn, job_urn
+    lf = _lineage(spark, sf, o)
+    d = lf.datasets.select("workflow_id", F.lit("dataset").alias("entity_type"),
+                           c("dataset_name").alias("name"),
+                           dataset_urn(c("dataset_name"), o).alias("urn"))
+    f = lf.header.select("workflow_id", F.lit("dataFlow").alias("entity_type"),
+                         c("pipeline_name").alias("name"), flow_urn(c("pipeline_name"), o).alias("urn"))
+    t = lf.chain.join(lf.header, "workflow_id").select(
+        "workflow_id", F.lit("dataJob").alias("entity_type"), c("task_name").alias("name"),
+        job_urn(c("pipeline_name"), c("task_name"), o).alias("urn"))
+    return d.unionByName(f).unionByName(t)
+
+
+def audit_stamps(spark, sf, o: LineageOptions = DEFAULT):
+    """Created audit stamp of each dataset instance."""
+    from eventweave.operators.entities import audit_stamp
+    d = _task_datasets(spark, sf, o)
+    st = audit_stamp(c("created_ns"), o)
+    return d.select("workflow_id", "task_index", "direction", "ordinal", "created_ns",
+                    st["time"].alias("time_ms"), st["actor"].alias("actor"))
+
+
+QUERIES.update({
+    "dataset_entities": dataset_entities,
+    "task_entities": task_entities,
+    "flow_entities": flow_entities,
+    "mce_stream": mce_stream,
+    "mce_datasets_only": mce_datasets_only,
+    "mce_single_task": mce_single_task,
+    "lineage_edges": lineage_edges,
+    "urns": urns,
+    "audit_stamps": audit_stamps,
+})
