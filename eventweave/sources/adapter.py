@@ -4,21 +4,19 @@ The driver's tables hold no execution events, so an order becomes a workflow
 run and a line item becomes a task on a node. The DuckDB oracle builds the
 same rows with the same expressions (``eventweave.plans.oracle``).
 
-Plan shape: one scan of ``orders`` joined to ``customer`` (shuffle or AQE
-broadcast by runtime size) and to the fixed-size ``nation``/``region`` pair
-(broadcast behind a row check); one scan of ``lineitem`` joined to the runs
-on the order key. Each input row fans out into its events with a single
+Plan shape: one scan of ``orders`` joined to ``customer`` (the planner picks
+broadcast or shuffle from size statistics, AQE re-checks at run time) and to
+the fixed-size ``nation``/``region`` pair; one scan of ``lineitem`` joined to
+the runs on the order key. Each input row fans out into its events with a single
 ``inline(filter(array(struct...)))`` so no table is scanned twice for the
 different event kinds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from eventweave.operators.joins import bounded_broadcast
-from eventweave.schemas import EXEC_EVENT_COLUMNS, EXEC_EVENTS
+from eventweave.schemas import EXEC_EVENT_COLUMNS
 from eventweave.sources.tables import TABLES, read_table
 
 # Fixed values of the adapter (FIXTURES.md §3).
@@ -31,129 +29,105 @@ LOG_ROOT = "https://logs.example/"
 DATASET_SCHEME = "dataset://"
 
 
-
-def _null_str() -> Column:
-    return F.lit(None).cast("string")
-
-
-def _ns(ts_col: str) -> Column:
-    # timestamp_ntz -> epoch nanoseconds (session zone is UTC)
-    return F.unix_micros(F.col(ts_col).cast("timestamp")) * F.lit(1000)
-
-
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: the run's identity and start time."""
+    """One row per order: the run's identity and start time.
+
+    ``nation``/``region`` are fixed-size dimensions; no hint is given, the
+    planner broadcasts them from their file-size statistics (and would
+    shuffle-join them if they were above the broadcast threshold).
+    """
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
-    # nation x region is a fixed 25-row dimension; broadcast it behind a check.
-    geo = bounded_broadcast(
-        nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-        .select("n_nationkey", F.lower("r_name").alias("project")),
-        max_rows=10_000,
-    )
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
                         "o_orderdate")
-    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey).select(
-        "c_custkey", "project", F.lower("c_mktsegment").alias("domain"))
-    return (
-        orders.join(cust, orders.o_custkey == cust.c_custkey)
-        .select(
-            F.col("o_orderkey").alias("k"),
-            "project",
-            "domain",
-            F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("exec_name"),
-            F.col("o_orderstatus").alias("status"),
-            _ns("o_orderdate").alias("t0"),
-        )
-        .withColumn("workflow_id", F.concat_ws("-", "project", "domain", "exec_name"))
-    )
-
-
-def _event(keep, kind, phase, ns, seq, node_id=None, wf_uri=None, task=None) -> Column:
-    t = task or {}
-    null = _null_str()
-    return F.struct(
-        keep.alias("keep"),
-        F.lit(kind).alias("kind"),
-        F.lit(phase).cast("int").alias("phase"),
-        ns.cast("bigint").alias("occurred_at_ns"),
-        (F.lit(seq) if isinstance(seq, int) else seq).cast("bigint").alias("arrival_seq"),
-        (F.lit(node_id) if isinstance(node_id, str) else
-         (node_id if node_id is not None else null)).alias("node_id"),
-        (wf_uri if wf_uri is not None else null).alias("wf_output_uri"),
-        t.get("task_name", null).alias("task_name"),
-        t.get("task_version", null).alias("task_version"),
-        t.get("task_project", null).alias("task_project"),
-        t.get("task_domain", null).alias("task_domain"),
-        t.get("generated_name", null).alias("generated_name"),
-        t.get("input_uri", null).alias("input_uri"),
-        t.get("output_uri", null).alias("output_uri"),
-        t.get("log_uris", F.lit(None).cast("array<string>")).alias("log_uris"),
-    )
-
-
-def _fan_out(df: DataFrame, run_cols: list[str], events: list[Column]) -> DataFrame:
-    arr = F.filter(F.array(*events), lambda e: e.getField("keep"))
-    return df.select(*run_cols, F.inline(arr)).drop("keep")
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "n_nationkey", "lower(r_name) AS project")
+    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey).selectExpr(
+        "c_custkey", "project", "lower(c_mktsegment) AS domain")
+    return orders.join(cust, orders.o_custkey == cust.c_custkey).selectExpr(
+        "o_orderkey AS k", "project", "domain",
+        "concat('o', CAST(o_orderkey AS STRING)) AS exec_name",
+        "o_orderstatus AS status",
+        f"{_NS.format('o_orderdate')} AS t0",
+    ).selectExpr("k", "project", "domain", "exec_name", "status", "t0",
+                 "concat_ws('-', project, domain, exec_name) AS workflow_id")
+
+
+# timestamp_ntz -> epoch nanoseconds (session zone is UTC)
+_NS = "unix_micros(CAST({} AS TIMESTAMP)) * 1000"
+_TASK_FIELDS = ("task_name", "task_version", "task_project", "task_domain", "generated_name",
+                "input_uri", "output_uri")
+
+
+def _event(keep: str, kind: str, phase: int, ns: str, seq: str, node_id: str = "NULL",
+           wf_uri: str = "NULL", task: bool = False) -> str:
+    """SQL text of one event struct (field order = EXEC_EVENTS after the run columns)."""
+    if task:
+        tf = ", ".join(f"{f} AS {f}" for f in _TASK_FIELDS) + ", log_uris AS log_uris"
+    else:
+        tf = ", ".join(f"CAST(NULL AS STRING) AS {f}" for f in _TASK_FIELDS) \
+            + ", CAST(NULL AS ARRAY<STRING>) AS log_uris"
+    return (f"named_struct('keep', {keep}, 'kind', '{kind}', 'phase', CAST({phase} AS INT), "
+            f"'occurred_at_ns', CAST({ns} AS BIGINT), 'arrival_seq', CAST({seq} AS BIGINT), "
+            f"'node_id', CAST({node_id} AS STRING), 'wf_output_uri', CAST({wf_uri} AS STRING), "
+            + ", ".join(f"'{f}', {f}" if task else f"'{f}', CAST(NULL AS STRING)"
+                        for f in _TASK_FIELDS)
+            + (", 'log_uris', log_uris)" if task else ", 'log_uris', CAST(NULL AS ARRAY<STRING>))"))
+
+
+def _fan_out(df: DataFrame, run_cols: list[str], events: list[str]) -> DataFrame:
+    arr = f"inline(filter(array({', '.join(events)}), e -> e.keep))"
+    return df.selectExpr(*run_cols, arr).drop("keep")
 
 
 def exec_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All execution events of all runs (schema ``EXEC_EVENTS``)."""
     wf = runs(spark, sf_dir)
     run_cols = ["project", "domain", "exec_name", "workflow_id"]
-
-    end_uri = F.concat(F.lit(URI_ROOT), F.col("exec_name"), F.lit("/end-node/data/outputs.pb"))
-    k = F.col("k")
-    t0 = F.col("t0")
+    end_uri = f"concat('{URI_ROOT}', exec_name, '/end-node/data/outputs.pb')"
     run_events = _fan_out(wf, run_cols, [
-        _event(F.lit(True), "workflow", 2, t0, 0),
-        _event(F.col("status").isin("F", "P"), "workflow", 4, t0 + F.lit(RUN_SPAN_NS),
-               SEQ_SUCCEEDED, wf_uri=F.when(k % 17 == 0, F.lit("")).otherwise(end_uri)),
-        _event((F.col("status") == "F") & (k % 13 == 0), "workflow", 3,
-               t0 + F.lit(RUN_SPAN_NS - 1), SEQ_SUCCEEDING, wf_uri=end_uri),
-        _event(F.lit(True), "node", 3, t0, 1, node_id="start-node"),
-        _event(F.lit(True), "node", 3, t0 + F.lit(RUN_SPAN_NS - 2), SEQ_END_NODE,
-               node_id="end-node"),
+        _event("TRUE", "workflow", 2, "t0", "0"),
+        _event("status IN ('F', 'P')", "workflow", 4, f"t0 + {RUN_SPAN_NS}", str(SEQ_SUCCEEDED),
+               wf_uri=f"CASE WHEN k % 17 = 0 THEN '' ELSE {end_uri} END"),
+        _event("status = 'F' AND k % 13 = 0", "workflow", 3, f"t0 + {RUN_SPAN_NS - 1}",
+               str(SEQ_SUCCEEDING), wf_uri=end_uri),
+        _event("TRUE", "node", 3, "t0", "1", node_id="'start-node'"),
+        _event("TRUE", "node", 3, f"t0 + {RUN_SPAN_NS - 2}", str(SEQ_END_NODE),
+               node_id="'end-node'"),
     ])
 
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                     "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
-    lw = li.join(wf.select("k", *run_cols), li.l_orderkey == wf.k)
-    line = F.col("l_linenumber").cast("bigint")
-    part = F.col("l_partkey").cast("bigint")
-    supp = F.col("l_suppkey").cast("bigint")
-    base = _ns("l_shipdate") + line * F.lit(10 ** 9)
-    seq = line * F.lit(10 ** 11) + part * F.lit(10 ** 5) + supp * F.lit(10)
-    node_id = F.concat(F.lit("n"), (line - 1).cast("string"))
-    supp_s = supp.cast("string")
-    node_dir = F.concat(F.lit(URI_ROOT), F.col("exec_name"), F.lit("/"), node_id)
-    task = {
-        "task_name": F.concat(F.lit("seg"), (supp % 5).cast("string"), F.lit(".etl.part"),
-                              part.cast("string")),
-        "task_version": (F.when(supp % 4 == 0, supp_s)
-                         .when(supp % 4 == 1, F.concat(F.lit("v"), supp_s))
-                         .when(supp % 4 == 2, F.concat(F.lit(" "), supp_s))
-                         .otherwise(F.lit(""))),
-        "task_project": F.col("project"),
-        "task_domain": F.col("domain"),
-        "generated_name": F.concat(F.col("exec_name"), F.lit("-"), node_id, F.lit("-0")),
-        "input_uri": F.concat(node_dir, F.lit("/inputs.pb")),
-        "output_uri": F.when(part % 5 == 0, _null_str())
-                       .otherwise(F.concat(node_dir, F.lit("/outputs.pb"))),
-        "log_uris": F.when(supp % 3 == 0, F.array().cast("array<string>"))
-                     .otherwise(F.array(F.concat(F.lit(LOG_ROOT), F.col("exec_name"),
-                                                 F.lit("/"), node_id))),
-    }
-    task_ok = ~((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 49))
+    lw = li.join(wf.select("k", *run_cols), li.l_orderkey == wf.k).selectExpr(
+        *run_cols,
+        "CAST(l_linenumber AS BIGINT) AS line", "CAST(l_partkey AS BIGINT) AS part",
+        "CAST(l_suppkey AS BIGINT) AS supp",
+        f"{_NS.format('l_shipdate')} + CAST(l_linenumber AS BIGINT) * 1000000000 AS base",
+        "CAST(l_linenumber AS BIGINT) * 100000000000 + CAST(l_partkey AS BIGINT) * 100000"
+        " + CAST(l_suppkey AS BIGINT) * 10 AS seq",
+        "concat('n', CAST(CAST(l_linenumber AS BIGINT) - 1 AS STRING)) AS node_id",
+        "NOT (l_returnflag = 'R' AND l_quantity >= 49) AS task_ok",
+    ).selectExpr(
+        *run_cols, "base", "seq", "node_id", "task_ok",
+        "concat('seg', CAST(supp % 5 AS STRING), '.etl.part', CAST(part AS STRING)) AS task_name",
+        "CASE supp % 4 WHEN 0 THEN CAST(supp AS STRING) WHEN 1 THEN concat('v', CAST(supp AS STRING))"
+        " WHEN 2 THEN concat(' ', CAST(supp AS STRING)) ELSE '' END AS task_version",
+        "project AS task_project", "domain AS task_domain",
+        "concat(exec_name, '-', node_id, '-0') AS generated_name",
+        f"concat('{URI_ROOT}', exec_name, '/', node_id, '/inputs.pb') AS input_uri",
+        f"CASE WHEN part % 5 = 0 THEN NULL ELSE concat('{URI_ROOT}', exec_name, '/', node_id,"
+        " '/outputs.pb') END AS output_uri",
+        f"CASE WHEN supp % 3 = 0 THEN CAST(array() AS ARRAY<STRING>) ELSE array(concat("
+        f"'{LOG_ROOT}', exec_name, '/', node_id)) END AS log_uris",
+    )
     line_events = _fan_out(lw, run_cols, [
-        _event(F.lit(True), "task", 2, base, seq, task=task),
-        _event(F.lit(True), "node", 2, base + 1, seq + 1, node_id=node_id),
-        _event(task_ok, "task", 3, base + 2, seq + 2, task=task),
-        _event(F.lit(True), "node", 3, base + 3, seq + 3, node_id=node_id),
+        _event("TRUE", "task", 2, "base", "seq", task=True),
+        _event("TRUE", "node", 2, "base + 1", "seq + 1", node_id="node_id"),
+        _event("task_ok", "task", 3, "base + 2", "seq + 2", task=True),
+        _event("TRUE", "node", 3, "base + 3", "seq + 3", node_id="node_id"),
     ])
-    out = run_events.unionByName(line_events)
-    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EXEC_EVENTS.fields])
+    return run_events.unionByName(line_events).select(*EXEC_EVENT_COLUMNS)
 
 
 def literals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,27 +139,27 @@ def literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                     "l_linenumber")
-    part = F.col("l_partkey").cast("bigint")
-    supp = F.col("l_suppkey").cast("bigint")
-    node_dir = F.concat(F.lit(URI_ROOT), F.lit("o"), F.col("l_orderkey").cast("string"),
-                        F.lit("/n"), (F.col("l_linenumber") - 1).cast("string"))
-    names = F.array(*[F.lit(t) for t in TABLES])
-
-    def table_uri(idx: Column) -> Column:
-        return F.concat(F.lit(DATASET_SCHEME), F.element_at(names, (idx % len(TABLES)).cast("int") + 1))
-
-    def lit_row(keep, uri, var, kind, schema_uri):
-        return F.struct(keep.alias("keep"), uri.alias("uri"), F.lit(var).alias("var"),
-                        F.lit(kind).alias("kind"), schema_uri.alias("schema_uri"))
-
-    out_uri = F.concat(node_dir, F.lit("/outputs.pb"))
-    in_uri = F.concat(node_dir, F.lit("/inputs.pb"))
-    has_out = part % 5 != 0
-    rows = F.array(
-        lit_row(has_out & (part % 3 >= 1), out_uri, "o0", "schema", table_uri(part)),
-        lit_row(has_out & (part % 3 == 2), out_uri, "o1", "blob", _null_str()),
-        lit_row(has_out & (part % 3 == 2), out_uri, "o2", "schema", table_uri(part + 7)),
-        lit_row(has_out & (part % 3 == 2), out_uri, "o3", "collection", _null_str()),
-        lit_row(supp % 2 == 1, in_uri, "i0", "schema", table_uri(supp)),
-    )
-    return li.select(F.inline(F.filter(rows, lambda r: r.getField("keep")))).drop("keep")
+    names = "array(" + ", ".join(f"'{t}'" for t in TABLES) + ")"
+
+    def table_uri(idx: str) -> str:
+        return f"concat('{DATASET_SCHEME}', element_at({names}, CAST(({idx}) % {len(TABLES)} AS INT) + 1))"
+
+    def row(keep, uri, var, kind, schema_uri="CAST(NULL AS STRING)"):
+        return (f"named_struct('keep', {keep}, 'uri', {uri}, 'var', '{var}', 'kind', '{kind}', "
+                f"'schema_uri', {schema_uri})")
+
+    out_uri = "concat(node_dir, '/outputs.pb')"
+    in_uri = "concat(node_dir, '/inputs.pb')"
+    has_out = "part % 5 <> 0"
+    rows = ", ".join([
+        row(f"{has_out} AND part % 3 >= 1", out_uri, "o0", "schema", table_uri("part")),
+        row(f"{has_out} AND part % 3 = 2", out_uri, "o1", "blob"),
+        row(f"{has_out} AND part % 3 = 2", out_uri, "o2", "schema", table_uri("part + 7")),
+        row(f"{has_out} AND part % 3 = 2", out_uri, "o3", "collection"),
+        row("supp % 2 = 1", in_uri, "i0", "schema", table_uri("supp")),
+    ])
+    return li.selectExpr(
+        "CAST(l_partkey AS BIGINT) AS part", "CAST(l_suppkey AS BIGINT) AS supp",
+        f"concat('{URI_ROOT}o', CAST(l_orderkey AS STRING), '/n', CAST(l_linenumber - 1 AS STRING))"
+        " AS node_dir",
+    ).selectExpr(f"inline(filter(array({rows}), r -> r.keep))").drop("keep")

@@ -17,7 +17,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_SCANS: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Scan one table; naming columns prunes the parquet read to them."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """Scan one table; naming columns prunes the parquet read to them.
+
+    The unresolved scan is kept per session and path, so building many plans
+    over the same table lists its files and reads its footer schema once.
+    """
+    key = (id(spark._jsparkSession), table_path(sf_dir, name))
+    df = _SCANS.get(key)
+    if df is None:
+        df = _SCANS[key] = spark.read.parquet(key[1])
     return df.select(*columns) if columns else df
