@@ -83,8 +83,9 @@ WF_OK = ("(kind = 'workflow' AND phase IN (3, 4) "
          "AND contains(coalesce(wf_output_uri, ''), 'end-node'))")
 CANON = "regexp_matches(node_id, '^n(0|[1-9][0-9]{0,17})$')"
 
-GATE_CTE = f"""
-g AS (
+def gate_cte(src: str = "ev", p: str = "") -> str:
+    return f"""
+{p}g AS (
   SELECT workflow_id, count(*) AS n_events,
     count(*) FILTER (WHERE {WF_OK}) AS n_wf_success,
     count(*) FILTER (WHERE {TASK_OK}) AS n_task_ok,
@@ -92,8 +93,8 @@ g AS (
     count(DISTINCT node_id) FILTER (WHERE {NODE_OK} AND {CANON}) AS n_node_canon,
     max(CASE WHEN {CANON} THEN TRY_CAST(substr(node_id, 2) AS BIGINT) END)
       FILTER (WHERE {NODE_OK}) AS max_node_idx
-  FROM ev GROUP BY workflow_id),
-gv AS (
+  FROM {src} GROUP BY workflow_id),
+{p}gv AS (
   SELECT *, n_wf_success = 1 AS is_successful, n_task_ok = n_node_ok AS parity,
     (n_wf_success = 1 AND n_task_ok = n_node_ok) AS complete,
     CASE WHEN n_wf_success = 0 THEN 'no_success_event'
@@ -102,29 +103,32 @@ gv AS (
          WHEN n_events <= 7 THEN 'too_few_events'
          ELSE 'complete' END AS reason,
     (n_wf_success = 1 AND n_task_ok = n_node_ok AND n_events > 7) AS accepted
-  FROM g),
-gb AS (
+  FROM {p}g),
+{p}gb AS (
   SELECT *,
     CASE WHEN NOT accepted THEN NULL
          WHEN n_task_ok = 0 THEN 'no_tasks'
          WHEN NOT (n_node_canon = n_task_ok AND coalesce(max_node_idx, -1) = n_task_ok - 1)
            THEN 'missing_node'
          ELSE 'ok' END AS build
-  FROM gv),
-gx AS (SELECT *, coalesce(build = 'ok', FALSE) AS built FROM gb)"""
+  FROM {p}gv),
+{p}gx AS (SELECT *, coalesce(build = 'ok', FALSE) AS built FROM {p}gb)"""
+
+
+GATE_CTE = gate_cte()
 
 _TIME_ORDER = ("occurred_at_ns, arrival_seq, kind, phase, node_id NULLS FIRST, "
                "task_name NULLS FIRST, generated_name NULLS FIRST, wf_output_uri NULLS FIRST, "
                "task_version NULLS FIRST, input_uri NULLS FIRST, output_uri NULLS FIRST")
 
 
-def _chain_cte(name: str, flag: str) -> str:
+def _chain_cte(name: str, flag: str, src: str = "ev", gx: str = "gx") -> str:
     return f"""
 {name} AS (
-  SELECT e.*, gx.n_task_ok, row_number() OVER w - 1 AS task_index,
+  SELECT e.*, {gx}.n_task_ok, row_number() OVER w - 1 AS task_index,
     lag(e.task_name) OVER w AS upstream_task
-  FROM ev e JOIN gx USING (workflow_id)
-  WHERE gx.{flag} AND e.kind = 'task' AND e.phase = 3
+  FROM {src} e JOIN {gx} USING (workflow_id)
+  WHERE {gx}.{flag} AND e.kind = 'task' AND e.phase = 3
   WINDOW w AS (PARTITION BY e.workflow_id ORDER BY {_TIME_ORDER}))"""
 
 
@@ -512,3 +516,40 @@ UNION ALL SELECT tc.workflow_id, 'dataJob', tc.task_name,
 SELECT workflow_id, task_index, direction, ordinal, created_ns,
   created_ns // 1000000 AS time_ms, 'urn:li:corpuser:flyte_executor' AS actor FROM td""",
 })
+
+
+# --- prefix replay (first epoch) ------------------------------------------------------
+
+_ARRIVAL_ORDER = ("arrival_seq, kind, phase, occurred_at_ns, node_id NULLS FIRST, "
+                  "task_name NULLS FIRST, generated_name NULLS FIRST, wf_output_uri NULLS FIRST, "
+                  "task_version NULLS FIRST, input_uri NULLS FIRST, output_uri NULLS FIRST")
+
+PREFIX_CTE = f"""
+fs AS (
+  SELECT *, CASE WHEN {NODE_OK} AND row_number() OVER (PARTITION BY workflow_id, node_id, {NODE_OK}
+    ORDER BY {_ARRIVAL_ORDER}) = 1 THEN 1 ELSE 0 END AS first_seen
+  FROM ev),
+sc AS (
+  SELECT *, row_number() OVER wa - 1 AS arrival_pos,
+    sum(CASE WHEN {WF_OK} THEN 1 ELSE 0 END) OVER wr AS c_wf,
+    sum(CASE WHEN {TASK_OK} THEN 1 ELSE 0 END) OVER wr AS c_task,
+    sum(first_seen) OVER wr AS c_node
+  FROM fs
+  WINDOW wa AS (PARTITION BY workflow_id ORDER BY {_ARRIVAL_ORDER}),
+         wr AS (PARTITION BY workflow_id ORDER BY {_ARRIVAL_ORDER}
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cut AS (
+  SELECT workflow_id, min(arrival_pos) AS cut_pos, arg_min(arrival_seq, arrival_pos) AS cut_seq
+  FROM sc WHERE c_wf = 1 AND c_task = c_node GROUP BY workflow_id),
+pe AS (SELECT sc.* FROM sc JOIN cut USING (workflow_id) WHERE sc.arrival_pos <= cut.cut_pos)"""
+
+PREFIX_BASE = _with(EVENTS_CTE, PREFIX_CTE, gate_cte("pe", "p"), _chain_cte("ptc", "built", "pe", "pgx"))
+
+SQL.update({
+    "prefix_replay": PREFIX_BASE + """
+SELECT cut.workflow_id, cut.cut_seq, cut.cut_pos + 1 AS n_emitted,
+  cut.cut_pos + 1 > 7 AS accepted, coalesce(pgx.build, '') AS build, pgx.n_task_ok AS n_tasks
+FROM cut JOIN pgx ON cut.workflow_id = pgx.workflow_id""",
+    "prefix_tasks": PREFIX_BASE + """
+SELECT workflow_id, task_index, task_name, upstream_task FROM ptc""",
+})

@@ -374,3 +374,38 @@ QUERIES.update({
     "urns": urns,
     "audit_stamps": audit_stamps,
 })
+
+
+# --- prefix replay ---------------------------------------------------------------------
+
+from eventweave.operators import replay as rp  # noqa: E402
+
+
+def prefix_replay(spark, sf, o: LineageOptions = DEFAULT):
+    """First completion of each run in arrival order, and what it builds."""
+    emitted, cuts = rp.prefix_events(_events(spark, sf), o)
+    v = gt.gate(emitted, o)
+    return cuts.join(v.select("workflow_id", "build", "n_task_ok"), "workflow_id").select(
+        "workflow_id", "cut_seq", "n_emitted", "accepted",
+        F.coalesce(c("build"), F.lit("")).alias("build"), c("n_task_ok").alias("n_tasks"))
+
+
+def prefix_tasks(spark, sf, o: LineageOptions = DEFAULT):
+    emitted, _ = rp.prefix_events(_events(spark, sf), o)
+    chain = ch.task_chain(emitted, gt.gate(emitted, o), o)
+    return chain.select("workflow_id", "task_index", "task_name", "upstream_task")
+
+
+def prefix_epochs(spark, sf, o: LineageOptions = DEFAULT):
+    """Every epoch's cut (events after a cut start a new accumulation)."""
+    from eventweave.session import checkpoint_dir
+    checkpoint_dir(spark)
+    return rp.prefix_epochs(_events(spark, sf), o).select(
+        "workflow_id", "epoch", "cut_seq", "n_emitted", "accepted")
+
+
+QUERIES.update({
+    "prefix_replay": prefix_replay,
+    "prefix_tasks": prefix_tasks,
+    "prefix_epochs": prefix_epochs,
+})
