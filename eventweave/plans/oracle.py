@@ -553,3 +553,23 @@ FROM cut JOIN pgx ON cut.workflow_id = pgx.workflow_id""",
     "prefix_tasks": PREFIX_BASE + """
 SELECT workflow_id, task_index, task_name, upstream_task FROM ptc""",
 })
+
+
+# --- envelopes ----------------------------------------------------------------------------
+
+SQL.update({
+    # decode(encode(events)) must give the events back unchanged
+    "envelope_decode": SQL["events_unified"],
+    "envelope_rejects": """
+SELECT 'envelope' AS stage, CAST(event_id AS VARCHAR) AS key,
+  CASE WHEN event_type = 'error' THEN 'unknown_subject'
+       WHEN event_type = 'purchase' THEN 'invalid_envelope'
+       ELSE 'invalid_base64' END AS reason
+FROM events
+WHERE event_type = 'error' OR (event_type IN ('purchase', 'click') AND user_id % 5 = 0)""",
+})
+
+SQL.update({
+    "stream_replay": _with(EVENTS_CTE, PREFIX_CTE) + """
+SELECT workflow_id, cut_seq, cut_pos + 1 AS n_emitted, cut_pos + 1 > 7 AS accepted FROM cut""",
+})

@@ -409,3 +409,67 @@ QUERIES.update({
     "prefix_tasks": prefix_tasks,
     "prefix_epochs": prefix_epochs,
 })
+
+
+# --- envelopes ------------------------------------------------------------------------
+
+from eventweave.sources import envelope as envl  # noqa: E402
+
+
+def envelopes(spark, sf):
+    """The envelope log: every adapter event encoded, plus bad messages from ``events``."""
+    good = envl.encode(_events(spark, sf))
+    bad = envl.junk(read_table(spark, sf, "events", "event_id", "event_type", "user_id", "props"))
+    return good.unionByName(bad)
+
+
+def envelope_decode(spark, sf, o: LineageOptions = DEFAULT):
+    ev, _ = envl.decode(envelopes(spark, sf))
+    return ev.withColumn("log_uris", F.array_join("log_uris", "|"))
+
+
+def envelope_rejects(spark, sf, o: LineageOptions = DEFAULT):
+    _, bad = envl.decode(envelopes(spark, sf))
+    return bad.select("stage", "key", "reason")
+
+
+QUERIES.update({
+    "envelope_decode": envelope_decode,
+    "envelope_rejects": envelope_rejects,
+})
+
+
+# --- streaming ------------------------------------------------------------------------
+
+# Arrival-range boundaries of the landing files: runs start, line items by line
+# number, end nodes, succeeding and succeeded events each fall in later files.
+LANDING_BOUNDS = [2, 2 * 10 ** 11, 4 * 10 ** 11, 6 * 10 ** 11, 8 * 10 ** 14, 899999999999999]
+
+
+def _stream_cuts(spark, sf, o):
+    import uuid
+
+    from eventweave.session import checkpoint_dir
+    from eventweave.streaming import gate_stream as gs
+    landing = f"{checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
+    gs.land_envelopes(envelopes(spark, sf), landing, LANDING_BOUNDS)
+    cuts, _ = gs.replay_stream(spark, landing, o)
+    return cuts
+
+
+def stream_replay(spark, sf, o: LineageOptions = DEFAULT):
+    """First completion of each run from the streaming gate (= prefix replay)."""
+    cuts = _stream_cuts(spark, sf, o)
+    return cuts.filter(c("epoch") == 1).select("workflow_id", "cut_seq", "n_emitted", "accepted")
+
+
+def stream_epochs(spark, sf, o: LineageOptions = DEFAULT):
+    """Every epoch's cut from the streaming gate (= prefix_epochs)."""
+    return _stream_cuts(spark, sf, o).select("workflow_id", "epoch", "cut_seq", "n_emitted",
+                                             "accepted")
+
+
+QUERIES.update({
+    "stream_replay": stream_replay,
+    "stream_epochs": stream_epochs,
+})
