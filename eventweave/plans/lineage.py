@@ -90,6 +90,9 @@ def build(spark: SparkSession, events: DataFrame, literals: DataFrame,
     t_ent = en.task_entities(tasks, header, io, o)
     f_ent = en.flow_entities(header, o)
     mce = en.mce_stream(d_ent, f_ent, t_ent, o)
+    if mce is not None:
+        mce = mce.join(verdict.select("workflow_id", c("ns_max").alias("run_completed_ns")),
+                       "workflow_id")
     edges = en.lineage_edges(t_ent)
     return LineageFrames(verdict, chain, tasks, header, run_ds, inputs, outputs, profiles,
                          good, bad, d_ent, t_ent, f_ent, mce, edges)

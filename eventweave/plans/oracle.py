@@ -573,3 +573,63 @@ SQL.update({
     "stream_replay": _with(EVENTS_CTE, PREFIX_CTE) + """
 SELECT workflow_id, cut_seq, cut_pos + 1 AS n_emitted, cut_pos + 1 > 7 AS accepted FROM cut""",
 })
+
+
+# --- sinks ---------------------------------------------------------------------------------
+
+_DB = "'flyte_' || split_part(ph.pipeline_name, '.', 1) || '_' || split_part(ph.pipeline_name, '.', 2)"
+NAMES_CTE = f"""
+nm AS (
+  SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name, td.schema_uri, td.created_ns,
+    {_DB} AS db, replace(td.dataset_name, '.', '_') AS table_name,
+    'warehouse://lineage/' || {_DB} || '/' || td.dataset_name || '/' AS path
+  FROM td JOIN ph ON td.workflow_id = ph.workflow_id)"""
+SINK_BASE = DS_BASE + "," + HEADER_CTE + "," + NAMES_CTE
+
+SQL.update({
+    "catalog_names": SINK_BASE + """
+SELECT workflow_id, slot, ordinal, dataset_name, db, table_name, path FROM nm""",
+    "missing_databases": SINK_BASE + """
+SELECT DISTINCT db FROM nm WHERE db <> 'default'""",
+    "schema_history": SINK_BASE + "," + _fields_values(TABLE_SCHEMAS) + """,
+ftx AS (
+  SELECT 'dataset://' || dataset AS uri,
+    string_agg(name || ':' || native_type || ':' || CAST(nullable AS VARCHAR), ','
+               ORDER BY position) AS fields_text
+  FROM fields GROUP BY dataset),
+hw AS (
+  SELECT nm.*, ftx.fields_text,
+    lag(ftx.fields_text) OVER (PARTITION BY db, table_name
+                               ORDER BY created_ns, workflow_id, slot, ordinal) AS prev_fields
+  FROM nm JOIN ftx ON nm.schema_uri = ftx.uri)
+SELECT db, table_name,
+  row_number() OVER (PARTITION BY db, table_name ORDER BY created_ns, workflow_id, slot, ordinal)
+    AS version,
+  created_ns AS since_ns, fields_text
+FROM hw WHERE prev_fields IS NULL OR prev_fields <> fields_text""",
+    "catalog_write": SINK_BASE + "," + PROFILE_CTE + """,
+win AS (
+  SELECT db, table_name,
+    arg_max(schema_uri, {'a': created_ns, 'b': workflow_id, 'c': slot, 'd': ordinal}) AS source
+  FROM nm GROUP BY db, table_name)
+SELECT db, table_name, source, status,
+  CASE WHEN status = 'written' THEN n_rows ELSE 0 END AS n_rows
+FROM (
+  SELECT win.db, win.table_name, win.source, p.n_rows,
+    -- the catalog accepts only letters, digits and _ in names; other writes fail and are logged
+    CASE WHEN regexp_matches(win.db, '^[A-Za-z0-9_]+$')
+      AND regexp_matches(win.table_name, '^[A-Za-z0-9_]+$') THEN 'written' ELSE 'failed' END
+      AS status
+  FROM win JOIN prof p ON win.source = 'dataset://' || p.dataset)""",
+    "latest_entities": ENT_BASE + """,
+rc AS (SELECT workflow_id, max(occurred_at_ns) AS run_completed_ns FROM ev GROUP BY workflow_id),
+m AS (""" + _MCE + """)
+SELECT urn, arg_max(entity_type, {'t': rc.run_completed_ns, 'w': m.workflow_id, 'g': grp,
+                                  's': slot, 'i': item}) AS entity_type,
+  arg_max(m.workflow_id, {'t': rc.run_completed_ns, 'w': m.workflow_id, 'g': grp, 's': slot,
+                          'i': item}) AS workflow_id,
+  arg_max(n_aspects, {'t': rc.run_completed_ns, 'w': m.workflow_id, 'g': grp, 's': slot,
+                      'i': item}) AS n_aspects,
+  count(*) AS n_versions
+FROM m JOIN rc ON m.workflow_id = rc.workflow_id GROUP BY urn""",
+})

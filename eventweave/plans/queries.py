@@ -473,3 +473,90 @@ QUERIES.update({
     "stream_replay": stream_replay,
     "stream_epochs": stream_epochs,
 })
+
+
+# --- sinks ------------------------------------------------------------------------------
+
+from eventweave.sinks import catalog as cat  # noqa: E402
+from eventweave.sinks import targets as tg  # noqa: E402
+
+LOGICAL_BUCKET = "warehouse://lineage"
+
+
+def _catalog_names(spark, sf, o, bucket=LOGICAL_BUCKET):
+    chain = _chain(spark, sf, o)
+    tdata = ds.task_datasets(chain, adapter.literals(spark, sf), o)
+    return cat.catalog_names(ds.run_datasets(tdata), ch.pipeline_header(chain), bucket, o.db_name)
+
+
+def catalog_names(spark, sf, o: LineageOptions = DEFAULT):
+    """Database, table and path of every dataset instance."""
+    return _catalog_names(spark, sf, o).select("workflow_id", "slot", "ordinal", "dataset_name", "db",
+                                       "table_name", "path")
+
+
+def missing_databases(spark, sf, o: LineageOptions = DEFAULT):
+    """Databases the catalog lacks for this batch of lineage."""
+    return cat.missing_databases(spark, _catalog_names(spark, sf, o))
+
+
+def _fields_text(spark, sf):
+    return _profiles(spark, sf).select(
+        c("uri").alias("schema_uri"),
+        F.array_join(F.transform("fields", lambda f: F.concat_ws(
+            ":", f["name"], f["type"], f["nullable"].cast("string"))), ",").alias("fields_text"))
+
+
+def schema_history(spark, sf, o: LineageOptions = DEFAULT):
+    """K6: schema versions of each catalog table across all its writes."""
+    return cat.schema_history(_catalog_names(spark, sf, o), _fields_text(spark, sf),
+                              o.hot_group_rows, o.hot_group_buckets)
+
+
+def _resolver(spark, sf):
+    def resolve(uri: str):
+        return read_table(spark, sf, uri[len(adapter.DATASET_SCHEME):])
+    return resolve
+
+
+def catalog_write(spark, sf, o: LineageOptions = DEFAULT):
+    """K2/K5/K7: write every catalog table, read the rows back."""
+    import uuid
+
+    from eventweave.session import checkpoint_dir
+    bucket = f"{checkpoint_dir(spark)}/catalog-{uuid.uuid4().hex}"
+    writes = cat.latest_writes(_catalog_names(spark, sf, o, bucket))
+    log = cat.write_catalog(spark, writes, _resolver(spark, sf))
+    counts = cat.read_back_counts(spark, log)
+    counts = counts.select(F.regexp_replace("file_dir", "^file:(//)?", "").alias("path"), "n_rows")
+    return log.join(counts, "path", "left").select(
+        "db", "table_name", "source", "status",
+        F.coalesce(c("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"))
+
+
+def latest_entities(spark, sf, o: LineageOptions = DEFAULT):
+    """K1: the change event that wins per URN after all runs are emitted."""
+    return tg.latest_entities(_lineage(spark, sf, o).mce).select(
+        "urn", "entity_type", "workflow_id", F.size("aspects").alias("n_aspects"), "n_versions")
+
+
+def fanout_log(spark, sf, o: LineageOptions = DEFAULT):
+    """Metadata then catalog target, each isolated; their write log."""
+    import uuid
+
+    from eventweave.session import checkpoint_dir
+    root = f"{checkpoint_dir(spark)}/fanout-{uuid.uuid4().hex}"
+    frames = _lineage(spark, sf, o)
+    targets = [tg.MetadataTarget(f"{root}/mce", o),
+               tg.CatalogTarget(spark, f"{root}/catalog", _resolver(spark, sf), o.db_name)]
+    return tg.fanout(spark, frames, targets).select("target", "key", "status")
+
+
+QUERIES.update({
+    "catalog_names": catalog_names,
+    "missing_databases": missing_databases,
+    "schema_history": schema_history,
+    "latest_entities": latest_entities,
+    "catalog_write": catalog_write,
+    "fanout_log": fanout_log,
+})
