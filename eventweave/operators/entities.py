@@ -110,31 +110,35 @@ def task_io(inputs: DataFrame, outputs: DataFrame, o: LineageOptions = DEFAULT)
                                            ["workflow_id", "task_index"], "full")
 
 
-def task_entities(tasks: DataFrame, header: DataFrame, io: DataFrame,
-                  o: LineageOptions = DEFAULT) -> DataFrame:
-    """L2: one snapshot per chained task (``tasks`` = projection + metadata map)."""
+def task_links(tasks: DataFrame, header: DataFrame, io: DataFrame,
+               o: LineageOptions = DEFAULT) -> DataFrame:
+    """Per chained task: its job URN and its input, output and upstream URN lists."""
     t = (tasks.join(header.select("workflow_id", "pipeline_name"), "workflow_id")
          .join(io, ["workflow_id", "task_index"], "left"))
     flow = c("pipeline_name")
-    upstream = F.when(c("upstream_task").isNotNull(),
-                      F.array(job_urn(flow, c("upstream_task"), o)))
-    ins = F.coalesce(c("input_urns"), _empty())
-    outs = F.coalesce(c("output_urns"), _empty())
+    return t.select(
+        "workflow_id", "task_index", "task_name", "pipeline_name", "metadata", "url",
+        job_urn(flow, c("task_name"), o).alias("urn"),
+        F.coalesce(c("input_urns"), _empty()).alias("input_urns"),
+        F.coalesce(c("output_urns"), _empty()).alias("output_urns"),
+        F.when(c("upstream_task").isNotNull(),
+               F.array(job_urn(flow, c("upstream_task"), o))).alias("upstream_urns"))
+
+
+def task_entities(links: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:
+    """L2: one snapshot per chained task: info, input/output, owners (three aspects)."""
     info = F.struct(c("task_name").alias("name"),
                     F.lit(JOB_TYPE).alias("type"), F.lit("").alias("description"),
                     c("metadata").alias("customProperties"), c("url").alias("externalUrl"))
-    job_io = F.struct(ins.alias("inputDatasets"), outs.alias("outputDatasets"),
-                      upstream.alias("inputDatajobs"))
+    job_io = F.struct(c("input_urns").alias("inputDatasets"),
+                      c("output_urns").alias("outputDatasets"),
+                      c("upstream_urns").alias("inputDatajobs"))
     aspects = F.array(_aspect("dataJobInfo", info), _aspect("dataJobInputOutput", job_io),
                       _aspect("ownership", owners_aspect(_empty())))
-    return t.select(
+    return links.select(
         "workflow_id", "task_index", "task_name",
-        F.lit("dataJob").alias("entity_type"),
-        job_urn(flow, c("task_name"), o).alias("urn"),
-        aspects.alias("aspects"),
-        c("url").alias("external_url"),
-        ins.alias("input_urns"), outs.alias("output_urns"),
-        upstream.alias("upstream_urns"))
+        F.lit("dataJob").alias("entity_type"), "urn", aspects.alias("aspects"),
+        c("url").alias("external_url"), "input_urns", "output_urns", "upstream_urns")
 
 
 def flow_entities(header: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:
@@ -173,13 +177,14 @@ def mce_stream(datasets: DataFrame, flows: DataFrame, tasks: DataFrame,
     return out
 
 
-def lineage_edges(tasks: DataFrame) -> DataFrame:
-    """Dataset->task, task->dataset and task->task edges from task entities."""
-    def explode(col, kind, as_src):
-        e = tasks.select("workflow_id", "urn", F.explode(col).alias("other"))
-        src, dst = (c("other"), c("urn")) if as_src else (c("urn"), c("other"))
-        return e.select("workflow_id", src.alias("src_urn"), dst.alias("dst_urn"),
-                        F.lit(kind).alias("edge_type"))
-    return (explode(c("input_urns"), "dataset_to_task", True)
-            .unionByName(explode(c("output_urns"), "task_to_dataset", False))
-            .unionByName(explode(F.coalesce(c("upstream_urns"), _empty()), "task_to_task", True)))
+def lineage_edges(links: DataFrame) -> DataFrame:
+    """Dataset->task, task->dataset and task->task edges, one explode per task."""
+    def edges(arr, kind, into_task):
+        return F.transform(arr, lambda x: F.struct(
+            (x if into_task else c("urn")).alias("src_urn"),
+            (c("urn") if into_task else x).alias("dst_urn"),
+            F.lit(kind).alias("edge_type")))
+    all_edges = F.concat(edges(c("input_urns"), "dataset_to_task", True),
+                         edges(c("output_urns"), "task_to_dataset", False),
+                         edges(F.coalesce(c("upstream_urns"), _empty()), "task_to_task", True))
+    return links.select("workflow_id", F.inline(all_edges))

@@ -87,12 +87,13 @@ def build(spark: SparkSession, events: DataFrame, literals: DataFrame,
 
     d_ent = en.dataset_entities(instances, ok_sources, o)
     io = en.task_io(inputs, outputs, o)
-    t_ent = en.task_entities(tasks, header, io, o)
+    links = en.task_links(tasks, header, io, o)
+    t_ent = en.task_entities(links, o)
     f_ent = en.flow_entities(header, o)
     mce = en.mce_stream(d_ent, f_ent, t_ent, o)
     if mce is not None:
         mce = mce.join(verdict.select("workflow_id", c("ns_max").alias("run_completed_ns")),
                        "workflow_id")
-    edges = en.lineage_edges(t_ent)
+    edges = en.lineage_edges(links)
     return LineageFrames(verdict, chain, tasks, header, run_ds, inputs, outputs, profiles,
                          good, bad, d_ent, t_ent, f_ent, mce, edges)

@@ -423,13 +423,20 @@ def envelopes(spark, sf):
     return good.unionByName(bad)
 
 
+def _landed_envelopes(spark, sf):
+    """The envelope log as landed data: encoded once, written to the checkpoint folder."""
+    from eventweave.session import checkpoint_dir
+    checkpoint_dir(spark)
+    return envelopes(spark, sf).checkpoint()
+
+
 def envelope_decode(spark, sf, o: LineageOptions = DEFAULT):
-    ev, _ = envl.decode(envelopes(spark, sf))
+    ev, _ = envl.decode(_landed_envelopes(spark, sf))
     return ev.withColumn("log_uris", F.array_join("log_uris", "|"))
 
 
 def envelope_rejects(spark, sf, o: LineageOptions = DEFAULT):
-    _, bad = envl.decode(envelopes(spark, sf))
+    _, bad = envl.decode(_landed_envelopes(spark, sf))
     return bad.select("stage", "key", "reason")
 
 
