@@ -50,7 +50,10 @@ def ordered_scan(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
         d = d.withColumn(f"_v_{name}", c.cast("bigint"))
     parts = keys + (["_b"] if bucket is not None else [])
     if bucket is not None:
-        d = d.withColumn("_b", bucket)
+        # Explicit exchange on (key, bucket): an input already hash-partitioned
+        # by the key alone would satisfy the window's distribution and keep a
+        # hot key in one task; this spreads its sub-ranges over many tasks.
+        d = d.withColumn("_b", bucket).repartition(*[F.col(p) for p in parts])
     w = Window.partitionBy(*parts).orderBy(*order)
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("_loc", (F.row_number().over(w) - 1).cast("bigint"))
