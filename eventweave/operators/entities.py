@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventweave.functions.columns import (
     c, dataset_urn, flow_urn, job_urn, ns_to_millis, tag_urn, user_urn)
-from eventweave.operators.profile import schema_hash, shape_text
+from eventweave.operators.profile import merge_metadata, schema_hash, shape_text
 from eventweave.options import DEFAULT, LineageOptions
 
 # Aspect names and the job type of the metadata model.
@@ -61,9 +61,9 @@ def dataset_entities(instances: DataFrame, converted_ok: DataFrame,
     d = instances.join(converted_ok, "schema_uri", "left_semi")
     owners = F.coalesce(c("owners"), _empty()) if "owners" in d.columns else _empty()
     tags = F.coalesce(c("tags"), _empty()) if "tags" in d.columns else _empty()
-    custom = F.create_map(F.lit("uri"), c("dataset_uri"),
-                          F.lit("shape"), shape_text(c("n_rows"), c("n_cols")),
-                          F.lit("nbytes"), c("nbytes").cast("string"))
+    meta = (c("metadata") if "metadata" in d.columns
+            else F.create_map(F.lit("uri"), c("dataset_uri")))
+    custom = merge_metadata(meta, c("n_rows"), c("n_cols"), c("nbytes"))
     fields = F.transform(c("fields"), lambda f: F.struct(
         f["name"].alias("fieldPath"), f["type"].alias("nativeDataType"),
         f["name"].alias("description"), F.lit(False).alias("recursive"),

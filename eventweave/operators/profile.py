@@ -171,3 +171,14 @@ def shape_text(n_rows: Column, n_cols: Column) -> Column:
     """Python's ``str((rows, cols))``."""
     return F.concat(F.lit("("), n_rows.cast("string"), F.lit(", "), n_cols.cast("string"),
                     F.lit(")"))
+
+
+def merge_metadata(metadata: Column, n_rows: Column, n_cols: Column, nbytes: Column) -> Column:
+    """A copy of the metadata map plus ``shape`` and ``nbytes`` as text.
+
+    The two computed entries overwrite keys of the same name (``map_concat``
+    rejects duplicate keys, so they are filtered out of the copy first).
+    """
+    kept = F.map_filter(metadata, lambda k, v: ~k.isin("shape", "nbytes"))
+    return F.map_concat(kept, F.create_map(F.lit("shape"), shape_text(n_rows, n_cols),
+                                           F.lit("nbytes"), nbytes.cast("string")))

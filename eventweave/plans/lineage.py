@@ -57,7 +57,7 @@ def profile_sources(spark: SparkSession, uris: list[str], resolver: Resolver,
 
 def build(spark: SparkSession, events: DataFrame, literals: DataFrame,
           profiles: DataFrame, o: LineageOptions = DEFAULT,
-          type_map: DataFrame | None = None) -> LineageFrames:
+          type_map: DataFrame | None = None, materialize: bool = False) -> LineageFrames:
     """Declare every lineage output.
 
     ``profiles`` has one row per source dataset (``pf.profile`` columns with
@@ -66,6 +66,11 @@ def build(spark: SparkSession, events: DataFrame, literals: DataFrame,
     """
     verdict = gt.gate(events, o)
     chain = ch.task_chain(events, verdict, o)
+    if materialize:
+        # Every output below derives from the verdicts and the chain; write them
+        # once to the checkpoint folder instead of recomputing them per branch.
+        verdict = verdict.checkpoint()
+        chain = ch.task_chain(events, verdict, o).checkpoint()
     tasks = ch.task_metadata(ch.task_projection(chain)).join(
         chain.select("workflow_id", "task_index", "upstream_task"), ["workflow_id", "task_index"])
     header = ch.pipeline_header(chain)

@@ -285,8 +285,10 @@ from eventweave.plans import lineage as ln  # noqa: E402
 
 
 def _lineage(spark, sf, o):
+    from eventweave.session import checkpoint_dir
+    checkpoint_dir(spark)
     return ln.build(spark, _events(spark, sf), adapter.literals(spark, sf),
-                    _profiles(spark, sf), o)
+                    _profiles(spark, sf), o, materialize=True)
 
 
 def _names(col):
@@ -467,13 +469,14 @@ def _stream_cuts(spark, sf, o):
 def stream_replay(spark, sf, o: LineageOptions = DEFAULT):
     """First completion of each run from the streaming gate (= prefix replay)."""
     cuts = _stream_cuts(spark, sf, o)
-    return cuts.filter(c("epoch") == 1).select("workflow_id", "cut_seq", "n_emitted", "accepted")
+    return cuts.filter((c("epoch") == 1) & (c("status") == "complete")).select(
+        "workflow_id", "cut_seq", "n_emitted", "accepted")
 
 
 def stream_epochs(spark, sf, o: LineageOptions = DEFAULT):
     """Every epoch's cut from the streaming gate (= prefix_epochs)."""
-    return _stream_cuts(spark, sf, o).select("workflow_id", "epoch", "cut_seq", "n_emitted",
-                                             "accepted")
+    return _stream_cuts(spark, sf, o).filter(c("status") == "complete").select(
+        "workflow_id", "epoch", "cut_seq", "n_emitted", "accepted")
 
 
 QUERIES.update({
