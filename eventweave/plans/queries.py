@@ -462,7 +462,7 @@ def _stream_cuts(spark, sf, o):
     from eventweave.streaming import gate_stream as gs
     landing = f"{checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
     gs.land_envelopes(envelopes(spark, sf), landing, LANDING_BOUNDS)
-    cuts, _ = gs.replay_stream(spark, landing, o)
+    cuts, _ = gs.replay_stream(spark, landing, o, files_per_trigger=2)
     return cuts
 
 
