@@ -6,16 +6,32 @@ work grows with the tables. Column names equal those of ``oracle.SQL``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweave.functions.columns import c, is_node_ok, is_task_ok, is_wf_success
+from eventweave.functions.columns import (
+    c, dataset_urn, flow_urn, is_node_ok, is_task_ok, is_wf_success, job_urn)
 from eventweave.operators import chain as ch
+from eventweave.operators import convert as cv
+from eventweave.operators import datasets as ds
 from eventweave.operators import gate as gt
+from eventweave.operators import profile as pf
+from eventweave.operators import replay as rp
+from eventweave.operators.entities import audit_stamp
 from eventweave.options import DEFAULT, LineageOptions
+from eventweave.plans import lineage as ln
+from eventweave.session import checkpoint_dir
+from eventweave.sinks import catalog as cat
+from eventweave.sinks import targets as tg
 from eventweave.sources import adapter
+from eventweave.sources import envelope as envl
+from eventweave.sources.tables import TABLES, read_table
+from eventweave.streaming import gate_stream as gs
+from eventweave.streaming import lineage_stream as ls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,11 +166,6 @@ QUERIES: dict[str, Query] = {
 
 # --- datasets ------------------------------------------------------------------
 
-from eventweave.operators import convert as cv  # noqa: E402
-from eventweave.operators import datasets as ds  # noqa: E402
-from eventweave.operators import profile as pf  # noqa: E402
-from eventweave.sources.tables import TABLES, read_table  # noqa: E402
-
 
 def _chain(spark, sf, o):
     ev = _events(spark, sf)
@@ -279,13 +290,8 @@ QUERIES.update({
 
 # --- entities, change events, edges ------------------------------------------------
 
-from dataclasses import replace  # noqa: E402
-
-from eventweave.plans import lineage as ln  # noqa: E402
-
 
 def _lineage(spark, sf, o):
-    from eventweave.session import checkpoint_dir
     checkpoint_dir(spark)
     return ln.build(spark, _events(spark, sf), adapter.literals(spark, sf),
                     _profiles(spark, sf), o, materialize=True)
@@ -343,7 +349,6 @@ def lineage_edges(spark, sf, o: LineageOptions = DEFAULT):
 
 def urns(spark, sf, o: LineageOptions = DEFAULT):
     """URNs of every dataset instance, pipeline and task."""
-    from eventweave.functions.columns import dataset_urn, flow_urn, job_urn
     lf = _lineage(spark, sf, o)
     d = lf.datasets.select("workflow_id", F.lit("dataset").alias("entity_type"),
                            c("dataset_name").alias("name"),
@@ -358,7 +363,6 @@ def urns(spark, sf, o: LineageOptions = DEFAULT):
 
 def audit_stamps(spark, sf, o: LineageOptions = DEFAULT):
     """Created audit stamp of each dataset instance."""
-    from eventweave.operators.entities import audit_stamp
     d = _task_datasets(spark, sf, o)
     st = audit_stamp(c("created_ns"), o)
     return d.select("workflow_id", "task_index", "direction", "ordinal", "created_ns",
@@ -380,8 +384,6 @@ QUERIES.update({
 
 # --- prefix replay ---------------------------------------------------------------------
 
-from eventweave.operators import replay as rp  # noqa: E402
-
 
 def prefix_replay(spark, sf, o: LineageOptions = DEFAULT):
     """First completion of each run in arrival order, and what it builds."""
@@ -400,7 +402,6 @@ def prefix_tasks(spark, sf, o: LineageOptions = DEFAULT):
 
 def prefix_epochs(spark, sf, o: LineageOptions = DEFAULT):
     """Every epoch's cut (events after a cut start a new accumulation)."""
-    from eventweave.session import checkpoint_dir
     checkpoint_dir(spark)
     return rp.prefix_epochs(_events(spark, sf), o).select(
         "workflow_id", "epoch", "cut_seq", "n_emitted", "accepted")
@@ -415,8 +416,6 @@ QUERIES.update({
 
 # --- envelopes ------------------------------------------------------------------------
 
-from eventweave.sources import envelope as envl  # noqa: E402
-
 
 def envelopes(spark, sf):
     """The envelope log: every adapter event encoded, plus bad messages from ``events``."""
@@ -427,7 +426,6 @@ def envelopes(spark, sf):
 
 def _landed_envelopes(spark, sf):
     """The envelope log as landed data: encoded once, written to the checkpoint folder."""
-    from eventweave.session import checkpoint_dir
     checkpoint_dir(spark)
     return envelopes(spark, sf).checkpoint()
 
@@ -456,10 +454,6 @@ LANDING_BOUNDS = [2, 2 * 10 ** 11, 4 * 10 ** 11, 6 * 10 ** 11, 8 * 10 ** 14, 899
 
 
 def _stream_cuts(spark, sf, o):
-    import uuid
-
-    from eventweave.session import checkpoint_dir
-    from eventweave.streaming import gate_stream as gs
     landing = f"{checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
     gs.land_envelopes(envelopes(spark, sf), landing, LANDING_BOUNDS)
     cuts, _ = gs.replay_stream(spark, landing, o, files_per_trigger=2)
@@ -487,8 +481,6 @@ QUERIES.update({
 
 # --- sinks ------------------------------------------------------------------------------
 
-from eventweave.sinks import catalog as cat  # noqa: E402
-from eventweave.sinks import targets as tg  # noqa: E402
 
 LOGICAL_BUCKET = "warehouse://lineage"
 
@@ -531,9 +523,6 @@ def _resolver(spark, sf):
 
 def catalog_write(spark, sf, o: LineageOptions = DEFAULT):
     """K2/K5/K7: write every catalog table, read the rows back."""
-    import uuid
-
-    from eventweave.session import checkpoint_dir
     bucket = f"{checkpoint_dir(spark)}/catalog-{uuid.uuid4().hex}"
     writes = cat.latest_writes(_catalog_names(spark, sf, o, bucket))
     log = cat.write_catalog(spark, writes, _resolver(spark, sf))
@@ -552,9 +541,6 @@ def latest_entities(spark, sf, o: LineageOptions = DEFAULT):
 
 def fanout_log(spark, sf, o: LineageOptions = DEFAULT):
     """Metadata then catalog target, each isolated; their write log."""
-    import uuid
-
-    from eventweave.session import checkpoint_dir
     root = f"{checkpoint_dir(spark)}/fanout-{uuid.uuid4().hex}"
     frames = _lineage(spark, sf, o)
     targets = [tg.MetadataTarget(f"{root}/mce", o),
@@ -574,11 +560,6 @@ QUERIES.update({
 
 def stream_lineage(spark, sf, o: LineageOptions = DEFAULT):
     """T1-T6 + K8/K9 end to end: streaming gate -> per-batch lineage -> metadata target."""
-    import uuid
-
-    from eventweave.session import checkpoint_dir
-    from eventweave.streaming import gate_stream as gs
-    from eventweave.streaming import lineage_stream as ls
     root = f"{checkpoint_dir(spark)}/stream-lineage-{uuid.uuid4().hex}"
     gs.land_envelopes(envelopes(spark, sf), f"{root}/landing", LANDING_BOUNDS)
     target = tg.MetadataTarget(f"{root}/mce", o)
