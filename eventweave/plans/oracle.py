@@ -633,3 +633,17 @@ SELECT urn, arg_max(entity_type, {'t': rc.run_completed_ns, 'w': m.workflow_id,
   count(*) AS n_versions
 FROM m JOIN rc ON m.workflow_id = rc.workflow_id GROUP BY urn""",
 })
+
+SQL.update({
+    "fanout_log": ENT_BASE + "," + NAMES_CTE + """,
+win AS (
+  SELECT db, table_name,
+    arg_max(schema_uri, {'a': created_ns, 'b': workflow_id, 'c': slot, 'd': ordinal}) AS source
+  FROM nm GROUP BY db, table_name)
+SELECT 'metadata' AS target, urn AS key, 'emitted' AS status FROM (""" + _MCE + """)
+UNION ALL
+SELECT 'catalog', db || '.' || table_name,
+  CASE WHEN regexp_matches(db, '^[A-Za-z0-9_]+$') AND regexp_matches(table_name, '^[A-Za-z0-9_]+$')
+       THEN 'written' ELSE 'failed' END
+FROM win""",
+})
