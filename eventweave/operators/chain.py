@@ -14,7 +14,7 @@ from eventweave.functions.columns import (
     before_first_dash, before_last_dot, c, first_or_empty, is_task_ok, ns_to_text,
     version_number)
 from eventweave.operators.gate import keep_events
-from eventweave.operators.ordering import ordered_scan, range_bucket
+from eventweave.operators.ordering import has_hot, ordered_scan, range_bucket
 from eventweave.options import DEFAULT, LineageOptions
 
 # Time order of events; ties keep arrival order, then any remaining column.
@@ -32,6 +32,10 @@ def event_positions(events: DataFrame, verdict: DataFrame, column: str | None,
                     o: LineageOptions = DEFAULT) -> DataFrame:
     """Every event of the selected runs with its 0-based time position."""
     stats = verdict if column is None else verdict.filter(c(column))
+    if not has_hot(stats, "n_events", o.hot_group_rows):
+        ev = events if column is None else events.join(
+            stats.select("workflow_id"), "workflow_id", "left_semi")
+        return ordered_scan(ev, "workflow_id", order_cols(TIME_ORDER), pos_col="event_pos")
     ev = events.join(stats.select("workflow_id", "n_events", "ns_min", "ns_max"), "workflow_id")
     bucket = range_bucket(c("occurred_at_ns"), c("ns_min"), c("ns_max"), c("n_events"),
                           o.hot_group_rows, o.hot_group_buckets)
@@ -42,7 +46,15 @@ def event_positions(events: DataFrame, verdict: DataFrame, column: str | None,
 
 def task_chain(events: DataFrame, verdict: DataFrame, o: LineageOptions = DEFAULT,
                column: str = "built") -> DataFrame:
-    """Successful tasks of built runs with index and upstream task name."""
+    """Successful tasks of built runs with index and upstream task name.
+
+    ``verdict`` should be materialised: it is read once to decide whether any
+    run is large enough to need the ordered split, and again for the join.
+    """
+    if not has_hot(verdict.filter(c(column)), "n_task_ok", o.hot_group_rows):
+        tasks = keep_events(events.filter(is_task_ok(o)), verdict, column, extra=("n_task_ok",))
+        return ordered_scan(tasks, "workflow_id", order_cols(TIME_ORDER),
+                            prev={"upstream_task": "task_name"}, pos_col="task_index")
     tasks = keep_events(events.filter(is_task_ok(o)), verdict, column,
                         extra=("n_task_ok", "task_ns_min", "task_ns_max"))
     bucket = range_bucket(c("occurred_at_ns"), c("task_ns_min"), c("task_ns_max"),

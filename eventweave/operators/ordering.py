@@ -17,6 +17,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def has_hot(stats: DataFrame, n_col: str, threshold: int) -> bool:
+    """True if any key of ``stats`` has more than ``threshold`` rows.
+
+    A runtime plan choice (like AQE's): with no hot key the per-key windows
+    run without the bucket split, its extra exchange and its offset join.
+    ``stats`` should be materialised (checkpointed) when the caller reuses it.
+    """
+    return not stats.filter(F.col(n_col) > F.lit(threshold)).isEmpty()
+
+
 def range_bucket(value: Column, lo: Column, hi: Column, n_rows: Column,
                  rows_per_bucket: int, max_buckets: int) -> Column:
     """Order-preserving bucket of ``value`` within ``[lo, hi]``.

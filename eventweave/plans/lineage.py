@@ -22,6 +22,7 @@ from eventweave.operators import entities as en
 from eventweave.operators import gate as gt
 from eventweave.operators import profile as pf
 from eventweave.options import DEFAULT, LineageOptions
+from eventweave.session import checkpoint_dir
 
 Resolver = Callable[[str], DataFrame]
 
@@ -64,13 +65,14 @@ def build(spark: SparkSession, events: DataFrame, literals: DataFrame,
     ``uri`` = the schema URI the literals point at). The number of distinct
     sources is bounded by the catalog, so it is broadcast.
     """
-    verdict = gt.gate(events, o)
+    # The run verdicts (one row per run) are read several times: written once
+    # to the checkpoint folder. With ``materialize`` the chain is too, since
+    # every output below derives from it.
+    checkpoint_dir(spark)
+    verdict = gt.gate(events, o).checkpoint()
     chain = ch.task_chain(events, verdict, o)
     if materialize:
-        # Every output below derives from the verdicts and the chain; write them
-        # once to the checkpoint folder instead of recomputing them per branch.
-        verdict = verdict.checkpoint()
-        chain = ch.task_chain(events, verdict, o).checkpoint()
+        chain = chain.checkpoint()
     tasks = ch.task_metadata(ch.task_projection(chain)).join(
         chain.select("workflow_id", "task_index", "upstream_task"), ["workflow_id", "task_index"])
     header = ch.pipeline_header(chain)

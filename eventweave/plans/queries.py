@@ -74,6 +74,18 @@ def _verdict(spark, sf, o):
     return gt.gate(_events(spark, sf), o)
 
 
+def _ck(df):
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def _gate_ck(ev, o):
+    """Run verdicts written once to the checkpoint folder (one row per run): the
+    chain reads them twice (hot-run check, join), the events only once."""
+    checkpoint_dir(ev.sparkSession)
+    return gt.gate(ev, o).checkpoint()
+
+
 def parity_gate(spark, sf, o: LineageOptions = DEFAULT):
     v = _verdict(spark, sf, o)
     return v.select("workflow_id", "n_events", "n_wf_success", "n_task_ok", "n_node_ok",
@@ -88,21 +100,21 @@ def gate_outcome(spark, sf, o: LineageOptions = DEFAULT):
 
 def complete_events(spark, sf, o: LineageOptions = DEFAULT):
     ev = _events(spark, sf)
-    pos = ch.event_positions(ev, gt.gate(ev, o), "accepted", o)
+    pos = ch.event_positions(ev, _gate_ck(ev, o), "accepted", o)
     return pos.select("workflow_id", "event_pos", "kind", "phase", "occurred_at_ns",
                       "arrival_seq", "node_id", "task_name")
 
 
 def event_order(spark, sf, o: LineageOptions = DEFAULT):
     ev = _events(spark, sf)
-    pos = ch.event_positions(ev, gt.run_stats(ev, o), None, o)
+    pos = ch.event_positions(ev, _ck(gt.run_stats(ev, o)), None, o)
     return pos.select("workflow_id", "event_pos", "kind", "phase", "occurred_at_ns",
                       "arrival_seq", "node_id")
 
 
 def task_chain(spark, sf, o: LineageOptions = DEFAULT):
     ev = _events(spark, sf)
-    chain = ch.task_chain(ev, gt.gate(ev, o), o)
+    chain = ch.task_chain(ev, _gate_ck(ev, o), o)
     return chain.select("workflow_id", "task_index", "task_name", "generated_name",
                         "upstream_task", "occurred_at_ns")
 
@@ -110,7 +122,7 @@ def task_chain(spark, sf, o: LineageOptions = DEFAULT):
 def node_pairing(spark, sf, o: LineageOptions = DEFAULT):
     """J1 for every gate-accepted run: does task i find node n{i}?"""
     ev = _events(spark, sf)
-    v = gt.gate(ev, o)
+    v = _gate_ck(ev, o)
     chain = ch.task_chain(ev, v, o, column="accepted")
     nodes = (gt.keep_events(ev.filter(is_node_ok(o)), v, "accepted")
              .select("workflow_id", "node_id").distinct()
@@ -130,17 +142,17 @@ def pairing_rejects(spark, sf, o: LineageOptions = DEFAULT):
 
 def task_projection(spark, sf, o: LineageOptions = DEFAULT):
     ev = _events(spark, sf)
-    return ch.task_projection(ch.task_chain(ev, gt.gate(ev, o), o))
+    return ch.task_projection(ch.task_chain(ev, _gate_ck(ev, o), o))
 
 
 def pipeline_header(spark, sf, o: LineageOptions = DEFAULT):
     ev = _events(spark, sf)
-    return ch.pipeline_header(ch.task_chain(ev, gt.gate(ev, o), o))
+    return ch.pipeline_header(ch.task_chain(ev, _gate_ck(ev, o), o))
 
 
 def pipeline_tasks(spark, sf, o: LineageOptions = DEFAULT):
     ev = _events(spark, sf)
-    chain = ch.task_chain(ev, gt.gate(ev, o), o)
+    chain = ch.task_chain(ev, _gate_ck(ev, o), o)
     head = ch.pipeline_header(chain)
     return chain.join(head, "workflow_id").select(
         "workflow_id", "pipeline_name", "pipeline_id", "n_tasks", "task_index", "task_name")
@@ -169,7 +181,7 @@ QUERIES: dict[str, Query] = {
 
 def _chain(spark, sf, o):
     ev = _events(spark, sf)
-    return ch.task_chain(ev, gt.gate(ev, o), o)
+    return ch.task_chain(ev, _gate_ck(ev, o), o)
 
 
 def _task_datasets(spark, sf, o):
@@ -396,7 +408,7 @@ def prefix_replay(spark, sf, o: LineageOptions = DEFAULT):
 
 def prefix_tasks(spark, sf, o: LineageOptions = DEFAULT):
     emitted, _ = rp.prefix_events(_events(spark, sf), o)
-    chain = ch.task_chain(emitted, gt.gate(emitted, o), o)
+    chain = ch.task_chain(emitted, _gate_ck(emitted, o), o)
     return chain.select("workflow_id", "task_index", "task_name", "upstream_task")
 
 
