@@ -468,7 +468,7 @@ LANDING_BOUNDS = [2, 2 * 10 ** 11, 4 * 10 ** 11, 6 * 10 ** 11, 8 * 10 ** 14, 899
 def _stream_cuts(spark, sf, o):
     landing = f"{checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
     gs.land_envelopes(envelopes(spark, sf), landing, LANDING_BOUNDS)
-    cuts, _ = gs.replay_stream(spark, landing, o, files_per_trigger=2)
+    cuts, _ = gs.replay_stream(spark, landing, o, files_per_trigger=4)
     return cuts
 
 
