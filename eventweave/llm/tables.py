@@ -18,6 +18,14 @@ def ship_package() -> None:
     cloudpickle.register_pickle_by_value(eventweave)
 
 
+def arrow_schema(columns: str):
+    """The Arrow schema of flat columns given as "name type, ..."; it needs no session."""
+    import pyarrow as pa
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
+             "string": pa.string(), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in columns.split(", "))])
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
@@ -58,28 +66,55 @@ def discard(*tables: DataFrame) -> None:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges(a, b)``; component is the smallest node.
 
-    Minimum labels spread along the edges and are then followed to their own
-    labels, so long chains shorten by halves. Rounds end when none changes.
-    Each round lands its labels; nothing of the graph reaches the driver.
+    Each round a node takes the least label among its own and its
+    neighbours'; when any changed, labels are also followed to their own
+    labels, so that chains shorten by halves. A round without changes ends
+    it. Each round lands its labels; nothing of the graph reaches the driver.
     """
     both = land(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-                .where("a <> b").distinct(), "links")
+                .where("a <> b").distinct(), "graph")
     labels = land(both.groupBy(F.col("a").alias("node"))
-                  .agg(F.least(F.col("node"), F.min("b")).alias("component")), "labels")
+                  .agg(F.least(F.col("a"), F.min("b")).alias("component")), "labels")
     while True:
-        near = (both.join(labels.select(F.col("node").alias("b"), "component"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near")))
-        step = (labels.join(near, "node")
-                .select("node", F.least("component", "near").alias("component"),
-                        F.col("component").alias("before")))
-        step = land(step, "labels")
+        told = (both.join(labels.select(F.col("node").alias("b"), "component"), "b")
+                .select(F.col("a").alias("node"), "component", F.lit(None).cast("long").alias("own"))
+                .union(labels.select("node", "component", F.col("component"))))
+        step = land(told.groupBy("node").agg(F.min("component").alias("component"), F.max("own").alias("before")),
+                    "labels")
+        if not step.where("component <> before").limit(1).count():
+            discard(both, labels)
+            return step.select("node", "component")
         hop = step.select(F.col("node").alias("component"), F.col("component").alias("next"))
         after = land(step.join(hop, "component", "left")
-                     .select("node", F.least("component", F.coalesce("next", "component"))
-                             .alias("component"), "before"), "labels")
-        changed = after.where("component <> before").limit(1).count()
+                     .select("node", F.least("component", "next").alias("component")), "labels")
         discard(labels, step)
         labels = after
-        if not changed:
-            discard(both)
-            return labels.select("node", "component")
+
+
+def map_texts(df: DataFrame, key: str, text: str, fn, columns: str, batch_bytes: int = 4 << 20) -> DataFrame:
+    """``fn(keys, texts)`` over slices of about ``batch_bytes`` of text.
+
+    ``fn`` gets the key values and the texts as lists (null texts as None) and
+    returns one list or array per column of ``columns``, of any common length.
+    Slices follow the rows of a partition, so memory does not depend on how
+    many rows it has; one longer text is a slice of its own.
+    """
+    scratch_root(df.sparkSession)
+    schema = arrow_schema(columns)
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            part = (sizes.cumsum() - sizes) // batch_bytes
+            cuts = [0, *(part[1:] != part[:-1]).nonzero()[0] + 1, len(part)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if a < b:
+                    rows = batch.slice(a, b - a)
+                    out = fn(rows.column(0).to_pylist(), rows.column(1).to_pylist())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v, type=f.type) for v, f in zip(out, schema)], schema=schema)
+
+    return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, columns)

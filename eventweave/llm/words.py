@@ -19,8 +19,6 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LANES = _rng.integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers = np.ones(1, dtype=np.uint64)
 
-LOWER = bytes(range(256)).lower()
-
 
 def _power_table(n: int) -> np.ndarray:
     global _powers
@@ -38,11 +36,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+# Separators where only runs of ASCII letters, digits and bytes from 128 on count as words.
+PUNCTUATION = np.array([not (c >= 128 or chr(c).isalnum()) for c in range(256)])
+
+
+def word_spans(texts: list[bytes], space: np.ndarray = _SPACE):
     """(buffer, word starts, word ends, first word of each text; one more entry closes the last)."""
     lens = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
     buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-    space = _SPACE[buf]
+    space = space[buf]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if len(buf) and not space[0]:
         edge = np.concatenate([[0], edge])
@@ -51,16 +53,16 @@ def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return buf, starts, ends, np.searchsorted(starts, begins)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash for each word of all texts, and the first word of each text."""
-    buf, starts, ends, first = word_spans(texts)
+    buf, starts, ends, first = word_spans(texts, space)
     if not len(starts):
         return np.zeros(0, dtype=np.uint64), first
     lens = ends - starts
     power = _power_table(int(lens.max()))
     at = np.cumsum(lens) - lens
     inside = np.arange(int(lens.sum()), dtype=np.int64) - np.repeat(at, lens)
-    values = _BYTE_KEYS[buf[~_SPACE[buf]]] * power[inside]
+    values = _BYTE_KEYS[buf[~space[buf]]] * power[inside]
     return mix64(np.add.reduceat(values, at)), first
 
 
