@@ -360,6 +360,21 @@ def redact(texts: list[str | None]) -> list[str | None]:
     return out
 
 
+def redact_rows(docs: DataFrame) -> DataFrame:
+    """The rows of documents(doc_id, text, lang, source, n_chars) with redacted texts.
+
+    ``n_chars`` follows a text that changed; a null text stays null.
+    """
+    rows = docs.select(F.struct("doc_id", "text", "lang", "source", "n_chars").alias("row"), "text")
+
+    def run(keys, texts):
+        new = redact(texts)
+        chars = [k["n_chars"] if a == b else len(b) for k, a, b in zip(keys, texts, new)]
+        return [[k["doc_id"] for k in keys], new, [k["lang"] for k in keys], [k["source"] for k in keys], chars]
+
+    return map_texts(rows, "row", "text", run, "doc_id long, text string, lang string, source string, n_chars long")
+
+
 def _merge(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, end, kind) of the joined overlapping spans, last first."""
     out: list[list[int]] = []

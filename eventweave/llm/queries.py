@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventweave.llm import (
+    decontaminate,
     language,
     ngram_join,
     packing,
@@ -49,6 +50,10 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(_table(spark, sf_dir, "documents"))
 
@@ -73,7 +78,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_ngram_join, op3_packing, op4_page_text, op5_repeats, op7_secrets,
+    op1_quality_rules, op2_ngram_join, op3_packing, op4_page_text, op5_repeats, op6_decontamination, op7_secrets,
     op8_language, op9_toxicity, op10_pii)}
 
 SQL: dict[str, str] = {}
