@@ -8,7 +8,8 @@ line. Every remaining line has a weight, its text length less twice that of
 its links; where the page marks its article, lines outside weigh nothing and
 lines inside at least ``SURGE``. Weights are summed over sliding windows of
 ``BLOCK`` lines. The text starts where the sums surge and ends where they dive
-to ``DIVE``; weightless lines at both ends of the stretch are cut off. A page
+to ``DIVE``; weightless lines at both ends of the stretch are cut off, and
+stretches at most ``BLOCK`` lines apart are one. A page
 that marks its article keeps every stretch of it, any other the heaviest
 stretch and those of at least ``SHARE`` of its weight.
 """
@@ -180,6 +181,8 @@ def main_text(page: str | None) -> str:
         while b > a and not weights[b - 1]:
             b -= 1
         if a < b:
+            if stretches and a - stretches[-1][1] <= BLOCK:     # a short dip is part of the text
+                a = stretches.pop()[0]
             stretches.append((a, b, sum(weights[a:b])))
         i = j
     if not stretches:

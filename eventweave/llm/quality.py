@@ -2,8 +2,8 @@
 
 Rules look at a text's statistics and vote good, bad or abstain. No rule
 decides alone: expectation-maximisation over the counts of all vote patterns
-of the corpus estimates the share of good texts and how often each rule is
-right when it votes, and a text is kept when the posterior probability that
+of the corpus estimates the share of good texts and, for each rule, how often
+it is right on good and on bad texts when it votes, and a text is kept when the posterior probability that
 it is good reaches one half and it passes the fixed base checks.
 
 The statistics take one pass over the texts and are landed as a narrow table.
@@ -85,50 +85,50 @@ def _rule(good, bad):
 
 def votes() -> dict:
     """The rules, as vote columns over the statistics: 1 good, -1 bad, 0 abstains."""
-    words, chars = F.col("n_words"), F.col("word_chars")
-    lines = F.col("n_lines")
+    words, chars, lines = F.col("n_words"), F.col("word_chars"), F.col("n_lines")
+    letters, some = F.col("n_letters"), F.col("n_words") >= 30
     return {
-        "length": _rule(words >= 80, words < 30),
-        "word_size": _rule((chars >= 3 * words) & (chars <= 12 * words) & (words > 0),
-                           (chars < 2 * words) | (chars > 16 * words) | (words == 0)),
-        "symbols": _rule(F.col("n_symbols") * 100 <= words, F.col("n_symbols") * 5 >= words),
-        "line_copies": _rule((F.col("n_dup_lines") == 0) & (lines >= 3), F.col("n_dup_lines") * 3 > lines),
-        "repeats": _rule(F.col("n_repeat_words") * 20 <= words, F.col("n_repeat_words") * 10 > words * 3),
-        "capitals": _rule(F.col("n_upper") * 6 <= F.col("n_letters"), F.col("n_upper") * 2 > F.col("n_letters")),
-        "letters": _rule(F.col("n_letters") * 10 >= chars * 8, F.col("n_letters") * 2 < chars),
-        "sentences": _rule(F.col("n_ended") * 2 >= lines, (F.col("n_ended") == 0) & (lines > 1)),
+        "symbols": _rule((F.col("n_symbols") * 100 <= words) & some, F.col("n_symbols") * 10 >= words),
+        "line_copies": _rule((F.col("n_dup_lines") == 0) & (lines >= 5), F.col("n_dup_lines") * 3 > lines),
+        "repeats": _rule((F.col("n_repeat_words") * 20 <= words) & some, F.col("n_repeat_words") * 4 > words),
+        "capitals": _rule((F.col("n_upper") * 10 <= letters) & some, F.col("n_upper") * 4 > letters),
+        "letters": _rule(letters * 100 >= chars * 92, letters * 100 < chars * 86),
+        "sentences": _rule((F.col("n_ended") * 10 >= lines * 9) & (lines >= 3), F.col("n_ended") * 2 < lines),
+        "word_size": _rule((chars * 2 >= words * 7) & (chars * 2 <= words * 13), (chars < words * 2) | (chars > words * 12)),
     }
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> tuple[float, np.ndarray]:
-    """(share of good texts, accuracy of each rule) by expectation-maximisation.
+def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 300) -> tuple[float, np.ndarray]:
+    """(share of good texts, how often each rule that votes votes good: on good texts, on bad ones).
 
-    ``patterns`` has vote patterns with their counts. Starting from rules that
-    are right three times in four, each round takes the posterior of every
-    pattern and counts anew how often each rule agrees with it. One good and
-    one bad text in agreement are added to each count, so that no accuracy
-    reaches 0 or 1.
+    ``patterns`` has vote patterns with their counts. Texts without a bad vote
+    begin as likely good, others as likely bad; each round counts the votes
+    anew under the posterior of every pattern and takes the posterior of the
+    counts. Abstentions say nothing. One vote of each kind is added to every
+    count, so that no rate reaches 0 or 1.
     """
     if not patterns:
-        return 0.5, np.zeros(0)
+        return 0.5, np.full((2, 0), 0.5)
     v = np.array([p for p, _ in patterns], dtype=np.int8)
     n = np.array([c for _, c in patterns], dtype=np.float64)
-    share, right = 0.8, np.full(v.shape[1], 0.75)
+    p = np.where((v == -1).any(axis=1), 0.2, 0.9)
     for _ in range(rounds):
-        p = posterior(v, share, right)
-        voted = (n[:, None] * (v != 0)).sum(axis=0)
-        agree = (n[:, None] * (p[:, None] * (v == 1) + (1 - p[:, None]) * (v == -1))).sum(axis=0)
-        new_share, new_right = (n @ p + 1) / (n.sum() + 2), (agree + 3) / (voted + 4)
-        moved = max(abs(new_share - share), np.abs(new_right - right).max())
-        share, right = new_share, new_right
+        share = float((n @ p + 1) / (n.sum() + 2))
+        weights = np.stack([n * p, n * (1 - p)])
+        good, bad = weights @ (v == 1), weights @ (v == -1)
+        rates = (good + 1) / (good + bad + 2)
+        new = posterior(v, share, rates)
+        moved = np.abs(new - p).max()
+        p = new
         if moved < 1e-9:
             break
-    return float(share), right
+    return share, rates
 
 
-def posterior(v: np.ndarray, share: float, right: np.ndarray) -> np.ndarray:
-    odds = np.log(share / (1 - share)) + (v * np.log(right / (1 - right))).sum(axis=1)
-    return 1 / (1 + np.exp(-odds))
+def posterior(v: np.ndarray, share: float, rates: np.ndarray) -> np.ndarray:
+    """Probability that a text with these votes is good."""
+    for_good, for_bad = np.log(rates[0] / rates[1]), np.log((1 - rates[0]) / (1 - rates[1]))
+    return 1 / (1 + np.exp(-(np.log(share / (1 - share)) + (v == 1) @ for_good + (v == -1) @ for_bad)))
 
 
 def assess(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -144,10 +144,11 @@ def assess(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     voted = stats.select("*", *[v.cast("byte").alias(f"vote_{k}") for k, v in rules.items()])
     names = [f"vote_{k}" for k in rules]
     counted = voted.groupBy(*names).count().collect()     # at most 3 ** len(rules) rows
-    share, right = estimate([(tuple(r[:-1]), r[-1]) for r in counted])
+    share, rates = estimate([(tuple(r[:-1]), r[-1]) for r in counted])
     odds = F.lit(float(np.log(share / (1 - share))))
-    for name, r in zip(names, right.tolist()):
-        odds = odds + F.col(name) * F.lit(float(np.log(r / (1 - r))))
+    for name, on_good, on_bad in zip(names, *rates.tolist()):
+        odds = odds + (F.when(F.col(name) == 1, float(np.log(on_good / on_bad)))
+                       .when(F.col(name) == -1, float(np.log((1 - on_good) / (1 - on_bad)))).otherwise(0.0))
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     return (voted.withColumn("base_failed", failed).withColumn("p_good", 1 / (1 + F.exp(-odds)))
             .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5)).drop(*names))
