@@ -20,18 +20,18 @@ def c(name: str) -> Column:
 # --- event predicates (always on (kind, phase): codes differ per kind) -----
 
 def is_task_ok(o: LineageOptions = DEFAULT) -> Column:
-    return (c("kind") == "task") & (c("phase") == o.task_node_succeeded)
+    return F.coalesce((c("kind") == "task") & (c("phase") == o.task_node_succeeded), F.lit(False))
 
 
 def is_node_ok(o: LineageOptions = DEFAULT) -> Column:
-    return ((c("kind") == "node") & (c("phase") == o.task_node_succeeded)
-            & ~F.coalesce(c("node_id"), F.lit("")).endswith(o.node_suffix_excluded))
+    return F.coalesce((c("kind") == "node") & (c("phase") == o.task_node_succeeded)
+                      & ~F.coalesce(c("node_id"), F.lit("")).endswith(o.node_suffix_excluded), F.lit(False))
 
 
 def is_wf_success(o: LineageOptions = DEFAULT) -> Column:
-    return ((c("kind") == "workflow")
-            & c("phase").isin(o.workflow_succeeding, o.workflow_succeeded)
-            & F.coalesce(c("wf_output_uri"), F.lit("")).contains(o.end_node_marker))
+    return F.coalesce((c("kind") == "workflow")
+                      & c("phase").isin(o.workflow_succeeding, o.workflow_succeeded)
+                      & F.coalesce(c("wf_output_uri"), F.lit("")).contains(o.end_node_marker), F.lit(False))
 
 
 def canonical_node_index(node_id: Column) -> Column:
@@ -54,10 +54,15 @@ def int_div(x: Column, d: int) -> Column:
 
 
 def ns_to_text(ns: Column) -> Column:
-    """Epoch ns -> Python ``str(datetime)``: no fraction when zero, else 6 digits."""
+    """Epoch ns -> Python ``str(datetime)`` in UTC: no fraction when zero, else 6 digits.
+
+    The session's time zone plays no part: the text comes from a timestamp without zone.
+    """
     micros = int_div(ns, 1000)
     frac = F.pmod(micros, F.lit(1_000_000))
-    base = F.date_format(F.timestamp_micros(micros), "yyyy-MM-dd HH:mm:ss")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = F.make_dt_interval(secs=F.floor(micros / F.lit(1_000_000)).cast("decimal(18,6)"))
+    base = F.substring((epoch + seconds).cast("string"), 1, 19)
     return F.when(frac == 0, base).otherwise(
         F.concat(base, F.lit("."), F.lpad(frac.cast("string"), 6, "0")))
 

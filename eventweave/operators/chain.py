@@ -14,7 +14,7 @@ from eventweave.functions.columns import (
     before_first_dash, before_last_dot, c, first_or_empty, is_task_ok, ns_to_text,
     version_number)
 from eventweave.operators.gate import keep_events
-from eventweave.operators.ordering import has_hot, ordered_scan, range_bucket
+from eventweave.operators.ordering import ordered_scan, split_hot
 from eventweave.options import DEFAULT, LineageOptions
 
 # Time order of events; ties keep arrival order, then any remaining column.
@@ -31,17 +31,16 @@ def order_cols(names: list[str]):
 def event_positions(events: DataFrame, verdict: DataFrame, column: str | None,
                     o: LineageOptions = DEFAULT) -> DataFrame:
     """Every event of the selected runs with its 0-based time position."""
-    stats = verdict if column is None else verdict.filter(c(column))
-    if not has_hot(stats, "n_events", o.hot_group_rows):
-        ev = events if column is None else events.join(
-            stats.select("workflow_id"), "workflow_id", "left_semi")
-        return ordered_scan(ev, "workflow_id", order_cols(TIME_ORDER), pos_col="event_pos")
-    ev = events.join(stats.select("workflow_id", "n_events", "ns_min", "ns_max"), "workflow_id")
-    bucket = range_bucket(c("occurred_at_ns"), c("ns_min"), c("ns_max"), c("n_events"),
-                          o.hot_group_rows, o.hot_group_buckets)
-    out = ordered_scan(ev, "workflow_id", order_cols(TIME_ORDER), bucket=bucket,
-                       pos_col="event_pos")
-    return out.drop("n_events", "ns_min", "ns_max")
+    ev = events if column is None else events.join(
+        verdict.filter(c(column)).select("workflow_id"), "workflow_id", "left_semi")
+    ev, bucket = split_hot(ev, "workflow_id", "occurred_at_ns", o.hot_group_rows) if _any_hot(
+        verdict, "n_events", o) else (ev, None)
+    return ordered_scan(ev, "workflow_id", order_cols(TIME_ORDER), bucket=bucket, pos_col="event_pos")
+
+
+def _any_hot(verdict: DataFrame, counted: str, o: LineageOptions) -> bool:
+    """Whether a run of the verdicts is large enough to be split; reads one row per run."""
+    return not verdict.filter(c(counted) > o.hot_group_rows).isEmpty()
 
 
 def task_chain(events: DataFrame, verdict: DataFrame, o: LineageOptions = DEFAULT,
@@ -51,17 +50,11 @@ def task_chain(events: DataFrame, verdict: DataFrame, o: LineageOptions = DEFAUL
     ``verdict`` should be materialised: it is read once to decide whether any
     run is large enough to need the ordered split, and again for the join.
     """
-    if not has_hot(verdict.filter(c(column)), "n_task_ok", o.hot_group_rows):
-        tasks = keep_events(events.filter(is_task_ok(o)), verdict, column, extra=("n_task_ok",))
-        return ordered_scan(tasks, "workflow_id", order_cols(TIME_ORDER),
-                            prev={"upstream_task": "task_name"}, pos_col="task_index")
-    tasks = keep_events(events.filter(is_task_ok(o)), verdict, column,
-                        extra=("n_task_ok", "task_ns_min", "task_ns_max"))
-    bucket = range_bucket(c("occurred_at_ns"), c("task_ns_min"), c("task_ns_max"),
-                          c("n_task_ok"), o.hot_group_rows, o.hot_group_buckets)
-    out = ordered_scan(tasks, "workflow_id", order_cols(TIME_ORDER), bucket=bucket,
-                       prev={"upstream_task": "task_name"}, pos_col="task_index")
-    return out.drop("task_ns_min", "task_ns_max")
+    tasks = keep_events(events.filter(is_task_ok(o)), verdict, column, extra=("n_task_ok",))
+    tasks, bucket = split_hot(tasks, "workflow_id", "occurred_at_ns", o.hot_group_rows) if _any_hot(
+        verdict.filter(c(column)), "n_task_ok", o) else (tasks, None)
+    return ordered_scan(tasks, "workflow_id", order_cols(TIME_ORDER), bucket=bucket,
+                        prev={"upstream_task": "task_name"}, pos_col="task_index")
 
 
 def task_projection(chain: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Schema converter: Arrow-style field types -> catalog field type classes.
 
 The type table is a DataFrame argument (replaceable, as the reference lets a
-subclass replace its mapping), joined by broadcast: it has a fixed,
-small number of rows. One unmappable column rejects the whole dataset.
+subclass replace its mapping); the default table is broadcast, it has a
+fixed, small number of rows. One unmappable column rejects the whole dataset.
 """
 
 from __future__ import annotations
@@ -55,6 +55,7 @@ class CatalogSchemaConverter:
 
     def __init__(self, spark: SparkSession, type_map: DataFrame | None = None,
                  strict: bool = True):
+        self.fixed = type_map is None
         self.type_map = type_map if type_map is not None else type_map_frame(spark, strict)
         self.strict = strict
 
@@ -72,8 +73,9 @@ class CatalogSchemaConverter:
 
     def convert(self, fields: DataFrame) -> DataFrame:
         """``fields``: dataset, position, name, native_type, nullable."""
-        tm = F.broadcast(self.type_map.select(c("native_type").alias("_t"),
-                                              c("type_class").alias("_mapped")))
+        tm = self.type_map.select(c("native_type").alias("_t"), c("type_class").alias("_mapped"))
+        if self.fixed:      # 29 rows; a caller's table is left to the planner
+            tm = F.broadcast(tm)
         joined = fields.join(tm, fields.native_type == tm._t, "left")
         return joined.select(
             "dataset", "position",

@@ -50,22 +50,31 @@ def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
-def dataset_entities(instances: DataFrame, converted_ok: DataFrame,
+def _opt(df: DataFrame, name: str, default: Column) -> Column:
+    """A column that callers may supply, else its default."""
+    return F.coalesce(c(name), default) if name in df.columns else default
+
+
+def dataset_entities(instances: DataFrame, converted: DataFrame,
                      o: LineageOptions = DEFAULT) -> DataFrame:
     """L1: one snapshot per dataset instance whose schema converts.
 
     ``instances``: run dataset rows joined to their source profile (fields,
-    n_rows, n_cols, nbytes, raw_schema). ``converted_ok``: source datasets
-    whose every field maps to a class (C3), with the converted field list.
+    n_rows, n_cols, nbytes, raw_schema). ``converted``: the fields of source
+    datasets whose every field maps to a class (C3); each field of the change
+    event carries its class.
     """
-    d = instances.join(converted_ok, "schema_uri", "left_semi")
-    owners = F.coalesce(c("owners"), _empty()) if "owners" in d.columns else _empty()
-    tags = F.coalesce(c("tags"), _empty()) if "tags" in d.columns else _empty()
+    classes = converted.groupBy(c("dataset").alias("schema_uri")).agg(     # a source's fields
+        F.transform(F.array_sort(F.collect_list(F.struct("position", "type_class"))),
+                    lambda x: x["type_class"]).alias("_classes"))
+    d = instances.join(classes, "schema_uri")
+    owners, tags = _opt(d, "owners", _empty()), _opt(d, "tags", _empty())
     meta = (c("metadata") if "metadata" in d.columns
             else F.create_map(F.lit("uri"), c("dataset_uri")))
     custom = merge_metadata(meta, c("n_rows"), c("n_cols"), c("nbytes"))
-    fields = F.transform(c("fields"), lambda f: F.struct(
+    fields = F.zip_with("fields", "_classes", lambda f, k: F.struct(
         f["name"].alias("fieldPath"), f["type"].alias("nativeDataType"),
+        F.struct(F.struct(k.alias("class")).alias("type")).alias("type"),
         f["name"].alias("description"), F.lit(False).alias("recursive"),
         f["nullable"].alias("nullable")))
     schema_md = F.struct(
@@ -75,9 +84,10 @@ def dataset_entities(instances: DataFrame, converted_ok: DataFrame,
         schema_hash(c("dataset_name"), c("fields")).alias("hash"),
         F.struct(c("raw_schema").alias("rawSchema")).alias("platformSchema"),
         fields.alias("fields"),
+        audit_stamp(_opt(d, "last_modified_ns", F.lit(None).cast("bigint")), o).alias("lastModified"),
         audit_stamp(c("created_ns"), o).alias("created"))
     aspects = F.filter(F.array(
-        _aspect("datasetProperties", F.struct(F.lit("").alias("description"),
+        _aspect("datasetProperties", F.struct(_opt(d, "description", F.lit("")).alias("description"),
                                               custom.alias("customProperties"))),
         _aspect("status", F.struct(F.lit(False).alias("removed"))),
         _aspect("ownership", owners_aspect(owners)),
@@ -116,8 +126,9 @@ def task_links(tasks: DataFrame, header: DataFrame, io: DataFrame,
     t = (tasks.join(header.select("workflow_id", "pipeline_name"), "workflow_id")
          .join(io, ["workflow_id", "task_index"], "left"))
     flow = c("pipeline_name")
+    own = [x for x in ("description", "owners", "tags") if x in tasks.columns]
     return t.select(
-        "workflow_id", "task_index", "task_name", "pipeline_name", "metadata", "url",
+        "workflow_id", "task_index", "task_name", "pipeline_name", "metadata", "url", *own,
         job_urn(flow, c("task_name"), o).alias("urn"),
         F.coalesce(c("input_urns"), _empty()).alias("input_urns"),
         F.coalesce(c("output_urns"), _empty()).alias("output_urns"),
@@ -126,15 +137,21 @@ def task_links(tasks: DataFrame, header: DataFrame, io: DataFrame,
 
 
 def task_entities(links: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:
-    """L2: one snapshot per chained task: info, input/output, owners (three aspects)."""
+    """L2: one snapshot per chained task: info, input/output, tags if any, owners.
+
+    ``links`` may carry ``description``, ``owners`` and ``tags`` of the task.
+    """
+    tags = _opt(links, "tags", _empty())
     info = F.struct(c("task_name").alias("name"),
-                    F.lit(JOB_TYPE).alias("type"), F.lit("").alias("description"),
+                    F.lit(JOB_TYPE).alias("type"), _opt(links, "description", F.lit("")).alias("description"),
                     c("metadata").alias("customProperties"), c("url").alias("externalUrl"))
     job_io = F.struct(c("input_urns").alias("inputDatasets"),
                       c("output_urns").alias("outputDatasets"),
                       c("upstream_urns").alias("inputDatajobs"))
-    aspects = F.array(_aspect("dataJobInfo", info), _aspect("dataJobInputOutput", job_io),
-                      _aspect("ownership", owners_aspect(_empty())))
+    aspects = F.filter(F.array(
+        _aspect("dataJobInfo", info), _aspect("dataJobInputOutput", job_io),
+        F.when(F.size(tags) > 0, _aspect("globalTags", tags_aspect(tags))),
+        _aspect("ownership", owners_aspect(_opt(links, "owners", _empty())))), lambda a: a.isNotNull())
     return links.select(
         "workflow_id", "task_index", "task_name",
         F.lit("dataJob").alias("entity_type"), "urn", aspects.alias("aspects"),
@@ -142,17 +159,25 @@ def task_entities(links: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:
 
 
 def flow_entities(header: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:
-    """L3: one snapshot per pipeline: info, owners, tags (always three)."""
-    info = F.struct(c("pipeline_name").alias("name"), F.lit("").alias("description"),
-                    F.create_map().cast("map<string,string>").alias("customProperties"),
-                    F.lit("").alias("externalUrl"))
+    """L3: one snapshot per pipeline: info, owners, tags (always three).
+
+    ``header`` may carry ``description``, ``metadata``, ``url``, ``owners`` and ``tags``.
+    """
+    info = F.struct(c("pipeline_name").alias("name"), _opt(header, "description", F.lit("")).alias("description"),
+                    _opt(header, "metadata", F.create_map().cast("map<string,string>")).alias("customProperties"),
+                    _opt(header, "url", F.lit("")).alias("externalUrl"))
     aspects = F.array(_aspect("dataFlowInfo", info),
-                      _aspect("ownership", owners_aspect(_empty())),
-                      _aspect("globalTags", tags_aspect(_empty())))
+                      _aspect("ownership", owners_aspect(_opt(header, "owners", _empty()))),
+                      _aspect("globalTags", tags_aspect(_opt(header, "tags", _empty()))))
     return header.select("workflow_id", "pipeline_name", F.lit("dataFlow").alias("entity_type"),
                          flow_urn(c("pipeline_name"), o).alias("urn"), aspects.alias("aspects"))
 
 
+def single_task(tasks: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The change events of chosen tasks only; ``chosen(workflow_id, task_name)``."""
+    return tasks.join(chosen.select("workflow_id", "task_name").distinct(), ["workflow_id", "task_name"], "left_semi")
+
+
 def mce_stream(datasets: DataFrame, flows: DataFrame, tasks: DataFrame,
                o: LineageOptions = DEFAULT) -> DataFrame:
     """Change events in emission order (grp, slot, item) per run."""

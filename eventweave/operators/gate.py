@@ -3,11 +3,10 @@
 Snapshot = the reference's completeness predicate evaluated over all events
 of a run: exactly one workflow success event whose output URI names the end
 node, as many successful task events as distinct successful node ids, and
-more than 7 events. Everything is one ``groupBy(workflow_id)`` aggregate:
-partial aggregation before the shuffle, so a run with a huge share of the
-events costs one pre-aggregated row per map task, not a hot reducer. The
-distinct node counts use Spark's expand-based distinct aggregation, which
-shuffles on ``(workflow_id, node_id)`` first.
+more than 7 events. Events are counted per (run, successful node) first and then
+per run, both with partial aggregation before the shuffle, so a run with a
+huge share of the events costs a few pre-aggregated rows per map task, and
+distinct nodes are just rows of the first step.
 """
 
 from __future__ import annotations
@@ -26,21 +25,23 @@ REASONS = ("no_success_event", "multiple_success_events", "task_node_mismatch",
 
 def run_stats(events: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:
     """One row per run with every count the gate and the chain need."""
-    node_ok = is_node_ok(o)
-    canon = canonical_node_index(c("node_id"))
     task_ok = is_task_ok(o)
-    return events.groupBy("workflow_id").agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.count_if(is_wf_success(o)).alias("n_wf_success"),
-        F.count_if(task_ok).alias("n_task_ok"),
-        F.count_distinct(F.when(node_ok, c("node_id"))).alias("n_node_ok"),
-        F.count_distinct(F.when(node_ok & canon.isNotNull(), c("node_id"))).alias("n_node_canon"),
-        F.max(F.when(node_ok, canon)).alias("max_node_idx"),
-        F.min("occurred_at_ns").alias("ns_min"),
-        F.max("occurred_at_ns").alias("ns_max"),
-        F.min(F.when(task_ok, c("occurred_at_ns"))).alias("task_ns_min"),
-        F.max(F.when(task_ok, c("occurred_at_ns"))).alias("task_ns_max"),
-    )
+    per_node = events.groupBy("workflow_id", F.when(is_node_ok(o), c("node_id")).alias("_node")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(is_wf_success(o)).alias("_wf"),
+        F.count_if(task_ok).alias("_task"),
+        F.min("occurred_at_ns").alias("_min"),
+        F.max("occurred_at_ns").alias("_max"))
+    canon = canonical_node_index(c("_node"))
+    return per_node.groupBy("workflow_id").agg(
+        F.sum("_n").alias("n_events"),
+        F.sum("_wf").alias("n_wf_success"),
+        F.sum("_task").alias("n_task_ok"),
+        F.count("_node").alias("n_node_ok"),
+        F.count(canon).alias("n_node_canon"),
+        F.max(canon).alias("max_node_idx"),
+        F.min("_min").alias("ns_min"),
+        F.max("_max").alias("ns_max"))
 
 
 def decide(stats: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:

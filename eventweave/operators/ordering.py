@@ -17,30 +17,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def has_hot(stats: DataFrame, n_col: str, threshold: int) -> bool:
-    """True if any key of ``stats`` has more than ``threshold`` rows.
+def split_hot(df: DataFrame, key: str | Sequence[str], value: str,
+              hot_rows: int) -> tuple[DataFrame, Column | None]:
+    """(``df``, bucket column) for ``ordered_scan``; None when no key has more than ``hot_rows`` rows.
 
-    A runtime plan choice (like AQE's): with no hot key the per-key windows
-    run without the bucket split, its extra exchange and its offset join.
-    ``stats`` should be materialised (checkpointed) when the caller reuses it.
+    The values of a hot key are cut at their own quantiles, as many as leave
+    about ``hot_rows`` rows in each bucket, so clustered values split as well
+    as even ones. Equal values share a bucket and NULL is in the first, as it
+    sorts first, so bucket order equals value order.
     """
-    return not stats.filter(F.col(n_col) > F.lit(threshold)).isEmpty()
-
-
-def range_bucket(value: Column, lo: Column, hi: Column, n_rows: Column,
-                 rows_per_bucket: int, max_buckets: int) -> Column:
-    """Order-preserving bucket of ``value`` within ``[lo, hi]``.
-
-    Keys with at most ``rows_per_bucket`` rows get bucket 0; larger keys get
-    up to ``max_buckets`` equal-width value ranges. Monotone in ``value``
-    (correctly rounded double operations are monotone), so bucket order
-    equals value order.
-    """
-    nb = F.least(F.lit(max_buckets).cast("bigint"),
-                 F.ceil(n_rows / F.lit(rows_per_bucket)).cast("bigint"))
-    width = (hi - lo).cast("double") + F.lit(1.0)
-    b = F.floor((value - lo).cast("double") / width * nb.cast("double"))
-    return F.when(n_rows > F.lit(rows_per_bucket), F.least(b, nb - 1)).otherwise(F.lit(0)).cast("bigint")
+    keys = [key] if isinstance(key, str) else list(key)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(hot_rows))
+    largest = counts.agg(F.max("_n")).first()[0]
+    if largest is None:
+        return df, None
+    n = -(-largest // hot_rows)
+    cuts = F.percentile_approx(value, [k / n for k in range(1, n)] or [0.5], 100 * n)
+    bounds = (df.join(counts.select(*keys), keys, "left_semi").groupBy(*keys)
+              .agg(F.array_distinct(cuts).alias("_cuts"))).checkpoint()
+    bucket = F.coalesce(F.size(F.filter("_cuts", lambda x: x < F.col(value))), F.lit(0)).cast("bigint")
+    bucket = F.when(F.col("_cuts").isNull() | F.col(value).isNull(), F.lit(0).cast("bigint")).otherwise(bucket)
+    return df.join(bounds, keys, "left"), bucket
 
 
 def ordered_scan(df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str],
@@ -80,7 +77,7 @@ def ordered_scan(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
             out = out.withColumnRenamed(f"_p_{name}", name)
         return out.drop(*[f"_v_{n}" for n in sums])
 
-    # Per (key, bucket) totals: at most max_buckets rows per key.
+    # Per (key, bucket) totals: a key's rows over hot_rows of them.
     aggs = [F.count(F.lit(1)).alias("_c")]
     aggs += [F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums]
     aggs += [F.max_by(src, "_loc").alias(f"_l_{n}") for n, src in prev.items()]
@@ -97,6 +94,6 @@ def ordered_scan(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
     for name in prev:
         out = out.withColumn(name, F.when(F.col("_loc") == 0, F.col(f"_q_{name}"))
                              .otherwise(F.col(f"_p_{name}")))
-    drop = ["_b", "_loc", "_off"] + [f"_{p}_{n}" for n in sums for p in "vro"]
+    drop = ["_b", "_loc", "_off", "_cuts"] + [f"_{p}_{n}" for n in sums for p in "vro"]
     drop += [f"_{p}_{n}" for n in prev for p in "pq"]
     return out.drop(*drop)

@@ -73,20 +73,42 @@ def _value_bytes(col: Column, dt: T.DataType) -> Column | None:
     if isinstance(dt, (T.StringType, T.BinaryType, T.CharType, T.VarcharType)):
         return F.octet_length(col)
     if isinstance(dt, T.ArrayType):
-        et = dt.elementType
-        w = _width(et)
-        n = F.coalesce(F.array_size(col), F.lit(0))
-        if w is not None:
-            return n * F.lit(w)
-        if isinstance(et, (T.StringType, T.BinaryType)):
-            return F.aggregate(col, F.lit(0).cast("bigint"),
-                               lambda acc, x: acc + F.coalesce(F.octet_length(x), F.lit(0))
-                               + F.lit(4))
-        if isinstance(et, T.BooleanType):
-            return F.ceil(n / F.lit(8))
+        return _list_bytes(col, dt.elementType)
+    if isinstance(dt, T.MapType):
+        return _list_bytes(F.map_keys(col), dt.keyType) + _list_bytes(F.map_values(col), dt.valueType)
+    if isinstance(dt, T.StructType):
+        return _child_bytes(col, dt)
     return None
 
 
+def _list_bytes(col: Column, element: T.DataType) -> Column:
+    """Bytes of the child array of one list value."""
+    n = F.coalesce(F.array_size(col), F.lit(0)).cast("bigint")
+    w = _width(element)
+    if w is not None:
+        return n * F.lit(w)
+    if isinstance(element, T.BooleanType):
+        return F.ceil(n / F.lit(8))
+    return F.coalesce(F.aggregate(col, F.lit(0).cast("bigint"),
+                                  lambda acc, x: acc + _child_bytes(x, element)), F.lit(0).cast("bigint"))
+
+
+def _child_bytes(col: Column, dt: T.DataType) -> Column:
+    """Bytes of one value in a child array: its fixed part, offsets and what they point at."""
+    w = _width(dt)
+    if w is not None:
+        return F.lit(w).cast("bigint")
+    if isinstance(dt, T.StructType):
+        out = F.lit(0).cast("bigint")
+        for f in dt.fields:
+            out = out + _child_bytes(col[f.name], f.dataType)
+        return out
+    if isinstance(dt, T.BooleanType):
+        return F.lit(0).cast("bigint")      # a bit; below the estimate's grain
+    inner = _value_bytes(col, dt)
+    return F.lit(4).cast("bigint") + (F.lit(0) if inner is None else F.coalesce(inner, F.lit(0))).cast("bigint")
+
+
 def profile_aggs(schema: T.StructType) -> tuple[list[Column], Column, Column]:
     """Aggregate expressions plus the final ``nbytes`` and ``n_rows`` expressions.
 
@@ -114,7 +136,7 @@ def profile_aggs(schema: T.StructType) -> tuple[list[Column], Column, Column]:
             if vb is not None:
                 aggs.append(F.coalesce(F.sum(vb), F.lit(0)).cast("bigint").alias(f"_vb{i}"))
                 offsets = rows * F.lit(4) if isinstance(
-                    dt, (T.StringType, T.BinaryType, T.CharType, T.VarcharType, T.ArrayType)) \
+                    dt, (T.StringType, T.BinaryType, T.CharType, T.VarcharType, T.ArrayType, T.MapType)) \
                     else F.lit(0)
                 part = part + offsets + F.col(f"_vb{i}")
         parts.append(part)

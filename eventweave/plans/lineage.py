@@ -62,8 +62,7 @@ def build(spark: SparkSession, events: DataFrame, literals: DataFrame,
     """Declare every lineage output.
 
     ``profiles`` has one row per source dataset (``pf.profile`` columns with
-    ``uri`` = the schema URI the literals point at). The number of distinct
-    sources is bounded by the catalog, so it is broadcast.
+    ``uri`` = the schema URI the literals point at).
     """
     # The run verdicts (one row per run) are read several times: written once
     # to the checkpoint folder. With ``materialize`` the chain is too, since
@@ -81,7 +80,7 @@ def build(spark: SparkSession, events: DataFrame, literals: DataFrame,
     outputs = ds.task_outputs(tdata)
     run_ds = ds.run_datasets(tdata)
 
-    prof = F.broadcast(profiles.withColumnRenamed("uri", "schema_uri"))
+    prof = profiles.withColumnRenamed("uri", "schema_uri")
     instances = run_ds.join(prof, "schema_uri")
 
     field_rows = prof.select(c("schema_uri").alias("dataset"),
@@ -90,9 +89,8 @@ def build(spark: SparkSession, events: DataFrame, literals: DataFrame,
         c("f.type").alias("native_type"), c("f.nullable").alias("nullable"))
     conv = cv.CatalogSchemaConverter(spark, type_map, strict=o.strict_types).convert(field_rows)
     good, bad = cv.all_or_nothing(conv)
-    ok_sources = good.select(c("dataset").alias("schema_uri")).distinct()
 
-    d_ent = en.dataset_entities(instances, ok_sources, o)
+    d_ent = en.dataset_entities(instances, good, o)
     io = en.task_io(inputs, outputs, o)
     links = en.task_links(tasks, header, io, o)
     t_ent = en.task_entities(links, o)

@@ -21,6 +21,7 @@ from eventweave.operators import datasets as ds
 from eventweave.operators import gate as gt
 from eventweave.operators import profile as pf
 from eventweave.operators import replay as rp
+from eventweave.operators import entities as en
 from eventweave.operators.entities import audit_stamp
 from eventweave.options import DEFAULT, LineageOptions
 from eventweave.plans import lineage as ln
@@ -260,7 +261,7 @@ def schema_rejects(spark, sf, o: LineageOptions = DEFAULT):
 def _instances(spark, sf, o):
     """Dataset instances of built runs joined to their source profiles."""
     inst = ds.run_datasets(_task_datasets(spark, sf, o))
-    prof = F.broadcast(_profiles(spark, sf))  # one row per source table: bounded
+    prof = _profiles(spark, sf)
     return inst.join(prof, inst.schema_uri == prof.uri).drop("uri")
 
 
@@ -351,7 +352,8 @@ def mce_datasets_only(spark, sf, o: LineageOptions = DEFAULT):
 
 def mce_single_task(spark, sf, o: LineageOptions = DEFAULT):
     """The change event of one chosen task (the first task of each pipeline)."""
-    t = _lineage(spark, sf, o).task_entities.filter(c("task_index") == 0)
+    lf = _lineage(spark, sf, o)
+    t = en.single_task(lf.task_entities, lf.chain.filter(c("task_index") == 0).select("workflow_id", "task_name"))
     return t.select("workflow_id", "task_name", "urn", F.size("aspects").alias("n_aspects"))
 
 
@@ -438,8 +440,10 @@ def envelopes(spark, sf):
 
 def _landed_envelopes(spark, sf):
     """The envelope log as landed data: encoded once, written to the checkpoint folder."""
-    checkpoint_dir(spark)
-    return envelopes(spark, sf).checkpoint()
+    path = f"{checkpoint_dir(spark)}/envelopes-{uuid.uuid4().hex}"
+    log = envelopes(spark, sf)
+    log.write.parquet(path)
+    return spark.read.schema(log.schema).parquet(path)
 
 
 def envelope_decode(spark, sf, o: LineageOptions = DEFAULT):
@@ -460,14 +464,9 @@ QUERIES.update({
 
 # --- streaming ------------------------------------------------------------------------
 
-# Arrival-range boundaries of the landing files: runs start, line items by line
-# number, end nodes, succeeding and succeeded events each fall in later files.
-LANDING_BOUNDS = [2, 2 * 10 ** 11, 4 * 10 ** 11, 6 * 10 ** 11, 8 * 10 ** 14, 899999999999999]
-
-
 def _stream_cuts(spark, sf, o):
     landing = f"{checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
-    gs.land_envelopes(envelopes(spark, sf), landing, LANDING_BOUNDS)
+    gs.land_envelopes(envelopes(spark, sf), landing)
     cuts, _ = gs.replay_stream(spark, landing, o, files_per_trigger=4)
     return cuts
 
@@ -510,8 +509,8 @@ def catalog_names(spark, sf, o: LineageOptions = DEFAULT):
 
 
 def missing_databases(spark, sf, o: LineageOptions = DEFAULT):
-    """Databases the catalog lacks for this batch of lineage."""
-    return cat.missing_databases(spark, _catalog_names(spark, sf, o))
+    """Databases that a catalog without any lacks for this batch of lineage."""
+    return cat.missing_databases(spark, _catalog_names(spark, sf, o), spark.createDataFrame([], "db string"))
 
 
 def _fields_text(spark, sf):
@@ -524,7 +523,7 @@ def _fields_text(spark, sf):
 def schema_history(spark, sf, o: LineageOptions = DEFAULT):
     """K6: schema versions of each catalog table across all its writes."""
     return cat.schema_history(_catalog_names(spark, sf, o), _fields_text(spark, sf),
-                              o.hot_group_rows, o.hot_group_buckets)
+                              o.hot_group_rows)
 
 
 def _resolver(spark, sf):
@@ -573,7 +572,7 @@ QUERIES.update({
 def stream_lineage(spark, sf, o: LineageOptions = DEFAULT):
     """T1-T6 + K8/K9 end to end: streaming gate -> per-batch lineage -> metadata target."""
     root = f"{checkpoint_dir(spark)}/stream-lineage-{uuid.uuid4().hex}"
-    gs.land_envelopes(envelopes(spark, sf), f"{root}/landing", LANDING_BOUNDS)
+    gs.land_envelopes(envelopes(spark, sf), f"{root}/landing")
     target = tg.MetadataTarget(f"{root}/mce", o)
     ls.run_lineage_stream(spark, f"{root}/landing", adapter.literals(spark, sf),
                           _profiles(spark, sf), [target], o, files_per_trigger=4)

@@ -49,9 +49,8 @@ def apply_job_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (tests, local runs) a scratch folder is
-    created and registered; on a cluster the setting must point to shared
-    storage and is used as is.
+    A scratch folder is made only for a local master without that setting
+    (tests, local runs); on a cluster the setting is required and used as is.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir()
@@ -61,7 +60,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc._jsc.sc().getCheckpointDir().isEmpty():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="eventweave-ckpt-")
-    sc.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="eventweave-ckpt-"))
+    return sc._jsc.sc().getCheckpointDir().get()

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,8 +12,6 @@ SF001 = "/root/testdata/sf0.001"
 def spark():
     from eventweave.session import checkpoint_dir, local_session
     s = local_session(cores=4, shuffle_partitions=4, app="eventweave-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ew-test-ckpt-"))
     checkpoint_dir(s)
     yield s
     s.stop()

@@ -10,7 +10,7 @@ from eventweave.operators import replay as rp
 from eventweave.options import DEFAULT
 from eventweave.sources import adapter
 
-HOT = replace(DEFAULT, hot_group_rows=1, hot_group_buckets=3)
+HOT = replace(DEFAULT, hot_group_rows=2)
 
 
 def rows(df, cols):

@@ -17,27 +17,27 @@ def frames(spark):
     out = lambda i: f"s3://meta/p/n{TOKS.index(f'T{i}')}/outputs.pb"
     inp = f"s3://meta/p/n{TOKS.index('T0')}/inputs.pb"
     lits = spark.createDataFrame([
-        (inp, "a", "schema", "mem://covid"),
-        (out(0), "b", "schema", "mem://world"),
+        (inp, "a", "schema", "mem://cases"),
+        (out(0), "b", "schema", "mem://places"),
         (out(0), "z", "blob", None),
-        (out(1), "c", "schema", "mem://covid_pop"),
+        (out(1), "c", "schema", "mem://joined"),
         (out(1), "d", "collection", None),
     ], LITERALS)
-    covid = spark.createDataFrame([(1, "a"), (2, None)], "id long, name string")
-    world = spark.range(10).select(F.col("id").alias("n"))
-    cpop = spark.createDataFrame([("x", "y", "z")] * 2, "A string, B string, C string")
-    prof = pf.profile_many(spark, {"mem://covid": (covid, "mem://covid"),
-                                   "mem://world": (world, "mem://world"),
-                                   "mem://covid_pop": (cpop, "mem://covid_pop")})
+    cases = spark.createDataFrame([(1, "a"), (2, None)], "id long, name string")
+    places = spark.range(10).select(F.col("id").alias("n"))
+    joined = spark.createDataFrame([("x", "y", "z")] * 2, "A string, B string, C string")
+    prof = pf.profile_many(spark, {"mem://cases": (cases, "mem://cases"),
+                                   "mem://places": (places, "mem://places"),
+                                   "mem://joined": (joined, "mem://joined")})
     return ln.build(spark, ev, lits, prof)
 
 
 def test_profiles(frames):
     got = {r.dataset: (r.n_rows, r.n_cols, r.nbytes) for r in frames.profiles.collect()}
     # 10 x int64 = 80 bytes; id 16 + names 1 byte + 4 x 2 offsets + 1 validity byte
-    assert got["mem://world"] == (10, 1, 80)
-    assert got["mem://covid"] == (2, 2, 16 + 1 + 8 + 1)
-    assert got["mem://covid_pop"] == (2, 3, 3 * (2 + 8))
+    assert got["mem://places"] == (10, 1, 80)
+    assert got["mem://cases"] == (2, 2, 16 + 1 + 8 + 1)
+    assert got["mem://joined"] == (2, 3, 3 * (2 + 8))
 
 
 def test_inputs_propagate(frames):
@@ -75,4 +75,30 @@ def test_dataset_metadata(frames):
     d = {r.dataset_name: r for r in frames.dataset_entities.collect()}
     props = d["pkg.wf.t0.o0"].aspects[0].json
     assert '"shape":"(10, 1)"' in props and '"nbytes":"80"' in props
-    assert '"uri":"mem://world/00000"' in props
+    assert '"uri":"mem://places/00000"' in props
+
+
+def test_type_class_in_the_change_event(frames):
+    import json
+    d = {r.dataset_name: r for r in frames.dataset_entities.collect()}
+    md = json.loads(next(a.json for a in d["pkg.wf.t0.o0"].aspects if a.aspect == "schemaMetadata"))
+    assert md["fields"] == [{"fieldPath": "n", "nativeDataType": "int64", "type": {"type": {"class": "Number"}},
+                             "description": "n", "recursive": False, "nullable": False}]
+
+
+def test_owners_tags_and_stamps_flow_through(spark, frames):
+    import json
+    from eventweave.operators import entities as en
+    h = frames.header.selectExpr("*", "'about' as description", "map('k', 'v') as metadata", "'http://u' as url",
+                                 "array('ann') as owners", "array('gold') as tags")
+    flow = {a.aspect: json.loads(a.json) for a in en.flow_entities(h).first().aspects}
+    assert flow["dataFlowInfo"]["description"] == "about" and flow["dataFlowInfo"]["customProperties"] == {"k": "v"}
+    assert flow["ownership"]["owners"][0]["owner"] == "urn:li:corpuser:ann"
+    assert flow["globalTags"]["tags"] == [{"tag": "urn:li:tag:gold"}]
+    tasks = frames.tasks.selectExpr("*", "'step' as description", "array('bob') as owners", "array('t1') as tags")
+    io = en.task_io(frames.inputs, frames.outputs)
+    job = en.task_entities(en.task_links(tasks, frames.header, io)).first().aspects
+    assert [a.aspect for a in job] == ["dataJobInfo", "dataJobInputOutput", "globalTags", "ownership"]
+    assert json.loads(job[0].json)["description"] == "step"
+    one = en.single_task(frames.task_entities, spark.createDataFrame([("proj-dev-p", "pkg.wf.t1")], "workflow_id string, task_name string"))
+    assert [r.task_name for r in one.collect()] == ["pkg.wf.t1"]
