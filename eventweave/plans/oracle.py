@@ -258,12 +258,6 @@ TABLE_SCHEMAS = {
     "conversations": [("conv_id", "int64"), ("turn", "int64"), ("role", "string"),
                       ("text", "string")],
 }
-DERIVED_SCHEMAS = {
-    "events_props": [("event_id", "int64"), ("props", "struct<k: int64>")],
-    "orders_tz": [("o_orderkey", "int64"), ("o_orderdate", "timestamp[us, tz=UTC]")],
-}
-_WIDTHS = {"int8": 1, "int16": 2, "int32": 4, "int64": 8, "float": 4, "double": 8,
-           "date32[day]": 4, "timestamp[us]": 8, "duration[us]": 8}
 _TABLE_LIST = "[" + ", ".join(f"'{t}'" for t in TABLE_SCHEMAS) + "]"
 
 
@@ -355,7 +349,7 @@ _TYPE_MAP_ROWS = [
     ("duration[ns]", "Time"), ("date32[day]", "Date"), ("date64[ms]", "Date"),
     ("binary", "Bytes"), ("decimal128(20, 0)", "Number"),
 ]
-CONVERT_CTE = (_fields_values({**TABLE_SCHEMAS, **DERIVED_SCHEMAS}) + ",\n"
+CONVERT_CTE = (_fields_values(TABLE_SCHEMAS) + ",\n"
                + "tmap(t, cls) AS (VALUES "
                + ", ".join(f"('{a}', '{b}')" for a, b in _TYPE_MAP_ROWS) + "),\n" + """
 conv AS (
@@ -400,13 +394,19 @@ SELECT workflow_id, slot, ordinal, dataset_name, dataset_uri FROM td""",
     "dataset_profile": _with(PROFILE_CTE) + """
 SELECT dataset, n_rows, n_cols, nbytes FROM prof""",
 
-    "schema_fields": _with(CONVERT_CTE) + """
-SELECT c.* FROM conv c JOIN dsok d ON c.dataset = d.dataset WHERE d.ok""",
+    "schema_fields": DS_BASE + "," + CONVERT_CTE + """
+SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name, c.position, c.field_path,
+  c.native_type, c.type_class, c.description, c.recursive, c.nullable
+FROM td JOIN conv c ON td.schema_uri = 'dataset://' || c.dataset
+  JOIN dsok d ON c.dataset = d.dataset WHERE d.ok""",
 
-    "schema_rejects": _with(CONVERT_CTE) + """
-SELECT dataset, n_bad_fields, first_bad,
-  'unable to convert field ''' || first_bad || '''' AS reason
-FROM dsok WHERE NOT ok""",
+    "schema_rejects": DS_BASE + "," + CONVERT_CTE + """,
+nodouble AS (
+  SELECT dataset, count(*) AS n_bad_fields, arg_min(field_path, position) AS first_bad
+  FROM conv WHERE type_class IS NULL OR native_type = 'double' GROUP BY dataset)
+SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name, n.n_bad_fields, n.first_bad,
+  'unable to convert field ''' || n.first_bad || '''' AS reason
+FROM td JOIN nodouble n ON td.schema_uri = 'dataset://' || n.dataset""",
 
     "schema_hash": DS_BASE + "," + _fields_values(TABLE_SCHEMAS) + """,
 ft AS (SELECT 'dataset://' || dataset AS uri, list_sort(list(native_type)) AS types
@@ -415,10 +415,12 @@ SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name,
   md5(td.dataset_name || array_to_string(ft.types, '')) AS schema_hash
 FROM td JOIN ft ON td.schema_uri = ft.uri""",
 
-    "schema_text": _with(_fields_values(TABLE_SCHEMAS)) + """
-SELECT dataset, string_agg(name || ': ' || native_type
-  || CASE WHEN nullable THEN '' ELSE ' not null' END, chr(10) ORDER BY position) AS schema_text
-FROM fields GROUP BY dataset""",
+    "schema_text": DS_BASE + "," + _fields_values(TABLE_SCHEMAS) + """,
+raw AS (SELECT dataset, string_agg(name || ': ' || native_type
+    || CASE WHEN nullable THEN '' ELSE ' not null' END, chr(10) ORDER BY position) AS schema_text
+  FROM fields GROUP BY dataset)
+SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name, r.schema_text
+FROM td JOIN raw r ON td.schema_uri = 'dataset://' || r.dataset""",
 
     "dataset_metadata": DS_BASE + "," + PROFILE_CTE + """
 SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name, td.version, td.created_ns,

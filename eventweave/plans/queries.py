@@ -219,18 +219,6 @@ def table_frames(spark, sf) -> dict:
     return {t: (read_table(spark, sf, t), adapter.DATASET_SCHEME + t) for t in TABLES}
 
 
-def derived_frames(spark, sf) -> dict:
-    """Datasets Spark derives from the tables, with types the tables lack."""
-    ev = read_table(spark, sf, "events", "event_id", "props")
-    od = read_table(spark, sf, "orders", "o_orderkey", "o_orderdate")
-    return {
-        "events_props": (ev.select("event_id", F.from_json("props", "k bigint").alias("props")),
-                         None),
-        "orders_tz": (od.select("o_orderkey", c("o_orderdate").cast("timestamp")
-                                .alias("o_orderdate")), None),
-    }
-
-
 def _profiles(spark, sf):
     return pf.profile_many(spark, table_frames(spark, sf))
 
@@ -239,23 +227,31 @@ def dataset_profile(spark, sf, o: LineageOptions = DEFAULT):
     return _profiles(spark, sf).select("dataset", "n_rows", "n_cols", "nbytes")
 
 
-def _fields(spark, sf):
+def _source_fields(spark, sf):
+    """The columns of every source that a literal can point at, by its URI."""
     tz = spark.conf.get("spark.sql.session.timeZone", "UTC")
-    frames = {**table_frames(spark, sf), **derived_frames(spark, sf)}
-    return cv.fields_frame(spark, {k: pf.schema_fields(df.schema, tz)
-                                   for k, (df, _) in frames.items()})
+    return cv.fields_frame(spark, {uri: pf.schema_fields(df.schema, tz)
+                                   for df, uri in table_frames(spark, sf).values()})
+
+
+def _run_datasets(spark, sf, o):
+    return ds.run_datasets(_task_datasets(spark, sf, o)).select(
+        "workflow_id", "slot", "ordinal", "dataset_name", c("schema_uri").alias("dataset"))
 
 
 def schema_fields(spark, sf, o: LineageOptions = DEFAULT):
-    conv = cv.CatalogSchemaConverter(spark, strict=o.strict_types).convert(_fields(spark, sf))
+    """The converted fields of every dataset instance of the built runs."""
+    conv = cv.CatalogSchemaConverter(spark, strict=o.strict_types).convert(_source_fields(spark, sf))
     good, _ = cv.all_or_nothing(conv)
-    return good
+    return _run_datasets(spark, sf, o).join(good, "dataset").drop("dataset")
 
 
 def schema_rejects(spark, sf, o: LineageOptions = DEFAULT):
-    conv = cv.CatalogSchemaConverter(spark, strict=o.strict_types).convert(_fields(spark, sf))
+    """Instances that a type table without doubles rejects, each as a whole."""
+    own = cv.type_map_frame(spark).filter(c("native_type") != "double")
+    conv = cv.CatalogSchemaConverter(spark, own, strict=o.strict_types).convert(_source_fields(spark, sf))
     _, bad = cv.all_or_nothing(conv)
-    return bad
+    return _run_datasets(spark, sf, o).join(bad, "dataset").drop("dataset")
 
 
 def _instances(spark, sf, o):
@@ -272,7 +268,9 @@ def schema_hash(spark, sf, o: LineageOptions = DEFAULT):
 
 
 def schema_text(spark, sf, o: LineageOptions = DEFAULT):
-    return _profiles(spark, sf).select("dataset", c("raw_schema").alias("schema_text"))
+    """The schema text of every dataset instance's source."""
+    return _instances(spark, sf, o).select(
+        "workflow_id", "slot", "ordinal", "dataset_name", c("raw_schema").alias("schema_text"))
 
 
 def dataset_metadata(spark, sf, o: LineageOptions = DEFAULT):
