@@ -651,3 +651,32 @@ SELECT 'catalog', db || '.' || table_name,
        THEN 'written' ELSE 'failed' END
 FROM win""",
 })
+
+# Every epoch of a run: from the last cut on, the first place where the counts of
+# the events since then agree. A node is new if its last place lies before the cut.
+EPOCHS = "WITH RECURSIVE " + EVENTS_CTE.strip() + f""",
+pe AS (
+  SELECT *, CASE WHEN {WF_OK} THEN 1 ELSE 0 END AS wf, CASE WHEN {TASK_OK} THEN 1 ELSE 0 END AS task,
+    CASE WHEN {NODE_OK} THEN 1 ELSE 0 END AS node,
+    row_number() OVER (PARTITION BY workflow_id ORDER BY {_ARRIVAL_ORDER}) - 1 AS place
+  FROM ev),
+se AS (
+  SELECT workflow_id, arrival_seq, place, wf, task, node,
+    lag(place) OVER (PARTITION BY workflow_id, node_id, node ORDER BY place) AS last_place
+  FROM pe),
+ep(workflow_id, epoch, start_place, cut_place, cut_seq) AS (
+  SELECT DISTINCT workflow_id, 0, CAST(-1 AS BIGINT), CAST(-1 AS BIGINT), CAST(-1 AS BIGINT) FROM se
+  UNION ALL
+  SELECT workflow_id, epoch + 1, cut_place, min(place), arg_min(arrival_seq, place)
+  FROM (
+    SELECT p.workflow_id, p.epoch, p.cut_place, s.place, s.arrival_seq,
+      sum(s.wf) OVER w AS c_wf, sum(s.task) OVER w AS c_task,
+      sum(CASE WHEN s.node = 1 AND coalesce(s.last_place, -1) <= p.cut_place THEN 1 ELSE 0 END) OVER w AS c_node
+    FROM ep p JOIN se s ON s.workflow_id = p.workflow_id AND s.place > p.cut_place
+    WINDOW w AS (PARTITION BY p.workflow_id ORDER BY s.place))
+  WHERE c_wf = 1 AND c_task = c_node
+  GROUP BY workflow_id, epoch, cut_place)
+SELECT workflow_id, epoch, cut_seq, cut_place - start_place AS n_emitted,
+  cut_place - start_place > 7 AS accepted
+FROM ep WHERE epoch > 0"""
+SQL.update({"prefix_epochs": EPOCHS, "stream_epochs": EPOCHS})
