@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from eventweave.llm.tables import map_texts
 
-SAMPLE = 2000           # labelled texts for the fit, of at most SAMPLE_CHARS characters each
+SAMPLE = 2000           # labelled texts for the fit, whole, of at most SAMPLE_CHARS characters each
 SAMPLE_CHARS = 20_000
 LANDMARKS = 200
 COLUMNS = 1 << 13
@@ -80,16 +80,17 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     """Fit on at most ``SAMPLE`` texts of ``labelled``, those whose key has the least hash.
 
     The sample is chosen by key alone in a first job, so the sort carries no
-    texts. Rows without text or language are left out; without any, the model
+    texts. Longer texts and rows without text or language are not sampled; without any, the model
     is None.
     """
     usable = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(key).isNotNull())
+    usable = usable.where(F.length(text) <= SAMPLE_CHARS)
     order = F.xxhash64(F.col(key).cast("string"))
     edge = usable.select(order.alias("h"), key).orderBy("h", key).limit(SAMPLE).agg(F.max("h")).first()[0]
     if edge is None:
         return None
     rows = (usable.where(order <= F.lit(edge))
-            .select(F.col(key).alias("k"), F.substring(text, 1, SAMPLE_CHARS).alias("t"), F.col(lang).alias("l"))
+            .select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
             .limit(SAMPLE + 64).collect())
     rows = sorted(r for r in rows if _LETTER.search(r["t"]))[:SAMPLE]
     return fit([r["t"] for r in rows], [r["l"] for r in rows]) if rows else None

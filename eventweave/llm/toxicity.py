@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from eventweave.llm.tables import map_texts
 from eventweave.llm.words import PUNCTUATION, mix64, word_spans, _power_table, _BYTE_KEYS
 
-SAMPLE = 3000           # labelled texts for training, of at most SAMPLE_CHARS characters each
+SAMPLE = 3000           # labelled texts for training, whole, of at most SAMPLE_CHARS characters each
 SAMPLE_CHARS = 20_000
 WINDOW, STRIDE = 32, 24
 HIDDEN, CHAR_DIM, WORD_DIM = 8, 4, 4
@@ -283,16 +283,17 @@ def _rows(table, at, grad, rate=0.05):
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> dict | None:
     """Fit on at most ``SAMPLE`` rows of ``labelled``, those whose key has the least hash.
 
-    Rows without text or label are left out. Without rows of both labels
+    Longer texts and rows without text or label are not sampled. Without rows of both labels
     there is nothing to learn and the model is None.
     """
     usable = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull() & F.col(key).isNotNull())
+    usable = usable.where(F.length(text) <= SAMPLE_CHARS)
     order = F.xxhash64(F.col(key).cast("string"))
     edge = usable.select(order.alias("h"), key).orderBy("h", key).limit(SAMPLE).agg(F.max("h")).first()[0]
     if edge is None:
         return None
     rows = (usable.where(order <= F.lit(edge))
-            .select(F.col(key).alias("k"), F.substring(text, 1, SAMPLE_CHARS).alias("t"), F.col(label).cast("int").alias("y"))
+            .select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y"))
             .limit(SAMPLE + 64).collect())
     rows = sorted(rows)[:SAMPLE]
     y = [int(r["y"] > 0) for r in rows]
