@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 import eventweave
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package() -> None:
     """Send this package's functions to the Python workers by value, so that
     executors need not have it installed."""
@@ -33,6 +36,8 @@ def scratch_root(spark: SparkSession) -> str:
     (tests); on a cluster the setting is required.
     """
     ship_package()
+    if spark.conf.get(BATCH_ROWS) == "10000":       # its default; whole texts are long rows
+        spark.conf.set(BATCH_ROWS, "1000")
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
