@@ -7,10 +7,13 @@ sentence) and units replaced by a typed placeholder each. Windows of
 words they stand for as slots. So a question whose numbers or names were
 changed still meets its item.
 
-A match along one diagonal (place in the text less place in the item) is
-consistent when its slots are: one word of the item stands for one word of the
-text throughout, and the other way round. A text is contaminated by an item
-when consistent windows cover at least half of the item, or ``RUN`` tokens.
+A match of two windows is consistent when its slots are: one word of the item
+stands for one word of the text throughout, and the other way round, as in a
+verbatim copy. A text is contaminated by an item when consistent windows along
+one diagonal (place in the text less place in the item) cover at least half of
+the item, or ``RUN`` tokens; a clash elsewhere takes nothing from them.
+``leaks`` judges so; ``contaminated`` is the stricter form, which also drops a
+diagonal on which any two slots clash.
 Items shorter than the window are one window of their own length; items of
 fewer than ``LITERALS`` words of their own say too little and match nothing.
 
@@ -174,11 +177,18 @@ def _text_windows(docs: DataFrame, key: str, text: str, widths: list[int], maps)
                      f"{key} long, at long, window long, found string", batch_bytes=1 << 20)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
-                 item: str = "item_id", item_text: str = "text") -> DataFrame:
+def _one_to_one(pairs):
+    n = F.size(F.array_distinct(pairs))
+    return ((F.size(F.array_distinct(F.transform(pairs, lambda p: p["i"]))) == n)
+            & (F.size(F.array_distinct(F.transform(pairs, lambda p: p["d"]))) == n))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
+          item: str = "item_id", item_text: str = "text", whole: bool = False) -> DataFrame:
     """(key, item_id, at, n_windows, n_covered, n_tokens): one row per text and item that leaked into it.
 
-    ``at`` is the text's token where the best consistent diagonal begins.
+    ``at`` is the text's token where the best diagonal begins; with ``whole``
+    only diagonals without any clash count.
     Null, empty and wordless texts match nothing; rows without key or item
     number are left out; equal rows count once; either table may be empty;
     other columns are not read.
@@ -193,26 +203,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     widths = sorted(r[0] for r in items.select("width").distinct().collect())     # at most WINDOW
     maps = spark.sparkContext.broadcast((one, two))
     found = _text_windows(docs.where(F.col(key).isNotNull()), key, text, widths, maps).distinct()
-    met = found.join(items, "window").withColumn("diagonal", F.col("at") - F.col("place"))
-    pairs = F.when(F.length("slots") > 0, F.arrays_zip(F.split("slots", "\t").alias("i"), F.split("found", "\t").alias("d")))
+    pairs = F.arrays_zip(F.split("slots", "\t").alias("i"), F.split("found", "\t").alias("d"))
+    met = (found.join(items, "window").withColumn("diagonal", F.col("at") - F.col("place"))
+           .withColumn("pairs", F.when(F.length("slots") > 0, pairs)))
+    if not whole:
+        met = met.where(F.col("pairs").isNull() | _one_to_one("pairs"))
     lines = met.groupBy(key, item, "diagonal").agg(
         F.min("at").alias("at"), F.first("n_tokens").alias("n_tokens"), F.first("width").alias("width"),
         F.array_sort(F.collect_set("place")).alias("places"),                      # an item's windows
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"))
-    one_to_one = ((F.size(F.array_distinct(F.transform("slots", lambda p: p["i"]))) == F.size("slots"))
-                  & (F.size(F.array_distinct(F.transform("slots", lambda p: p["d"]))) == F.size("slots")))
+        *([F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")] if whole else []))
+    if whole:
+        lines = lines.where(_one_to_one("pairs"))
     ahead = F.transform("places", lambda p, k: F.least(
         F.col("width"), F.coalesce(F.get("places", k + 1) - p, F.col("width"))))
     covered = F.aggregate(ahead, F.lit(0).cast("long"), lambda a, x: a + x)
-    lines = (lines.where(one_to_one).withColumn("n_covered", covered).withColumn("n_windows", F.size("places").cast("long"))
+    lines = (lines.withColumn("n_covered", covered).withColumn("n_windows", F.size("places").cast("long"))
              .where((F.col("n_covered") * 2 >= F.col("n_tokens")) | (F.col("n_covered") >= RUN)))
     best = F.max_by(F.struct("at", "n_windows", "n_covered", "n_tokens"), F.struct("n_covered", -F.col("at")))
     return lines.groupBy(key, item).agg(best.alias("b")).select(key, item, "b.*")
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
+                 item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``leaks`` without the diagonals on which any two slots clash."""
+    return leaks(docs, benchmark, key, text, item, item_text, whole=True)
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` into which no item leaked, as they are."""
-    return docs.join(contaminated(docs, benchmark, key, text).select(key).distinct(), key, "left_anti").select(docs.columns)
+    return docs.join(leaks(docs, benchmark, key, text).select(key).distinct(), key, "left_anti").select(docs.columns)
 
 
-__all__ = ["Tokens", "clean", "contaminated", "item_windows"]
+__all__ = ["Tokens", "clean", "contaminated", "item_windows", "leaks"]

@@ -307,6 +307,15 @@ def test_templates(spark, no_docs):
     assert lines.count() == 0
 
 
+def test_a_clash_takes_nothing_from_a_verbatim_run(spark):
+    clash = ITEM.replace("Anna waits 3", "Anna waits 80")
+    other = ITEM.replace("at 80", "at 60").replace("at 95", "at 60")        # two values of the item, one of the text
+    bench = spark.createDataFrame([(1, clash)], "item_id long, text string")
+    docs = spark.createDataFrame([(9, ITEM), (8, other), (7, "nothing of it")], "doc_id long, text string")
+    assert {r.doc_id for r in decontaminate.leaks(docs, bench).collect()} == {8, 9}
+    assert [r.doc_id for r in decontaminate.clean(docs, bench).collect()] == [7]
+
+
 def test_leaks_in_documents(spark, sf):
     items = texts_of(sf, "benchmark", "item_id")
     grams = defaultdict(set)
