@@ -14,8 +14,14 @@ one diagonal (place in the text less place in the item) cover at least half of
 the item, or ``RUN`` tokens; a clash elsewhere takes nothing from them.
 ``leaks`` judges so; ``contaminated`` is the stricter form, which also drops a
 diagonal on which any two slots clash.
-Items shorter than the window are one window of their own length; items of
-fewer than ``LITERALS`` words of their own say too little and match nothing.
+Items shorter than the window are one window of their own length.
+
+A typed window needs ``LITERALS`` words that are not placeholders. Where a
+window has fewer, the shortest stretch of ``LITERALS`` such words with all that
+stands between them is a window too. Besides, every window meets its verbatim
+copy by the hashes of its words themselves, so items of fewer than ``LITERALS``
+words of their own match verbatim only; items of fewer than ``LITERALS`` tokens
+say too little and match nothing.
 
 How it runs: the windows of the items are distinct rows. Fixed-size bit maps
 of their hashes, whatever the number of items, go to the tasks that read the
@@ -33,7 +39,7 @@ from eventweave.llm.tables import map_texts
 from eventweave.llm.words import _BYTE_KEYS, _power_table, mix64, word_spans
 
 WINDOW = 8
-LITERALS = 5            # words in a window that are not placeholders
+LITERALS = 5            # words in a typed window that are not placeholders; tokens in a verbatim one
 RUN = 13
 MAP_BITS = 1 << 22
 
@@ -43,6 +49,8 @@ UNITS = ("mm cm dm m km in ft yd mi mg g kg t oz lb lbs ml cl l s sec secs secon
          "pa kpa bar psi k c f usd eur gbp dollar dollars euro euros cent cents pound pounds percent meter meters metre "
          "metres kilometer kilometers gram grams kilogram kilograms liter liters litre litres inch inches foot feet mile "
          "miles ounce ounces degree degrees").split()
+# Units that are words or letters of their own unless a number stands before them.
+AMBIGUOUS = [u for u in UNITS if len(u) == 1 or u in ("a", "in")]
 
 _KEEP = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 _DIGIT = np.array([48 <= c <= 57 for c in range(256)])
@@ -50,6 +58,8 @@ _FOLD = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
 _END = np.isin(np.arange(256), [ord(c) for c in ".!?:;|\"'#*%$&)"])
 _NUMBER, _NAME, _UNIT = (np.uint64(k) for k in (0x1001, 0x2002, 0x3003))
 _TURN = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_VERBATIM, _WIDE = (np.uint64(k) for k in (0x4004 << 32, 0x5005 << 32))
 
 
 def _token_hashes(words: list[str]) -> np.ndarray:
@@ -100,8 +110,13 @@ class Tokens:
         code = self.plain.copy()
         name = capital & ~after & (size > 1)
         code[name] = _NAME
-        code[np.isin(self.plain, _units())] = _UNIT
-        code[digits == size] = _NUMBER
+        number = digits == size
+        counted = np.zeros(len(new), dtype=bool)        # the words after a number of the same text
+        counted[1:] = number[:-1]
+        counted[self.first[:-1][self.first[:-1] < len(new)]] = False
+        unit, ambiguous = _units()
+        code[np.isin(self.plain, unit) & (counted | ~np.isin(self.plain, ambiguous))] = _UNIT
+        code[number] = _NUMBER
         self.slot = code != self.plain
         self.hash = mix64(code)
 
@@ -112,25 +127,59 @@ class Tokens:
 _unit_hashes: list = []
 
 
-def _units() -> np.ndarray:
+def _units() -> list[np.ndarray]:
     if not _unit_hashes:
-        _unit_hashes.append(_token_hashes(UNITS))
-    return _unit_hashes[0]
+        _unit_hashes.extend([_token_hashes(UNITS), _token_hashes(AMBIGUOUS)])
+    return _unit_hashes
+
 
+def windows(tokens: Tokens, length: int, verbatim: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(first token, hash) of the windows of ``length`` tokens inside one text.
 
-def windows(tokens: Tokens, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first token, hash) of the windows of ``length`` tokens inside one text with enough words of their own."""
+    Typed windows are those with enough words of their own; verbatim ones are
+    all of enough tokens, by the words themselves.
+    """
     n = len(tokens.hash) - length + 1
-    if n <= 0:
+    if n <= 0 or verbatim and length < LITERALS:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     h = np.zeros(n, dtype=np.uint64)
     for k in range(length):
-        h = h * _TURN + tokens.hash[k:k + n]
-    own = np.concatenate([[0], np.cumsum(~tokens.slot)])
+        h = h * _TURN + (tokens.plain if verbatim else tokens.hash)[k:k + n]
     text = np.searchsorted(tokens.first, np.arange(len(tokens.hash)), side="right")
-    good = (own[length:] - own[:-length] >= LITERALS) & (text[:n] == text[length - 1:])
+    good = text[:n] == text[length - 1:]
+    if not verbatim:
+        own = np.concatenate([[0], np.cumsum(~tokens.slot)])
+        good &= own[length:] - own[:-length] >= LITERALS
     at = np.flatnonzero(good)
-    return at, mix64(h[at] + np.uint64(length))
+    return at, mix64(h[at] + np.uint64(length) + (_VERBATIM if verbatim else np.uint64(0)))
+
+
+def wide_windows(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first token, hash, length) of the stretches from one word of its own to the ``LITERALS``-th, longer than a window.
+
+    Their lengths add up to at most ``LITERALS`` times the tokens.
+    """
+    own = np.flatnonzero(~tokens.slot)
+    a, b = own[:max(0, len(own) - LITERALS + 1)], own[LITERALS - 1:] + 1
+    text = np.searchsorted(tokens.first, own, side="right")
+    good = (b - a > WINDOW) & (text[:len(a)] == text[LITERALS - 1:])
+    a, b = a[good], b[good]
+    turn = np.full(len(tokens.hash) + 1, _TURN)
+    turn[0] = 1
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(tokens.hash * np.cumprod(turn)[:-1])])
+    back = np.full(len(tokens.hash) + 1, _BACK)
+    back[0] = 1
+    h = (sums[b] - sums[a]) * np.cumprod(back)[a]
+    return a, mix64(h + (b - a).astype(np.uint64) + _WIDE), b - a
+
+
+def _all_windows(tokens: Tokens, widths: list[int]):
+    """(first token, hash, length, verbatim) arrays of every kind of window."""
+    for width in widths:
+        for verbatim in (False, True):
+            at, h = windows(tokens, width, verbatim)
+            yield at, h, np.full(len(at), width), verbatim
+    yield *wide_windows(tokens), False
 
 
 def _slots(tokens: Tokens, a: int, length: int) -> str:
@@ -146,10 +195,10 @@ def item_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text")
             tok = Tokens([t])
             n = len(tok.hash)
             width = min(n, WINDOW)
-            if width:
-                for a, h in zip(*windows(tok, width)):
-                    for c, v in zip(out, (i, n, width, int(a), int(h.view(np.int64)), _slots(tok, int(a), width))):
-                        c.append(v)
+            for at, h, long, verbatim in _all_windows(tok, [width]) if width else ():
+                for a, v, m in zip(at.tolist(), h.view(np.int64).tolist(), long.tolist()):
+                    for c, x in zip(out, (i, n, m, a, v, "" if verbatim else _slots(tok, a, m))):
+                        c.append(x)
         return out
 
     return map_texts(benchmark.withColumn(key, F.col(key).cast("long")), key, text, run,
@@ -163,13 +212,13 @@ def _text_windows(docs: DataFrame, key: str, text: str, widths: list[int], maps)
         tok = Tokens(texts)
         if not len(tok.hash):
             return out
-        for width in widths:
-            at, h = windows(tok, width)
+        for at, h, long, verbatim in _all_windows(tok, widths):
             hit = one[(h & np.uint64(MAP_BITS - 1)).astype(np.int64)] & two[(h >> np.uint64(42)).astype(np.int64)]
-            at, h = at[hit], h[hit]
+            at, h, long = at[hit], h[hit], long[hit]
             owner = np.searchsorted(tok.first, at, side="right") - 1
             for c, v in zip(out, ([keys[o] for o in owner.tolist()], (at - tok.first[owner]).tolist(),
-                                  h.view(np.int64).tolist(), [_slots(tok, a, width) for a in at.tolist()])):
+                                  h.view(np.int64).tolist(),
+                                  ["" if verbatim else _slots(tok, a, m) for a, m in zip(at.tolist(), long.tolist())])):
                 c.extend(v)
         return out
 
@@ -200,7 +249,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     high = items.select(F.shiftrightunsigned("window", 42).alias("b")).distinct().toPandas()["b"].to_numpy()
     one, two = np.zeros(MAP_BITS, dtype=bool), np.zeros(MAP_BITS, dtype=bool)
     one[low.astype(np.int64)], two[high.astype(np.int64)] = True, True
-    widths = sorted(r[0] for r in items.select("width").distinct().collect())     # at most WINDOW
+    widths = sorted(r[0] for r in items.select("width").where(F.col("width") <= WINDOW).distinct().collect())
     maps = spark.sparkContext.broadcast((one, two))
     found = _text_windows(docs.where(F.col(key).isNotNull()), key, text, widths, maps).distinct()
     pairs = F.arrays_zip(F.split("slots", "\t").alias("i"), F.split("found", "\t").alias("d"))
@@ -209,15 +258,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     if not whole:
         met = met.where(F.col("pairs").isNull() | _one_to_one("pairs"))
     lines = met.groupBy(key, item, "diagonal").agg(
-        F.min("at").alias("at"), F.first("n_tokens").alias("n_tokens"), F.first("width").alias("width"),
-        F.array_sort(F.collect_set("place")).alias("places"),                      # an item's windows
+        F.min("at").alias("at"), F.first("n_tokens").alias("n_tokens"),
+        F.array_sort(F.collect_set(F.struct("place", "width"))).alias("met"),      # an item's windows
         *([F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")] if whole else []))
     if whole:
         lines = lines.where(_one_to_one("pairs"))
-    ahead = F.transform("places", lambda p, k: F.least(
-        F.col("width"), F.coalesce(F.get("places", k + 1) - p, F.col("width"))))
-    covered = F.aggregate(ahead, F.lit(0).cast("long"), lambda a, x: a + x)
-    lines = (lines.withColumn("n_covered", covered).withColumn("n_windows", F.size("places").cast("long"))
+    nothing = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
+    covered = F.aggregate("met", nothing, lambda a, x: F.struct(
+        F.greatest(a["end"], x["place"] + x["width"]).alias("end"),
+        (a["n"] + F.greatest(F.lit(0), x["place"] + x["width"] - F.greatest(a["end"], x["place"]))).alias("n")))["n"]
+    lines = (lines.withColumn("n_covered", covered)
+             .withColumn("n_windows", F.size(F.array_distinct(F.col("met.place"))).cast("long"))
              .where((F.col("n_covered") * 2 >= F.col("n_tokens")) | (F.col("n_covered") >= RUN)))
     best = F.max_by(F.struct("at", "n_windows", "n_covered", "n_tokens"), F.struct("n_covered", -F.col("at")))
     return lines.groupBy(key, item).agg(best.alias("b")).select(key, item, "b.*")

@@ -316,6 +316,18 @@ def test_a_clash_takes_nothing_from_a_verbatim_run(spark):
     assert [r.doc_id for r in decontaminate.clean(docs, bench).collect()] == [7]
 
 
+def test_windows_of_few_literals(spark):
+    items = ["Tom has 3 apples in a bag and", "Der Hund und die Katze der Nachbarin Erika Schmidt jagen Tom durch Wald und Feld bis Sonntag",
+             "Add 3 and 4 and 5 6 7 8 9 10 11 to 12 13 14 15 16 17 then halve 18 19 20 21 and square", "the of", ITEM]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    numbers = " ".join(str(int(w) + 100) if w.isdigit() else w for w in items[2].split())
+    rows = [(0, "We saw: " + items[0]), (1, items[1]), (2, numbers), (3, "the of the of"), (4, ITEM.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()} == {(0, 0), (1, 1), (2, 2), (4, 4)}
+    tok = decontaminate.Tokens(["take 5 a in", "a man in 7 s"])
+    assert tok.slot.tolist() == [False, True, True, False, False, False, False, True, True]
+
+
 def test_leaks_in_documents(spark, sf):
     items = texts_of(sf, "benchmark", "item_id")
     grams = defaultdict(set)
