@@ -4,14 +4,18 @@ Markup is stripped to lines: a block element's text is one line, inline tags
 leave no trace, white space inside a line becomes one space. Elements that
 can't be article text (scripts, styles, forms, navigation, headers and footers
 of the site, asides, adverts, notices, reader comments, hidden parts) give no
-line. Every remaining line has a weight, its text length less twice that of
-its links; where the page marks its article, lines outside weigh nothing and
-lines inside at least ``SURGE``. Weights are summed over sliding windows of
-``BLOCK`` lines. The text starts where the sums surge and ends where they dive
-to ``DIVE``; weightless lines at both ends of the stretch are cut off, and
-stretches at most ``BLOCK`` lines apart are one. A page
-that marks its article keeps every stretch of it, any other the heaviest
-stretch and those of at least ``SHARE`` of its weight.
+line. Such an element is read after all when it holds more text than what is left
+of the page, unless it is hidden, navigation, a footer or readers' comments.
+Every remaining line has a weight, its text length less twice that of its
+links. Where the page marks its article, each line inside that is not just a
+link weighs ``SURGE`` more; a mark around less text than stands outside counts
+for nothing. Weights are summed over sliding windows of ``BLOCK`` lines. The
+text starts where the sums surge and ends where they dive to ``DIVE`` or the
+marked part begins or ends; weightless lines at both ends of the stretch are
+cut off, and stretches at most ``BLOCK`` lines apart are one. A page that
+marks its article keeps every stretch of it and those outside of at least
+``OUTSIDE`` of its heaviest; any other the heaviest stretch and those of at
+least ``SHARE`` of its weight.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ BLOCK = 3
 SURGE = 60
 DIVE = 20
 SHARE = 0.2
+OUTSIDE = 0.5
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -52,6 +57,24 @@ _OWN = {"article", "entry", "post", "story", "content", "main"}
 _REPLIES = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "related", "promo"}
 
 
+_NEVER = {"nav", "footer", "menu", "dialog", "search"}
+
+
+def _may_hold_text(tag: str, attrs: str) -> bool:
+    """Whether an unwanted element could be a wrapper of the article, by its marks."""
+    if tag in _NEVER:
+        return False
+    for m in _ATTR.finditer(attrs):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return False
+        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            return False
+        if name in ("class", "id", "role") and set(_PART.findall(value)) & (_REPLIES | {"commentlist", "disqus"}):
+            return False
+    return True
+
+
 def _unwanted(tag: str, attrs: str, depth_article: int) -> bool:
     if tag in _GONE:
         return tag != "header" or not depth_article
@@ -78,10 +101,31 @@ def _is_article(tag: str, attrs: str) -> bool:
         re.search(r"role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articleBody", attrs))
 
 
+def _own(lines: list[tuple[str, int, bool, bool]]) -> int:
+    return sum(max(0, len(text) - 2 * linked) for text, linked, _, _ in lines)
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters of links, in the article, heading) of each line with text, in page order."""
+    """(text, characters of links, in the article, heading) of each line with text, in page order.
+
+    Unwanted elements that hold more text than the rest of the page are read.
+    """
+    spared: set[int] = set()
+    while True:
+        lines, gone = _lines(page, spared)
+        kept = _own(lines)
+        weights = [(_own(_lines(page[a:b], set())[0]), k) for k, a, b in gone if b - a > kept]
+        weight, k = max(weights, default=(0, 0))
+        if weight <= kept:
+            return lines
+        spared.add(k)
+
+
+def _lines(page: str, spared: set[int]) -> tuple[list[tuple[str, int, bool, bool]], list[tuple[int, int, int]]]:
+    """The lines, and (tag number, inner start, inner end) of the elements left out that may hold text."""
     tags = list(_TAG.finditer(page))
     out: list[tuple[str, int, bool, bool]] = []
+    gone: list[tuple[int, int, int]] = []
     words: list[str] = []
     linked, in_link, heading = 0, False, False
     article: list[str] = []         # open tags of the name that opened the article
@@ -131,9 +175,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             if end or tag in ("script", "style"):
                 at = end.end() if end else len(page)
             close() if tag not in ("button", "svg", "math") else None
-        elif not m[1] and tag not in _VOID and _unwanted(tag, attrs, len(article)) and (e := end_of(tag, k)) >= 0:
+        elif (not m[1] and tag not in _VOID and k not in spared and _unwanted(tag, attrs, len(article))
+              and (e := end_of(tag, k)) >= 0):
             if tag not in _INLINE:
                 close()
+            if _may_hold_text(tag, attrs):
+                gone.append((k, at, tags[e].start()))
             at, k = tags[e].end(), e
         elif tag in _INLINE:
             if tag == "a":
@@ -149,7 +196,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         k += 1
     add(page[at:])
     close()
-    return out
+    return out, gone
 
 
 def main_text(page: str | None) -> str:
@@ -157,23 +204,25 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = lines_of(page)
-    marked = any(a for _, _, a, _ in lines)
+    inner = _own([x for x in lines if x[2]])
+    marked = any(x[2] for x in lines) and 2 * inner >= _own(lines)
     weights = []
     for text, linked, inside, heading in lines:
         own = max(0, len(text) - 2 * linked)
-        if marked:
-            own = max(own, SURGE) if inside else 0
+        if marked and inside and (heading or len(text) > linked):
+            own += SURGE
         elif heading:
             own = max(own, DIVE + 1)
         weights.append(own)
-    sums = [sum(weights[i:i + BLOCK]) for i in range(len(weights))]
+    part = [marked and inside for _, _, inside, _ in lines]
+    sums = [sum(w for w, p in zip(weights[i:i + BLOCK], part[i:i + BLOCK]) if p == part[i]) for i in range(len(weights))]
     stretches, i = [], 0
     while i < len(sums):
         if sums[i] < SURGE:
             i += 1
             continue
         j = i
-        while j < len(sums) and sums[j] > DIVE:
+        while j < len(sums) and sums[j] > DIVE and part[j] == part[i]:
             j += 1
         a, b = i, j
         while a < b and not weights[a]:
@@ -181,15 +230,15 @@ def main_text(page: str | None) -> str:
         while b > a and not weights[b - 1]:
             b -= 1
         if a < b:
-            if stretches and a - stretches[-1][1] <= BLOCK:     # a short dip is part of the text
-                a = stretches.pop()[0]
+            if stretches and a - stretches[-1][1] <= BLOCK and len(set(part[stretches[-1][0]:b])) == 1:
+                a = stretches.pop()[0]                          # a short dip is part of the text
             stretches.append((a, b, sum(weights[a:b])))
         i = j
     if not stretches:
         return ""
-    least = 0 if marked else SHARE * max(w for _, _, w in stretches)
-    return " ".join(lines[k][0] for a, b, w in stretches if w >= least for k in range(a, b)
-                    if not marked or lines[k][2])
+    inside = [w for a, _, w in stretches if part[a]]
+    least = OUTSIDE * max(inside) if inside else SHARE * max(w for _, _, w in stretches)
+    return " ".join(lines[k][0] for a, b, w in stretches if w >= least or part[a] for k in range(a, b))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
