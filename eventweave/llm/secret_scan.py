@@ -1,8 +1,11 @@
 """Secret scans: fixed patterns, and strings that a primed compressor finds novel.
 
 The patterns give the base spans. The novelty method looks at strings in a
-sensitive place (after a word such as ``password``, ``key`` or ``bearer``, or
-in a header or URL that carries credentials). Each candidate's marginal cost
+sensitive place: up to ``REACH`` characters after a word such as ``password``,
+``key`` or ``bearer``, over line ends too; the password of a URL that carries
+credentials; the body of a private key block to its END line. Strings after a
+word have 12 characters or more, with a digit and a letter: the compressor does
+not tell random letters from a word that it has not seen. Each candidate's cost
 is the growth, in bytes, of a zstandard frame when the candidate is appended
 to its surroundings; the compressor is primed with a dictionary of common
 identifiers and with the surrounding text. Words, paths and names that the
@@ -30,11 +33,14 @@ BASE = [
     runs(r"[0-9a-f]{16,}"),
 ]
 
-# A sensitive word, and the candidate strings in what follows it on the line.
+# A sensitive word, and the candidate strings in what follows it.
 _SENSITIVE = re.compile(
-    r"(?:passw|pwd|passphrase|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|"
-    r"auth|bearer|session|signature|client[_-]?id|connection[_-]?string)", re.A | re.I)
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~!@#$%^&*-]{16,}")
+    r"(?:passw|pwd|passphrase|secret|token|credential|api[_-]?key|access[_-]?key|private[\x20_-]?key|"
+    r"(?<![a-z])keys?(?![a-z])|auth|bearer|session|signature|client[_-]?id|connection[_-]?string)", re.A | re.I)
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~!@#$%^&*-]{12,}")
+_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+_BODY = re.compile(r"[A-Za-z0-9+/=\s\\]+")
+_LOGIN = re.compile(r"://[^\s:/@?#]*+:([^\s/@]++)@")
 REACH = 80          # characters after the sensitive word
 AROUND = 400        # surrounding characters on each side that prime the compressor
 MARGIN = 0.62       # marginal bytes a character from which a string counts as novel
@@ -69,17 +75,36 @@ def scan_text(text: str, marginal) -> tuple[list, list]:
     """Base and added spans of one text, each (start, kind number, end)."""
     base = [(a, k, b) for k, find in enumerate(BASE) for a, b in find(text)]
     added, seen = [], 0
+
+    def add(a: int, b: int) -> None:
+        if a < b and not any(x < b and a < y for x, _, y in base + added) and marginal(text, a, b) >= MARGIN:
+            added.append((a, 3, b))
+
+    for m in _BLOCK.finditer(text):
+        if m.start() < seen:
+            continue
+        end = text.find("-----END", m.end())
+        again = text.find("-----BEGIN", m.end())
+        if end < 0 or 0 <= again < end:                         # no END line of its own
+            body = _BODY.match(text, m.end())
+            end = body.end() if body else m.end()
+        body = text[m.end():end]
+        a, seen = m.end() + len(body) - len(body.lstrip()), end
+        b = a + len(body.strip())
+        if a < b and marginal(text, a, b) >= MARGIN:            # whole, though a pattern has a part of it
+            added.append((a, 3, b))
+    for m in _LOGIN.finditer(text) if "://" in text else ():
+        add(*m.span(1))
+    seen = 0
     for word in _SENSITIVE.finditer(text):
-        line = text.find("\n", word.end(), word.end() + REACH)
-        stop = line if line >= 0 else word.end() + REACH
+        stop = word.end() + REACH
         for m in _CANDIDATE.finditer(text, max(word.end(), seen)):
             if m.start() >= stop:
                 break
             seen = m.end()
-            if _MIXED.match(m[0]) and not any(a < m.end() and m.start() < b for a, _, b in base) \
-                    and marginal(text, *m.span()) >= MARGIN:
-                added.append((m.start(), 3, m.end()))
-    return base, added
+            if _MIXED.match(m[0]):
+                add(*m.span())
+    return base, sorted(added)
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
