@@ -2,11 +2,12 @@
 
 The patterns give the base spans. The chain labels every word of a text as
 nothing or as part of a mail address, a number that identifies someone
-(phone, card, account, national id), an address on the network, or a date of
-birth. It is trained by gradient ascent on the exact log-likelihood (forward
+(phone, card, account, national id), or an address on the network. It is trained by gradient ascent on the exact log-likelihood (forward
 and backward sums) over the small labelled table below, and decoded by
 Viterbi for whole batches of texts at once in numpy: texts are cut at line
-ends into sequences, and all sequences step together.
+ends into sequences, and all sequences step together. A longer line is decoded
+in sequences that overlap by ``OVERLAP`` words on each side and give the labels
+of their inner words; the words' scores are those of the whole line.
 
 Features of a word: its shape (runs of upper, lower, digit and each other
 sign, with run lengths to four), its class of length, how many digits it has,
@@ -133,7 +134,7 @@ def _shape(word: str) -> list[str]:
     """The features of one word."""
     out, last, run = [], "", 0
     digits = 0
-    for c in word[:64]:
+    for c in word:
         if "0" <= c <= "9":
             k = "9"
             digits += 1
@@ -248,6 +249,7 @@ _HARD = re.compile(r"[0-9@]")
 _cache: dict[str, np.ndarray] = {}
 CACHE_WORDS = 200_000
 SEQUENCE_WORDS = 256
+OVERLAP = 64
 
 
 def _emissions(words: list[str], number: dict, w: np.ndarray) -> np.ndarray:
@@ -262,7 +264,8 @@ def _emissions(words: list[str], number: dict, w: np.ndarray) -> np.ndarray:
                         got[place] += w[n]
             if len(_cache) >= CACHE_WORDS:
                 _cache.clear()
-            _cache[word] = got
+            if len(word) <= 64:
+                _cache[word] = got
         out[k] = got
     return out
 
@@ -272,12 +275,12 @@ def chain_spans(texts: list[str]) -> list[list[tuple[int, int, int]]]:
 
     A plain word (no digit, sign of an address or colon) takes the scores of
     its shape alone, so whole lines of plain words have one outcome: nothing.
-    Lines with any other word are decoded in full, in sequences of at most
-    ``SEQUENCE_WORDS`` words that step together.
+    Lines with any other word are decoded in full, in sequences of
+    ``SEQUENCE_WORDS`` words and their overlaps that step together.
     """
     number, w, t = model()
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    seqs, words = [], []
+    rows, words = [], []                # lines, and the words of all
     for d, text in enumerate(texts):
         if not text or not _HARD.search(text):
             continue
@@ -285,16 +288,13 @@ def chain_spans(texts: list[str]) -> list[list[tuple[int, int, int]]]:
         for line in text.split("\n"):
             if _HARD.search(line):
                 found = list(_WORD.finditer(line))
-                for a in range(0, len(found), SEQUENCE_WORDS):
-                    part = found[a:a + SEQUENCE_WORDS]
-                    seqs.append((len(part), d, at, part))
+                if found:
+                    rows.append((len(found), d, at, found))
+                    words.extend(m[0] for m in found)
             at += len(line) + 1
-    seqs.sort(key=lambda s: -s[0])
-    for _, _, _, part in seqs:
-        words.extend(m[0] for m in part)
     if not words:
         return out
-    lens = np.array([s[0] for s in seqs])
+    lens = np.array([r[0] for r in rows])
     scores = _emissions(words, number, w)
     e = scores[:, 1].copy()
     first = np.cumsum(lens) - lens
@@ -303,19 +303,31 @@ def chain_spans(texts: list[str]) -> list[list[tuple[int, int, int]]]:
     e[inner] += scores[np.flatnonzero(inner) - 1, 0]
     e[np.flatnonzero(inner) - 1] += scores[inner, 2]
     edge = np.zeros(w.shape[1], dtype=np.float32)
-    for mark, rows in (("-edge", first), ("+edge", first + lens - 1)):
+    for mark, ends in (("-edge", first), ("+edge", first + lens - 1)):
         if mark in number:
             edge = w[number[mark]].astype(np.float32)
-            e[rows] += edge
-    labels = viterbi(e.astype(np.float64), lens, t)
+            e[ends] += edge
+    # (first word, words, inner words' first and end) of each sequence, longest first
+    seqs = []
+    for k, n in zip(first.tolist(), lens.tolist()):
+        for a in range(0, n, SEQUENCE_WORDS):
+            low, high = max(0, a - OVERLAP), min(n, a + SEQUENCE_WORDS + OVERLAP)
+            seqs.append((high - low, k + low, k + a, k + min(n, a + SEQUENCE_WORDS)))
+    seqs.sort(key=lambda s: -s[0])
+    size, low, begin, end = np.array(seqs).T
+    turn = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    word = np.repeat(low, size) + turn
+    got = viterbi(e[word].astype(np.float64), size, t)
+    own = (word >= np.repeat(begin, size)) & (word < np.repeat(end, size))
+    labels = np.zeros(len(words), dtype=np.int8)
+    labels[word[own]] = got[own]
     k = 0
-    for n, d, at, part in seqs:
+    for n, d, at, found in rows:
         mine = labels[k:k + n]
         k += n
-        i = 0
         for i in np.flatnonzero(mine).tolist():
-            a, b, label = at + part[i].start(), at + part[i].end(), int(mine[i])
-            if out[d] and i and mine[i - 1] == label and out[d][-1][1] == label and out[d][-1][2] == at + part[i - 1].end():
+            a, b, label = at + found[i].start(), at + found[i].end(), int(mine[i])
+            if out[d] and i and mine[i - 1] == label and out[d][-1][1] == label and out[d][-1][2] == at + found[i - 1].end():
                 out[d][-1] = (out[d][-1][0], label, b)
             else:
                 out[d].append((a, label, b))
