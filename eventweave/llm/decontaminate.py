@@ -281,8 +281,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` into which no item leaked, as they are."""
-    return docs.join(leaks(docs, benchmark, key, text).select(key).distinct(), key, "left_anti").select(docs.columns)
+    """The rows of ``docs`` into which no item leaked, as they are.
+
+    Rows are judged by their text, whatever their key: null keys and keys of
+    several texts too.
+    """
+    rows = docs.withColumn("row_key", F.xxhash64(text))
+    leaked = leaks(rows.select("row_key", text), benchmark, "row_key", text).select("row_key").distinct()
+    return rows.join(leaked, "row_key", "left_anti").select(docs.columns)
 
 
 __all__ = ["Tokens", "clean", "contaminated", "item_windows", "leaks"]
