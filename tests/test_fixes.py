@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 from eventweave.operators import gate as gt
 from eventweave.operators import profile as pf
 from eventweave.operators import replay as rp

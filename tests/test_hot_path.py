@@ -2,7 +2,7 @@
 
 from dataclasses import replace
 
-from conftest import SF001
+from helpers import SF001
 
 from eventweave.operators import chain as ch
 from eventweave.operators import gate as gt

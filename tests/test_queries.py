@@ -1,6 +1,6 @@
 """Driver contract and stream = batch equality on the smallest driver tables."""
 
-from conftest import SF001
+from helpers import SF001
 
 
 def test_entry_flagship(spark):

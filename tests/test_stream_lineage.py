@@ -1,6 +1,6 @@
 """Streaming lineage fan-out equals the batch prefix lineage (first epochs)."""
 
-from conftest import SF001
+from helpers import SF001
 
 from eventweave.operators import replay as rp
 from eventweave.plans import lineage as ln
