@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventweave.llm import (
     decontaminate,
+    fingerprint,
     language,
     ngram_join,
     packing,
@@ -17,6 +18,7 @@ from eventweave.llm import (
     secret_scan,
     toxicity,
 )
+from eventweave.llm.oracle import SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,8 +79,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(_table(spark, sf_dir, "documents"))
 
 
+def op13_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edits(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_ngram_join, op3_packing, op4_page_text, op5_repeats, op6_decontamination, op7_secrets,
-    op8_language, op9_toxicity, op10_pii)}
+    op8_language, op9_toxicity, op10_pii, op13_fingerprint)}
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
