@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventweave.llm import (
+    collocations,
     decontaminate,
+    filter_audit,
     fingerprint,
     language,
     ngram_join,
@@ -79,12 +81,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir.rstrip('/')}/documents.parquet", _table(spark, sf_dir, "labels"))
+
+
 def op13_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edits(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_ngram_join, op3_packing, op4_page_text, op5_repeats, op6_decontamination, op7_secrets,
-    op8_language, op9_toxicity, op10_pii, op13_fingerprint)}
+    op8_language, op9_toxicity, op10_pii, op11_collocations, op12_filter_audit,
+    op13_fingerprint)}
 
 __all__ = ["QUERIES", "SQL"]

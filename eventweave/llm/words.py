@@ -53,17 +53,22 @@ def word_spans(texts: list[bytes], space: np.ndarray = _SPACE):
     return buf, starts, ends, np.searchsorted(starts, begins)
 
 
-def word_hashes(texts: list[bytes], space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash for each word of all texts, and the first word of each text."""
-    buf, starts, ends, first = word_spans(texts, space)
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, space: np.ndarray = _SPACE) -> np.ndarray:
+    """A 64-bit hash for each word of ``word_spans``."""
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64), first
+        return np.zeros(0, dtype=np.uint64)
     lens = ends - starts
     power = _power_table(int(lens.max()))
     at = np.cumsum(lens) - lens
     inside = np.arange(int(lens.sum()), dtype=np.int64) - np.repeat(at, lens)
     values = _BYTE_KEYS[buf[~space[buf]]] * power[inside]
-    return mix64(np.add.reduceat(values, at)), first
+    return mix64(np.add.reduceat(values, at))
+
+
+def word_hashes(texts: list[bytes], space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash for each word of all texts, and the first word of each text."""
+    buf, starts, ends, first = word_spans(texts, space)
+    return span_hashes(buf, starts, ends, space), first
 
 
 def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
