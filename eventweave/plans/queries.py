@@ -398,15 +398,18 @@ QUERIES.update({
 
 
 def prefix_replay(spark, sf, o: LineageOptions = DEFAULT):
-    """First completion of each run in arrival order, and what it builds."""
-    emitted, cuts = rp.prefix_events(_events(spark, sf), o)
-    v = gt.gate(emitted, o)
-    return cuts.join(v.select("workflow_id", "build", "n_task_ok"), "workflow_id").select(
+    """First completion of each run in arrival order, and what it builds (from the counts at the cut)."""
+    checkpoint_dir(spark)
+    cuts = rp.first_cuts(_events(spark, sf), o)
+    at_cut = cuts.select("*", c("n_emitted").alias("n_events"), F.lit(1).alias("n_wf_success"),
+                         c("n_task_ok").alias("n_node_ok"))
+    return gt.decide(at_cut.drop("accepted"), o).select(
         "workflow_id", "cut_seq", "n_emitted", "accepted",
         F.coalesce(c("build"), F.lit("")).alias("build"), c("n_task_ok").alias("n_tasks"))
 
 
 def prefix_tasks(spark, sf, o: LineageOptions = DEFAULT):
+    checkpoint_dir(spark)
     emitted, _ = rp.prefix_events(_events(spark, sf), o)
     chain = ch.task_chain(emitted, _gate_ck(emitted, o), o)
     return chain.select("workflow_id", "task_index", "task_name", "upstream_task")
