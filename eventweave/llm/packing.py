@@ -8,10 +8,11 @@ itself at the window borders. A window that two partitions share is made of
 boundary records from both; ``sequences`` joins any window's pieces by its
 number. Only the very last window is padded.
 
-The encoder is exact and works on words: a text is split before each single
-space that a character other than white space follows, where the tokenizer's
-own pre-splitting always breaks, and every distinct word of a partition is
-encoded once while it stays in a bounded cache.
+The encoder is exact and works on words: a text is cut at the strings of the
+vocabulary's added tokens, which are one id each wherever they stand. What lies
+between is split before each single space that a character other than white
+space follows, where the tokenizer's own pre-splitting always breaks, and every
+distinct word of a partition is encoded once while it stays in a bounded cache.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ from eventweave.llm.tables import land, scratch_root
 LENGTH = 1024
 CACHE_WORDS = 300_000
 
+# The added tokens of the default vocabulary and their ids.
+ADDED = {"<|endoftext|>": 50256}
+
 _GAP = re.compile(r" (?=\S)")
 _ODD = re.compile(r" \s| $")
 
@@ -36,20 +40,29 @@ _ODD = re.compile(r" \s| $")
 class Encoder:
     """Ids of a byte-level BPE vocabulary given as ranks, as little-endian 16-bit numbers."""
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: dict[str, int] | None = None):
         import tiktoken
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        if max(ranks.values()) >= 1 << 16:
+        added = ADDED if added is None else added
+        if max([*ranks.values(), *added.values()]) >= 1 << 16:
             raise ValueError("ids need more than 16 bits")
         self._encode = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks,
                                          special_tokens={}).encode_ordinary
         self._known: dict[str, bytes] = {}
+        self._added = {t: np.array([i], dtype="<u2").tobytes() for t, i in added.items()}
+        longest_first = sorted(map(re.escape, added), key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(longest_first) + ")").split if added else lambda text: [text]
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._encode(text), dtype="<u2").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if not any(t in text for t in self._added):
+            return self._plain(text)
+        return b"".join(self._added.get(part) or self._plain(part) for part in self._cut(text) if part)
+
+    def _plain(self, text: str) -> bytes:
         words = _GAP.split(text) if _ODD.search(text) else text.split(" ")
         known, head = self._known, self._ids(words[0])
         try:
@@ -95,14 +108,15 @@ def _tokenized(docs: DataFrame, key: str, text: str, end_id: int, files) -> Data
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
-         end_id: int = 0, files: tuple[str, str] | None = None) -> DataFrame:
+         end_id: int = 0, files: tuple | None = None) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset): one row per piece.
 
     Each text's ids are followed by ``end_id``; ``ids`` has a piece's ids as
     little-endian 16-bit numbers. A null or empty text is its end alone.
     Repeated rows are packed each; a null key stays null; an empty table gives
     an empty result; other columns are not read. ``files`` is a vocabulary of
-    ranks and a pre-splitting pattern.
+    ranks, a pre-splitting pattern and, if it has other added tokens than the
+    default one, their ids.
     """
     held = land(_tokenized(docs, key, text, end_id, files), "ids")
     totals = {r["part"]: r["n"] for r in held.groupBy("part").agg(F.sum("n").alias("n")).collect()}

@@ -134,10 +134,20 @@ def test_ngram_join_on_documents_and_odd_rows(spark, sf, odd_docs, no_docs):
     assert got == brute_groups(texts_of(sf))
     odd = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_groups(odd_docs).collect()}
     assert odd[1] == (0, 1) and odd[2] == (0, 2) and odd[3] == (0, 3) and odd[4] == (1, 4)
-    assert odd[5][1] == odd[6][1] == 5 and odd[11][1] == 10 and None not in odd
+    assert odd[5][1] == odd[6][1] == 5 and odd[11][1] == 10 and odd[None] == (6, None)
+    assert ngram_join.similar_groups(odd_docs).count() == odd_docs.count()
     assert ngram_join.similar_groups(no_docs).count() == 0
 
 
+def test_ngram_join_keeps_rows_without_doc_id(spark):
+    one, other = " ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))
+    rows = [(None, one + " tail"), (None, one), (9, one), (12, one + " tail end"), (None, other), (None, other + " x"), (None, "")]
+    got = rows_of(ngram_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")),
+                  "doc_id", "n_shingles", "component_id")
+    assert got == sorted([(None, 37, 9), (None, 36, 9), (9, 36, 9), (12, 38, 9), (None, 36, None), (None, 37, None),
+                          (None, 0, None)], key=str)
+
+
 def test_components_of_chains(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, 90), (90, 95)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -150,7 +160,6 @@ def reference_ids(texts):
     import public_tokenizers
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -188,6 +197,7 @@ def test_packing(spark, sf):
 
 def test_packing_odd_texts(spark, no_docs):
     odd = ["", None, " ", "  a", "a  b", "a \n b", "\n\n x", "x\n \ny", "a  b  c", "tab\t tab \t", "it's we'll 12ab", "<|endoftext|> x",
+           "a <|endoftext|>  b <|endoftext|><|endoftext|>", "x<|endoftext|>y <|endoftext| > <|ENDOFTEXT|>", "<|endoftext|>",
            "漢字 \U0001f600  z", "end ", "é" * 3000, "a" * 5000, "\x1c x \x85 y"]
     rows = list(enumerate(odd))
     check_pieces(rows, packing.digests(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
