@@ -22,16 +22,22 @@ JOB_ASPECTS = ("dataJobInfo", "dataJobInputOutput", "globalTags", "ownership")
 FLOW_ASPECTS = ("dataFlowInfo", "ownership", "globalTags")
 JOB_TYPE = "COMMAND"
 OWNER_TYPE = "DATAOWNER"
+UNSET_STAMP = (0, "urn:li:corpuser:unknown")     # time and actor of a stamp that nobody set
 
 
 def _aspect(name: str, body: Column) -> Column:
     return F.struct(F.lit(name).alias("aspect"), F.to_json(body).alias("json"))
 
 
-def owners_aspect(owners: Column) -> Column:
-    """``urn:li:corpuser:{x}`` owners of type DATAOWNER."""
+def unset_stamp() -> Column:
+    return F.struct(F.lit(UNSET_STAMP[0]).cast("bigint").alias("time"), F.lit(UNSET_STAMP[1]).alias("actor"))
+
+
+def owners_aspect(owners: Column, ownership_type: str | None = None) -> Column:
+    """``urn:li:corpuser:{x}`` owners of one type (DATAOWNER), with the stamp of an unset change."""
+    kind = ownership_type or OWNER_TYPE
     return F.struct(F.transform(owners, lambda x: F.struct(
-        user_urn(x).alias("owner"), F.lit(OWNER_TYPE).alias("type"))).alias("owners"))
+        user_urn(x).alias("owner"), F.lit(kind).alias("type"))).alias("owners"), unset_stamp().alias("lastModified"))
 
 
 def tags_aspect(tags: Column) -> Column:
@@ -55,8 +61,8 @@ def _opt(df: DataFrame, name: str, default: Column) -> Column:
     return F.coalesce(c(name), default) if name in df.columns else default
 
 
-def dataset_entities(instances: DataFrame, converted: DataFrame,
-                     o: LineageOptions = DEFAULT) -> DataFrame:
+def dataset_entities(instances: DataFrame, converted: DataFrame, o: LineageOptions = DEFAULT,
+                     owner_type: str | None = None) -> DataFrame:
     """L1: one snapshot per dataset instance whose schema converts.
 
     ``instances``: run dataset rows joined to their source profile (fields,
@@ -84,13 +90,14 @@ def dataset_entities(instances: DataFrame, converted: DataFrame,
         schema_hash(c("dataset_name"), c("fields")).alias("hash"),
         F.struct(c("raw_schema").alias("rawSchema")).alias("platformSchema"),
         fields.alias("fields"),
-        audit_stamp(_opt(d, "last_modified_ns", F.lit(None).cast("bigint")), o).alias("lastModified"),
-        audit_stamp(c("created_ns"), o).alias("created"))
+        F.coalesce(audit_stamp(c("created_ns"), o), unset_stamp()).alias("created"),
+        F.coalesce(audit_stamp(_opt(d, "last_modified_ns", F.lit(None).cast("bigint")), o),
+                   unset_stamp()).alias("lastModified"))
     aspects = F.filter(F.array(
         _aspect("datasetProperties", F.struct(_opt(d, "description", F.lit("")).alias("description"),
                                               custom.alias("customProperties"))),
         _aspect("status", F.struct(F.lit(False).alias("removed"))),
-        _aspect("ownership", owners_aspect(owners)),
+        _aspect("ownership", owners_aspect(owners, owner_type)),
         F.when(F.size(tags) > 0, _aspect("globalTags", tags_aspect(tags))),
         _aspect("schemaMetadata", schema_md),
     ), lambda a: a.isNotNull())
@@ -136,7 +143,7 @@ def task_links(tasks: DataFrame, header: DataFrame, io: DataFrame,
                F.array(job_urn(flow, c("upstream_task"), o))).alias("upstream_urns"))
 
 
-def task_entities(links: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:
+def task_entities(links: DataFrame, o: LineageOptions = DEFAULT, owner_type: str | None = None) -> DataFrame:
     """L2: one snapshot per chained task: info, input/output, tags if any, owners.
 
     ``links`` may carry ``description``, ``owners`` and ``tags`` of the task.
@@ -151,14 +158,14 @@ def task_entities(links: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:
     aspects = F.filter(F.array(
         _aspect("dataJobInfo", info), _aspect("dataJobInputOutput", job_io),
         F.when(F.size(tags) > 0, _aspect("globalTags", tags_aspect(tags))),
-        _aspect("ownership", owners_aspect(_opt(links, "owners", _empty())))), lambda a: a.isNotNull())
+        _aspect("ownership", owners_aspect(_opt(links, "owners", _empty()), owner_type))), lambda a: a.isNotNull())
     return links.select(
         "workflow_id", "task_index", "task_name",
         F.lit("dataJob").alias("entity_type"), "urn", aspects.alias("aspects"),
         c("url").alias("external_url"), "input_urns", "output_urns", "upstream_urns")
 
 
-def flow_entities(header: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:
+def flow_entities(header: DataFrame, o: LineageOptions = DEFAULT, owner_type: str | None = None) -> DataFrame:
     """L3: one snapshot per pipeline: info, owners, tags (always three).
 
     ``header`` may carry ``description``, ``metadata``, ``url``, ``owners`` and ``tags``.
@@ -167,7 +174,7 @@ def flow_entities(header: DataFrame, o: LineageOptions = DEFAULT) -> DataFrame:
                     _opt(header, "metadata", F.create_map().cast("map<string,string>")).alias("customProperties"),
                     _opt(header, "url", F.lit("")).alias("externalUrl"))
     aspects = F.array(_aspect("dataFlowInfo", info),
-                      _aspect("ownership", owners_aspect(_opt(header, "owners", _empty()))),
+                      _aspect("ownership", owners_aspect(_opt(header, "owners", _empty()), owner_type)),
                       _aspect("globalTags", tags_aspect(_opt(header, "tags", _empty()))))
     return header.select("workflow_id", "pipeline_name", F.lit("dataFlow").alias("entity_type"),
                          flow_urn(c("pipeline_name"), o).alias("urn"), aspects.alias("aspects"))

@@ -680,3 +680,102 @@ SELECT workflow_id, epoch, cut_seq, cut_place - start_place AS n_emitted,
   cut_place - start_place > 7 AS accepted
 FROM ep WHERE epoch > 0"""
 SQL.update({"prefix_epochs": EPOCHS, "stream_epochs": EPOCHS})
+
+
+# --- aspect bodies --------------------------------------------------------------------
+
+_PROJECT, _DOMAIN = "split_part({0}.workflow_id, '-', 1)", "split_part({0}.workflow_id, '-', 2)"
+_ODD = "CAST(right({0}.workflow_id, 1) AS INTEGER) % 2 = 1"
+
+
+def _owners_json(t: str, kind: str = "DATAOWNER") -> str:
+    one = "'{{\"owner\":\"urn:li:corpuser:' || {} || '\",\"type\":\"" + kind + "\"}}'"
+    return ("'{\"owners\":[' || " + one.format(_PROJECT.format(t)) + " || ',' || "
+            + one.format(_DOMAIN.format(t) + " || '_team'")
+            + " || '],\"lastModified\":{\"time\":0,\"actor\":\"urn:li:corpuser:unknown\"}}'")
+
+
+def _tags_json(t: str) -> str:
+    one = "'{{\"tag\":\"urn:li:tag:' || {} || '\"}}'"
+    return ("CASE WHEN " + _ODD.format(t) + " THEN '{\"tags\":[' || " + one.format(_DOMAIN.format(t)) + " || ',' || "
+            + one.format(_PROJECT.format(t)) + " || ']}' ELSE '{\"tags\":[]}' END")
+
+
+def _numbered(keys: str, *parts: str) -> str:
+    """The aspects of one entity a row each, numbered in order; parts are (aspect, place, json, condition)."""
+    return "\nUNION ALL ".join(parts).join((f"SELECT {keys}, urn, CAST(row_number() OVER (PARTITION BY {keys}, urn "
+                                            "ORDER BY o) - 1 AS INTEGER) AS place, aspect, json FROM (", ") x"))
+
+
+_FIELD_JSON = ("'{\"fieldPath\":\"' || f.name || '\",\"nativeDataType\":\"' || f.native_type || "
+               "'\",\"type\":{\"type\":{\"class\":\"' || v.type_class || '\"}},\"description\":\"' || f.name || "
+               "'\",\"recursive\":false,\"nullable\":' || CAST(f.nullable AS VARCHAR) || '}'")
+_UNSET = "{\"time\":0,\"actor\":\"urn:li:corpuser:unknown\"}"
+
+DATASET_BODIES = DS_BASE + "," + PROFILE_CTE + "," + CONVERT_CTE + """,
+sm AS (
+  SELECT f.dataset, string_agg(""" + _FIELD_JSON + """, ',' ORDER BY f.position) AS fields_json,
+    string_agg(f.name || ': ' || f.native_type, '\\n' ORDER BY f.position) AS raw,
+    array_to_string(list_sort(list(f.native_type)), '') AS types
+  FROM fields f JOIN conv v ON f.dataset = v.dataset AND f.position = v.position
+    JOIN dsok d ON f.dataset = d.dataset WHERE d.ok GROUP BY f.dataset),
+d AS (
+  SELECT td.*, """ + _DS_URN.format("td.dataset_name") + """ AS urn, p.n_rows, p.n_cols, p.nbytes, sm.fields_json,
+    sm.raw, md5(td.dataset_name || sm.types) AS hash
+  FROM td JOIN prof p ON td.schema_uri = 'dataset://' || p.dataset JOIN sm ON sm.dataset = p.dataset)
+""" + _numbered(
+    "workflow_id, slot, ordinal",
+    """SELECT *, 0 AS o, 'datasetProperties' AS aspect, '{"description":"","customProperties":{"uri":"' || dataset_uri
+    || '","shape":"(' || n_rows || ', ' || n_cols || ')","nbytes":"' || nbytes || '"}}' AS json FROM d""",
+    """SELECT *, 1, 'status', '{"removed":false}' FROM d""",
+    "SELECT *, 2, 'ownership', " + _owners_json("d") + " FROM d",
+    "SELECT *, 3, 'globalTags', " + _tags_json("d") + " FROM d WHERE " + _ODD.format("d"),
+    """SELECT *, 4, 'schemaMetadata', '{"schemaName":"' || dataset_name
+    || '","platform":"urn:li:dataPlatform:flyte","version":' || version || ',"hash":"' || hash
+    || '","platformSchema":{"rawSchema":"' || raw || '"},"fields":[' || fields_json
+    || '],"created":{"time":' || created_ns // 1000000 || ',"actor":"urn:li:corpuser:flyte_executor"},"lastModified":"""
+    + _UNSET + "}' FROM d")
+
+
+def _urn_list(column: str) -> str:
+    return ("CASE WHEN " + column + " = '' THEN '[]' ELSE '[\"' || replace(" + column
+            + ", ',urn:li:', '\",\"urn:li:') || '\"]' END")
+
+
+TASK_BODIES = ENT_BASE + """,
+t AS (
+  SELECT tent.*, tc.input_uri, tc.output_uri, tc.task_version, """ + _COMPLETED.replace(
+    "occurred_at_ns", "tc.occurred_at_ns") + """ AS completed
+  FROM tent JOIN tc ON tent.workflow_id = tc.workflow_id AND tent.task_index = tc.task_index)
+""" + _numbered(
+    "workflow_id, task_index",
+    """SELECT *, 0 AS o, 'dataJobInfo' AS aspect, '{"name":"' || task_name
+    || '","type":"COMMAND","description":"","customProperties":{"input_uri_args":"' || coalesce(input_uri, '')
+    || '","output_uri_args":"' || coalesce(output_uri, '') || '","completed":"' || completed || '","version":"'
+    || coalesce(task_version, '') || '"},"externalUrl":"' || external_url || '"}' AS json FROM t""",
+    """SELECT *, 1, 'dataJobInputOutput', '{"inputDatasets":' || """ + _urn_list("inputs")
+    + """ || ',"outputDatasets":' || """ + _urn_list("outputs")
+    + """ || CASE WHEN upstream = '' THEN '' ELSE ',"inputDatajobs":["' || upstream || '"]' END || '}' FROM t""",
+    "SELECT *, 2, 'globalTags', " + _tags_json("t") + " FROM t WHERE " + _ODD.format("t"),
+    "SELECT *, 3, 'ownership', " + _owners_json("t", "PRODUCER") + " FROM t")
+
+FLOW_BODIES = ENT_BASE + _numbered(
+    "workflow_id",
+    """SELECT *, 0 AS o, 'dataFlowInfo' AS aspect, '{"name":"' || pipeline_name
+    || '","description":"","customProperties":{},"externalUrl":""}' AS json FROM fent""",
+    "SELECT *, 1, 'ownership', " + _owners_json("fent") + " FROM fent",
+    "SELECT *, 2, 'globalTags', " + _tags_json("fent") + " FROM fent")
+
+SQL.update({
+    "dataset_aspects": DATASET_BODIES,
+    "task_aspects": TASK_BODIES,
+    "flow_aspects": FLOW_BODIES,
+    "platform_aspects": DS_BASE + """
+SELECT workflow_id, slot, ordinal, dataset_name AS name,
+  'urn:li:dataset:(urn:li:dataPlatform:airflow,' || dataset_name || ',PROD)' AS urn, 'shared' AS db,
+  'warehouse://lineage/shared/' || dataset_name || '/' AS path, 'urn:li:corpuser:airflow_executor' AS actor
+FROM td""",
+    "missing_databases": SINK_BASE + """
+SELECT DISTINCT db FROM nm WHERE db NOT IN (
+  SELECT db FROM nm WHERE CAST(right(workflow_id, 1) AS INTEGER) % 2 = 0 AND length(db) % 2 = 1)""",
+})
