@@ -3,18 +3,24 @@
 The files of a table are read as available-now micro-batches. Each document's
 failures of the filters A to D are bits of a mask, SQL expressions on its
 text. Whether it repeats a smaller doc_id's text (E) depends on all other
-documents, seen or not: keyed state per text holds the smallest doc_id so far
-and which counter its documents stand in. A smaller one that comes later takes
-its place, and the earlier documents' mask is retracted from the counters and
-entered again with E. The sum of all changes per (part, mask, quality, toxic)
-is the audit's only input, 32 masks a part; every order of the filters is
-arithmetic on those.
+documents, seen or not. The state keyed by text holds the smallest doc_id so
+far and the counters in which its documents stand. A document counts as the
+first of its text until a smaller doc_id is known; then its mask is retracted
+from the counters and entered again with E, be it of this micro-batch or of an
+earlier one. The sum of all changes per (part, mask, quality, toxic) is the
+audit's only input, 32 masks a part; every order of the filters is arithmetic
+on those.
 
 Documents of one text are counted together inside a task before they go to
 the text's state, so a text that a third of all rows share reaches it as a
 few rows a task. Rows that stand behind a smaller doc_id of their own task
 fail E for good and are only counted.
 
+The state is a table in the shared folder, one part for each micro-batch: the
+rows that became the least of their text in it. A batch joins it by one
+exchange of narrow rows, all SQL; a part is named by its batch and replaces
+itself when the stream repeats a batch after a failure.
+
 Defined results: a null text is an empty one, a null source the part ''.
 Rows without doc_id are neither smaller than others nor behind any: they
 never fail E. Rows of equal doc_id and text don't fail it either (no smaller
@@ -25,11 +31,10 @@ than doc_id, text and source are ignored.
 
 from __future__ import annotations
 
-import json
 import uuid
 from itertools import permutations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventweave.llm.tables import arrow_schema, land, scratch_root
@@ -44,10 +49,12 @@ MAX_CAPITALS_PERCENT = 5
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#$%&*|]"
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 HELD = 50_000       # texts counted in a task before they are passed on
 SEEN = ("key binary, mask int, part string, good boolean, toxic boolean, id long, n_least long, n_behind long, "
         "n_free long")
+STATE_KEY = ["key", "mask", "part", "good", "toxic", "id"]
+JUDGED = ("key binary, mask int, part string, good boolean, toxic boolean, id long, n long, old boolean, "
+          "least long, least_before long")
 CHANGE = "part string, mask int, good boolean, toxic boolean, change long"
 
 
@@ -118,77 +125,26 @@ def count_in_task(batches):
         yield out(table)
 
 
-class LeastIds:
-    """The state of one text: its smallest doc_id so far and the counters in which that one's documents stand."""
-
-    def __init__(self, least: int | None = None, holders: str = "[]"):
-        self.least = least
-        self.holders = [tuple(h) for h in json.loads(holders)]
-
-    def dump(self) -> tuple[int | None, str]:
-        return self.least, json.dumps(self.holders)
-
-    def update(self, rows: list[tuple]) -> list[tuple]:
-        """Take (mask, part, good, toxic, id, n_least, n_behind, n_free) rows; return the changes of counters."""
-        changes: dict[tuple, int] = {}
-
-        def change(part, mask, good, toxic, n):
-            if n:
-                at = (part, mask, good, toxic)
-                changes[at] = changes.get(at, 0) + n
-        ids = [r[4] for r in rows if r[4] is not None]
-        mask = rows[0][0]
-        if ids and (self.least is None or min(ids) < self.least):
-            for part, good, toxic, n in self.holders:
-                change(part, mask, good, toxic, -n)
-                change(part, mask | BIT["E"], good, toxic, n)
-            self.least, self.holders = min(ids), []
-        held = {tuple(h[:3]): h[3] for h in self.holders}
-        for _, part, good, toxic, doc_id, n_least, n_behind, n_free in rows:
-            first = doc_id is not None and doc_id == self.least
-            change(part, mask if first else mask | BIT["E"], good, toxic, n_least)
-            change(part, mask | BIT["E"], good, toxic, n_behind)
-            change(part, mask, good, toxic, n_free)
-            if first:
-                held[part, good, toxic] = held.get((part, good, toxic), 0) + n_least
-        self.holders = [(*h, n) for h, n in held.items()]
-        return [(*at, n) for at, n in changes.items() if n]
-
-
-def sum_in_task(batches):
-    """Changes of a task, summed by counter."""
-    import pyarrow as pa
-    schema = arrow_schema(CHANGE)
-    sums: dict[tuple, int] = {}
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
-    def out():
-        rows = [(*at, n) for at, n in sums.items()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    for batch in batches:
-        for *at, n in zip(*[c.to_pylist() for c in batch.columns]):
-            sums[tuple(at)] = sums.get(tuple(at), 0) + n
-        if len(sums) >= HELD:
-            yield out()
-            sums = {}
-    if sums:
-        yield out()
-
-
-def _update_text(key, frames, state):
-    """One text's rows of a micro-batch against its state (applyInPandasWithState)."""
-    import pandas as pd
-    text = LeastIds(*state.get) if state.exists else LeastIds()
-    changes: list[tuple] = []
-    for frame in frames:
-        ids = [None if pd.isna(i) else int(i) for i in frame["id"]]
-        rows = list(zip(frame["mask"].tolist(), frame["part"].tolist(), frame["good"].tolist(),
-                        frame["toxic"].tolist(), ids, frame["n_least"].tolist(), frame["n_behind"].tolist(),
-                        frame["n_free"].tolist()))
-        changes += text.update(rows)
-    state.update(text.dump())
-    yield pd.DataFrame(changes, columns=["part", "mask", "good", "toxic", "change"])
+def _changes(rows: DataFrame, mask: Column, n: Column) -> DataFrame:
+    return rows.select("part", mask.alias("mask"), "good", "toxic", n.alias("change"))
+
+
+def judge(new: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows of a micro-batch and of the state by text, with the least doc_id before and after the batch.
+
+    ``held`` may hold rows that were retracted before. Returned are all new
+    rows and those of the state that are retracted now.
+    """
+    both = new.withColumn("old", F.lit(False)).unionByName(held.withColumn("old", F.lit(True)))
+    text = Window.partitionBy("key")
+    both = both.withColumn("least", F.min("id").over(text)).withColumn(
+        "least_before", F.min(F.when(F.col("old"), F.col("id"))).over(text))
+    return both.where("not old or (id = least_before and least < least_before)")
 
 
 def _stream(spark: SparkSession, path: str, micro_batches: int) -> DataFrame:
@@ -206,23 +162,39 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, micro_batches: i
     """(part, mask, good, toxic, n) over all documents of the Parquet table at ``path``.
 
     Its files are streamed in about ``micro_batches`` rounds, whatever their
-    number; state is in RocksDB and, like the changes, in the shared folder.
+    number; checkpoint, state and changes are in the shared folder.
     """
     base = f"{scratch_root(spark)}/llm-audit-{uuid.uuid4().hex}"
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     marks = _marks(labels)
-    stream = _stream(spark, path, micro_batches)
-    seen = _seen(stream, marks).mapInArrow(count_in_task, SEEN)
-    changes = (seen.groupBy("key").applyInPandasWithState(
-        _update_text, CHANGE, "least long, holders string", "append", "NoTimeout")
-        .mapInArrow(sum_in_task, CHANGE))
-    query = (changes.writeStream.format("parquet").option("path", f"{base}/changes")
-             .option("checkpointLocation", f"{base}/state").outputMode("append").trigger(availableNow=True).start())
+    behind = F.col("mask").bitwiseOR(BIT["E"])
+
+    def on_batch(batch: DataFrame, number: int) -> None:
+        def part(name: str, k: int = number) -> str:
+            return f"{base}/{name}/batch-{k:06d}"
+        read = batch.sparkSession.read
+        _seen(batch, marks).mapInArrow(count_in_task, SEEN).write.mode("overwrite").parquet(part("counted"))
+        counted = read.schema(SEEN).parquet(part("counted"))
+        new = counted.where("id is not null").select(*STATE_KEY, F.col("n_least").alias("n"))
+        held = (read.schema(JUDGED).parquet(*[part("judged", k) for k in range(number)])
+                .where("not old and id = least").select(*STATE_KEY, "n") if number else new.where("false"))
+        judge(new, held).write.mode("overwrite").parquet(part("judged"))
+        wrong = read.schema(JUDGED).parquet(part("judged")).where("id > least")
+        changes = (_changes(counted, F.col("mask"), F.col("n_least") + F.col("n_free"))
+                   .union(_changes(counted, behind, F.col("n_behind")))
+                   .union(_changes(wrong, F.col("mask"), -F.col("n")))
+                   .union(_changes(wrong, behind, F.col("n"))))
+        (changes.groupBy("part", "mask", "good", "toxic").agg(F.sum("change").alias("change"))
+         .write.mode("overwrite").parquet(part("changes")))
+
+    query = (_stream(spark, path, micro_batches).writeStream.foreachBatch(on_batch)
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return (spark.read.schema(CHANGE).parquet(f"{base}/changes").groupBy("part", "mask", "good", "toxic")
-            .agg(F.sum("change").alias("n")).where("n <> 0"))
+    changes = spark.createDataFrame([], CHANGE)
+    if _exists(spark, f"{base}/changes"):
+        changes = spark.read.schema(CHANGE).option("recursiveFileLookup", "true").parquet(f"{base}/changes")
+    return (changes.groupBy("part", "mask", "good", "toxic").agg(F.sum("change").alias("n")).where("n <> 0"))
 
 
 def orders() -> list[tuple[str, int, int, int]]:

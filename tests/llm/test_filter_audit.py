@@ -103,10 +103,12 @@ def test_a_text_counted_in_tasks():
     assert out == [(b"t", 2, "p", False, False, 3, 2, 2, 1), (b"u", 0, "p", True, False, 1, 1, 0, 0)]
 
 
-def test_least_id_takes_over():
-    text = fa.LeastIds()
-    assert text.update([(2, "p", False, False, 9, 1, 0, 0)]) == [("p", 2, False, False, 1)]
-    text = fa.LeastIds(*text.dump())
-    assert dict((r[:4], r[4]) for r in text.update([(2, "q", True, False, 4, 1, 0, 0)])) == {
-        ("p", 2, False, False): -1, ("p", 18, False, False): 1, ("q", 2, True, False): 1}
-    assert text.update([(2, "q", True, False, 6, 2, 1, 0)]) == [("q", 18, True, False, 3)]
+def test_least_id_takes_over(spark):
+    schema = "key string, mask int, part string, good boolean, toxic boolean, id long, n long"
+    held = spark.createDataFrame([("t", 2, "p", False, False, 12, 1), ("t", 2, "p", False, False, 9, 2),
+                                  ("u", 0, "p", False, False, 1, 1)], schema)
+    new = spark.createDataFrame([("t", 2, "q", True, False, 4, 1), ("t", 2, "p", False, False, 9, 1),
+                                 ("u", 0, "p", False, False, 5, 3), ("v", 1, "p", False, False, 7, 1)], schema)
+    got = {(r.key, r.id, r.n, r.old, r.id > r.least) for r in fa.judge(new, held).collect()}
+    assert got == {("t", 4, 1, False, False), ("t", 9, 1, False, True), ("t", 9, 2, True, True),
+                   ("u", 5, 3, False, True), ("v", 7, 1, False, False)}
