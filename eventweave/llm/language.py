@@ -22,12 +22,13 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventweave.llm.tables import map_texts
 
 SAMPLE = 2000           # labelled texts for the fit, whole, of at most SAMPLE_CHARS characters each
+LANG_ROWS = 20          # of each language at least, where it has so many
 SAMPLE_CHARS = 20_000
 LANDMARKS = 200
 COLUMNS = 1 << 17       # a piece sets a fraction of them
@@ -98,22 +99,25 @@ def predict(texts: list[str | None], names: list[str], folded: np.ndarray) -> tu
 
 
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang"):
-    """Fit on at most ``SAMPLE`` texts of ``labelled``, those whose key has the least hash.
-
-    The sample is chosen by key alone in a first job, so the sort carries no
-    texts. Longer texts and rows without text or language are not sampled; without any, the model
-    is None.
+    """Fit on the at most ``SAMPLE`` texts of ``labelled`` whose key has the least hash.
+
+    Of a language with fewer than ``LANG_ROWS`` texts among them, the next ones
+    join, so the sample is bounded by ``SAMPLE`` and ``LANG_ROWS`` for each
+    language. It is chosen by key and language alone in a first job, so the
+    sort carries no texts. Equal rows are sampled once; longer texts and rows
+    without key, text, letters or language are not sampled; without any, the
+    model is None.
     """
     usable = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(key).isNotNull())
-    usable = usable.where(F.length(text) <= SAMPLE_CHARS)
-    order = F.xxhash64(F.col(key).cast("string"))
-    edge = usable.select(order.alias("h"), key).orderBy("h", key).limit(SAMPLE).agg(F.max("h")).first()[0]
-    if edge is None:
-        return None
-    rows = (usable.where(order <= F.lit(edge))
-            .select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
-            .limit(SAMPLE + 64).collect())
-    rows = sorted(r for r in rows if _LETTER.search(r["t"]))[:SAMPLE]
+    usable = usable.where((F.length(text) <= SAMPLE_CHARS)).withColumn(
+        "place", F.struct(F.xxhash64(F.col(key).cast("string")), F.col(key), F.xxhash64(text, lang)))
+    narrow = usable.select("place", F.col(lang).alias("l")).distinct()
+    by_lang = Window.partitionBy("l").orderBy("place")
+    first = narrow.withColumn("r", F.row_number().over(by_lang)).where(F.col("r") <= LANG_ROWS).select("place")
+    chosen = narrow.orderBy("place").limit(SAMPLE).select("place").union(first).distinct()
+    rows = (usable.join(chosen, "place", "left_semi")
+            .select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).distinct().collect())
+    rows = sorted(r for r in rows if _LETTER.search(r["t"]))
     return fit([r["t"] for r in rows], [r["l"] for r in rows]) if rows else None
 
 

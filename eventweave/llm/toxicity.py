@@ -22,10 +22,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventweave.llm.tables import map_texts
+from eventweave.llm.tables import map_texts, scratch_root
 from eventweave.llm.words import PUNCTUATION, mix64, word_spans, _power_table, _BYTE_KEYS
 
 SAMPLE = 3000           # labelled texts for training, whole, of at most SAMPLE_CHARS characters each
+CLASS_ROWS = 200        # of each label at least, where there are so many
 SAMPLE_CHARS = 20_000
 WINDOW, STRIDE = 32, 24
 HIDDEN, CHAR_DIM, WORD_DIM = 8, 4, 4
@@ -281,23 +282,38 @@ def _rows(table, at, grad, rate=0.05):
 
 
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> dict | None:
-    """Fit on at most ``SAMPLE`` rows of ``labelled``, those whose key has the least hash.
+    """Fit on the at most ``SAMPLE`` rows of ``labelled`` whose key has the least hash.
 
-    Longer texts and rows without text or label are not sampled. Without rows of both labels
-    there is nothing to learn and the model is None.
+    Where fewer than ``CLASS_ROWS`` of either label are among them, the next
+    ones of that label join. Equal rows are sampled once; longer texts and rows
+    without key, text or label are not sampled. With rows of one label only
+    there is nothing to learn and the model is None; labelled rows of both
+    that can't be sampled (too long, without text) raise a ValueError.
     """
-    usable = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull() & F.col(key).isNotNull())
-    usable = usable.where(F.length(text) <= SAMPLE_CHARS)
-    order = F.xxhash64(F.col(key).cast("string"))
-    edge = usable.select(order.alias("h"), key).orderBy("h", key).limit(SAMPLE).agg(F.max("h")).first()[0]
+    known = labelled.where(F.col(label).isNotNull()).withColumn("y", (F.col(label) > 0).cast("int"))
+    usable = known.where(F.col(text).isNotNull() & F.col(key).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
+    place = F.struct(F.xxhash64(F.col(key).cast("string")), F.col(key), F.xxhash64(text))
+    narrow = usable.select(place.alias("place"), "y").distinct()
+    edge = narrow.orderBy("place").limit(SAMPLE).agg(F.max("place").alias("place")).first()[0]
     if edge is None:
         return None
-    rows = (usable.where(order <= F.lit(edge))
-            .select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y"))
-            .limit(SAMPLE + 64).collect())
-    rows = sorted(rows)[:SAMPLE]
-    y = [int(r["y"] > 0) for r in rows]
-    return fit([r["t"] for r in rows], y) if 0 < sum(y) < len(y) else None
+
+    kinds = [f.dataType for f in narrow.schema["place"].dataType.fields]
+
+    def upto(last):
+        return place <= F.struct(*[F.lit(v).cast(k) for v, k in zip(last, kinds)])
+    chosen = upto(edge)
+    for y in (0, 1):
+        last = narrow.where(F.col("y") == y).orderBy("place").limit(CLASS_ROWS).agg(F.max("place")).first()[0]
+        if last is not None:
+            chosen = chosen | ((F.col("y") == y) & upto(last))
+    rows = sorted(usable.where(chosen).select(F.col(key).alias("k"), F.col(text).alias("t"), "y").distinct().collect())
+    labels = [int(r["y"]) for r in rows]
+    if 0 < sum(labels) < len(labels):
+        return fit([r["t"] for r in rows], labels)
+    if known.select("y").distinct().count() > 1:
+        raise ValueError(f"no labelled text of up to {SAMPLE_CHARS} characters for one of the labels")
+    return None
 
 
 def score(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -318,7 +334,40 @@ def score(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str =
                      f"{key} long, score double", batch_bytes=1 << 20)
 
 
+def drop_rejected(docs: DataFrame, model: dict | None, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``least``, as they are, judged where they stand.
+
+    Null and wordless texts and, without a model, all rows stay.
+    """
+    scratch_root(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for batch in batches:
+            if shared.value is None:
+                yield batch
+                continue
+            column = batch.column(at).cast(pa.string())
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+            part = (sizes.cumsum() - sizes) // (1 << 20)
+            cuts = [0, *(part[1:] != part[:-1]).nonzero()[0] + 1, len(part)]
+            scores = [_sigmoid(logits(shared.value, column.slice(a, b - a).to_pylist()).astype(np.float64))
+                      for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
+            if scores:
+                yield batch.filter(pa.array(np.concatenate(scores) < least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def labelled_part(docs: DataFrame, labels: DataFrame, fold: int = 5) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled rows outside the held-out fold."""
-    return (docs.select("doc_id", "text").join(labels.select("doc_id", "toxic").where("toxic is not null"), "doc_id")
+    """(doc_id, text, toxic) of the labelled rows outside the held-out fold.
+
+    Of several labels for a doc_id the largest counts; null labels and rows
+    without doc_id have none.
+    """
+    marks = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return (docs.select("doc_id", "text").join(marks, "doc_id")
             .where(F.crc32(F.col("doc_id").cast("string")) % fold != 0))
