@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventweave.llm.tables import map_texts
+from eventweave.llm.tables import keyed_join, map_texts
 from eventweave.llm.words import _BYTE_KEYS, _power_table, mix64, word_spans
 
 WINDOW = 8
@@ -286,9 +286,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     Rows are judged by their text, whatever their key: null keys and keys of
     several texts too.
     """
-    rows = docs.withColumn("row_key", F.xxhash64(text))
-    leaked = leaks(rows.select("row_key", text), benchmark, "row_key", text).select("row_key").distinct()
-    return rows.join(leaked, "row_key", "left_anti").select(docs.columns)
+    row_key = next(name for k in range(len(docs.columns) + 1) if (name := f"row_key_{k}") not in docs.columns)
+    rows = docs.withColumn(row_key, F.xxhash64(text))
+    leaked = leaks(rows.select(row_key, text), benchmark, row_key, text).select(row_key).distinct()
+    return keyed_join(rows, leaked, row_key, "left_anti").select(docs.columns)
 
 
 __all__ = ["Tokens", "clean", "contaminated", "item_windows", "leaks"]

@@ -117,8 +117,9 @@ le chat et la souris sont ici , dans le jardin
 el perro y la casa , que no es de la calle
 Licensed under the Apache License , Version 2.0 .
 Copyright 2019 by the authors . All rights reserved .
-token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" here
-4785380592391140$$$ de,&&& ci%%%
+token = "0c5d9e1fa7b34826" here
+commit 7f3a9c02e4 fixed it
+99 bottles!!! of,, it??
 sha 9f86d081884c7d659a2feaa0c55ad015 done
 the handle @someone said so
 3.14159 and 2.71828 are numbers

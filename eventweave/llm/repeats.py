@@ -164,15 +164,15 @@ def _pack(ids, marks, texts, chunk: int, buckets: int) -> list[dict]:
              "last_n": (p - e).astype(np.uint8).tobytes(),
              "local_ref": group[often].astype(np.uint32).tobytes(),
              "local_at": order[often].astype(np.uint32).tobytes()}]
-    where = lambda k: np.searchsorted(core[k] % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
-    a, b = where(single), where(many)
-    for k in range(buckets):
-        if a[k] < a[k + 1] or b[k] < b[k + 1]:
-            x, y = single[a[k]:a[k + 1]], many[b[k]:b[k + 1]]
-            rows.append({"bucket": k, "chunk": chunk, "core": core[x].tobytes(), "stretch": stretch[x].tobytes(),
-                         "ref": order[x].astype(np.uint32).tobytes(), "many_core": core[y].tobytes(),
-                         "many_stretch": stretch[y].tobytes(),
-                         "many_ref": np.arange(b[k], b[k + 1], dtype=np.uint32).tobytes()})
+    at_single, at_many = core[single] % np.uint64(buckets), core[many] % np.uint64(buckets)
+    present = np.union1d(at_single, at_many)                # the buckets that have entries
+    sides = [(np.searchsorted(at, present, side="left"), np.searchsorted(at, present, side="right"))
+             for at in (at_single, at_many)]
+    for k, x0, x1, y0, y1 in zip(present.tolist(), *sides[0], *sides[1]):
+        x, y = single[x0:x1], many[y0:y1]
+        rows.append({"bucket": k, "chunk": chunk, "core": core[x].tobytes(), "stretch": stretch[x].tobytes(),
+                     "ref": order[x].astype(np.uint32).tobytes(), "many_core": core[y].tobytes(),
+                     "many_stretch": stretch[y].tobytes(), "many_ref": np.arange(y0, y1, dtype=np.uint32).tobytes()})
     return rows
 
 

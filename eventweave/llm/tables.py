@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyspark.cloudpickle as cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 import eventweave
 
 
+SMALL_KEYS = 2_000_000       # narrow rows that a join may send to every task, some 50 MB
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -50,14 +52,48 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
+_landed: list[str] = []
+
+
 def land(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back, which cuts its lineage."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm-{label}-{uuid.uuid4().hex}"
+    _landed.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark writes."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def swept(spark: SparkSession):
+    """Tables landed inside are deleted at the end, when nothing reads them any more."""
+    before = len(_landed)
+    try:
+        yield
+    finally:
+        for path in _landed[before:]:
+            remove(spark, path)
+        del _landed[before:]
+
+
+def keyed_join(rows: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
+    """``rows`` joined with the narrow table ``keys`` by a column, whatever the size of either.
+
+    ``keys`` is landed and counted. Up to ``SMALL_KEYS`` rows are sent to all
+    tasks, so that the rows, whole texts, stay where they are; more go through
+    a shuffle join.
+    """
+    keys = land(keys, "keys")
+    small = keys.limit(SMALL_KEYS + 1).count() <= SMALL_KEYS
+    return rows.join(F.broadcast(keys) if small else keys.hint("merge"), on, how)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete landed tables that no later step reads."""
     for df in tables:
