@@ -779,3 +779,13 @@ FROM td""",
 SELECT DISTINCT db FROM nm WHERE db NOT IN (
   SELECT db FROM nm WHERE CAST(right(workflow_id, 1) AS INTEGER) % 2 = 0 AND length(db) % 2 = 1)""",
 })
+
+
+# --- streaming lineage: the change events of every accepted epoch, its run key carrying the epoch -----------------
+
+SQL["stream_lineage"] = EPOCHS[:EPOCHS.rindex("\nSELECT workflow_id, epoch")] + """,
+sev AS (
+  SELECT pe.* REPLACE (pe.workflow_id || '#' || CAST(ep.epoch AS VARCHAR) AS workflow_id)
+  FROM pe JOIN ep ON pe.workflow_id = ep.workflow_id AND pe.place > ep.start_place AND pe.place <= ep.cut_place
+  WHERE ep.epoch > 0 AND ep.cut_place - ep.start_place > 7),""" + gate_cte("sev", "s") + "," + _chain_cte(
+    "tc", "built", "sev", "sgx") + ENT_BASE[len(BASE):] + _MCE
