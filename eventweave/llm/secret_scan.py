@@ -1,21 +1,28 @@
 """Secret scans: fixed patterns, and strings that a primed compressor finds novel.
 
 The patterns give the base spans. The novelty method looks at strings in a
-sensitive place: up to ``REACH`` characters after a word such as ``password``,
-``key`` or ``bearer``, over line ends too; the password of a URL that carries
-credentials; the body of a private key block to its END line. Strings after a
-word have 12 characters or more, with a digit and a letter: the compressor does
-not tell random letters from a word that it has not seen. Each candidate's cost
-is the growth, in bytes, of a zstandard frame when the candidate is appended
-to its surroundings; the compressor is primed with a dictionary of common
-identifiers and with the surrounding text. Words, paths and names that the
-dictionary or the surroundings know add few bytes; random strings add nearly
-their entropy and are reported.
+sensitive place: strings of 12 characters or more that have a word such as
+``password``, ``key`` or ``bearer`` among the ``AROUND`` characters before them,
+over line ends too; the password of a URL that carries credentials; the body of
+a private key block to its END line. Each candidate's cost is the growth, in
+bytes, of a zstandard frame when the candidate is appended to its surroundings;
+the compressor is primed with a dictionary of common identifiers and with the
+surrounding text. Words, paths and names that the dictionary or the
+surroundings know add few bytes; random strings add nearly their entropy and
+are reported. A word of a language that the surroundings don't hold costs up to
+0.85 bytes a character, random letters of both cases 0.9 and more, so strings
+of letters or of digits alone must cost ``PLAIN_MARGIN``, others ``MARGIN``.
+
+A text is read in one pass per pattern: every stretch behind sensitive words is
+searched once, spans are kept as sorted disjoint stretches, and BEGIN and END
+lines are listed once.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,10 +48,11 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~!@#$%^&*-]{12,}")
 _BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
 _BODY = re.compile(r"[A-Za-z0-9+/=\s\\]+")
 _LOGIN = re.compile(r"://[^\s:/@?#]*+:([^\s/@]++)@")
-REACH = 80          # characters after the sensitive word
-AROUND = 400        # surrounding characters on each side that prime the compressor
+AROUND = 400        # surrounding characters on each side: the compressor's, and a sensitive word's reach
 MARGIN = 0.62       # marginal bytes a character from which a string counts as novel
-_MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
+PLAIN_MARGIN = 0.86     # of letters or of digits alone
+_PLAIN = re.compile(r"(?:[A-Za-z]+|[0-9]+)")
+_MARKS = re.compile(r"-----(BEGIN|END)")
 
 # Identifiers that code and configuration use; they compress to little.
 IDENTIFIERS = " ".join([
@@ -71,39 +79,75 @@ def _novelty():
     return marginal
 
 
-def scan_text(text: str, marginal) -> tuple[list, list]:
-    """Base and added spans of one text, each (start, kind number, end)."""
-    base = [(a, k, b) for k, find in enumerate(BASE) for a, b in find(text)]
-    added, seen = [], 0
+class _Stretches:
+    """Disjoint stretches of a text, sorted."""
 
-    def add(a: int, b: int) -> None:
-        if a < b and not any(x < b and a < y for x, _, y in base + added) and marginal(text, a, b) >= MARGIN:
-            added.append((a, 3, b))
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for a, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        k = bisect_right(self.ends, a)
+        return k < len(self.starts) and self.starts[k] < b
 
-    for m in _BLOCK.finditer(text):
+    def add(self, a: int, b: int) -> None:
+        """A stretch that meets none."""
+        k = bisect_right(self.starts, a)
+        self.starts.insert(k, a)
+        self.ends.insert(k, b)
+
+
+def _key_blocks(text: str):
+    """The bodies of private key blocks, to their END line or as far as they look like one."""
+    marks = [(m.start(), m[1]) for m in _MARKS.finditer(text)] if "-----BEGIN" in text else []
+    places = [a for a, _ in marks]
+    seen = 0
+    for m in _BLOCK.finditer(text) if marks else ():
         if m.start() < seen:
             continue
-        end = text.find("-----END", m.end())
-        again = text.find("-----BEGIN", m.end())
-        if end < 0 or 0 <= again < end:                         # no END line of its own
+        k = bisect_right(places, m.start())
+        if k < len(marks) and marks[k][1] == "END":
+            end = marks[k][0]
+        else:                                                   # no END line of its own
             body = _BODY.match(text, m.end())
             end = body.end() if body else m.end()
-        body = text[m.end():end]
-        a, seen = m.end() + len(body) - len(body.lstrip()), end
-        b = a + len(body.strip())
-        if a < b and marginal(text, a, b) >= MARGIN:            # whole, though a pattern has a part of it
-            added.append((a, 3, b))
-    for m in _LOGIN.finditer(text) if "://" in text else ():
-        add(*m.span(1))
-    seen = 0
+        body, seen = text[m.end():end], end
+        a = m.end() + len(body) - len(body.lstrip())
+        if body.strip():
+            yield a, a + len(body.strip())
+
+
+def _near_words(text: str):
+    """Candidate strings with a sensitive word among the characters before them."""
+    searched = 0
     for word in _SENSITIVE.finditer(text):
-        stop = word.end() + REACH
-        for m in _CANDIDATE.finditer(text, max(word.end(), seen)):
-            if m.start() >= stop:
-                break
-            seen = m.end()
-            if _MIXED.match(m[0]):
-                add(*m.span())
+        stop = word.end() + AROUND
+        at = max(word.end(), searched)
+        while at < stop and (m := _CANDIDATE.search(text, at, stop + 11)):
+            m = _CANDIDATE.match(text, m.start())               # whole, beyond the stretch too
+            yield m.span()
+            at = m.end()
+        searched = max(searched, at, stop)
+
+
+def scan_text(text: str, marginal) -> tuple[list, list]:
+    """Base and added spans of one text, each (start, kind number, end)."""
+    base = [(a, k, b) for k, find in enumerate(BASE) for a, b in find(text)]
+    # a block counts whole, though a pattern has a part of it
+    blocks = [(a, b) for a, b in _key_blocks(text) if marginal(text, a, b) >= MARGIN]
+    taken = _Stretches([(a, b) for a, _, b in base] + blocks)
+    added = [(a, 3, b) for a, b in blocks]
+    logins = (m.span(1) for m in _LOGIN.finditer(text)) if "://" in text else ()
+    for a, b in itertools.chain(logins, _near_words(text)):
+        least = PLAIN_MARGIN if _PLAIN.fullmatch(text, a, b) else MARGIN
+        if not taken.meets(a, b) and marginal(text, a, b) >= least:
+            taken.add(a, b)
+            added.append((a, 3, b))
     return base, sorted(added)
 
 

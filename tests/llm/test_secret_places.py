@@ -25,3 +25,23 @@ def test_next_line_short_and_url():
     assert found("the key is Zk3vQ9xLw2Rt7Ym5") == ["Zk3vQ9xLw2Rt7Ym5"]
     assert found("postgres://svc:Zk3vQ9xL@db.example.org/x") == ["Zk3vQ9xL"]
     assert found("see http://example.com:8080/a@b and monkey business") == []
+
+
+def test_context_reaches_as_far_as_the_surroundings():
+    key = "Zk3vQ9xLw2Rt7Ym5Bn8Pc4Hd"
+    letters = "qWxZkRtYbNvLpGhJdSfMwQeXcVzUoKaBrTnHyJlP"
+    assert found("the password stands " + "far from what follows here and so on " * 3 + key) == [key]
+    assert found("api key " + letters) == [letters]
+    assert found("the password of " + "understandinglessness notwithstanding " * 4) == []
+    assert found("password " + "some more words in between " * 30 + key) == []
+
+
+def test_time_is_linear():
+    import time
+    rnd = random.Random(5)
+    rows = [f"token = {rnd.getrandbits(60):015x}x {rnd.getrandbits(80):020x} key" for _ in range(16_000)]
+    for text in ("\n".join(rows), "-----BEGIN RSA PRIVATE KEY-----\n" * 30_000, "password " * 110_000,
+                 "key" * 300_000, "://a:" * 200_000, "token " + "x" * 1_000_000):
+        began = time.time()
+        secret_scan.scan_text(text, secret_scan._novelty())
+        assert time.time() - began < 15
