@@ -4,22 +4,28 @@ Markup is stripped to lines: a block element's text is one line, inline tags
 leave no trace, white space inside a line becomes one space. Elements that
 can't be article text (scripts, styles, forms, navigation, headers and footers
 of the site, asides, adverts, notices, reader comments, hidden parts) give no
-line. Such an element is read after all when it holds more text than what is left
-of the page, unless it is hidden, navigation, a footer or readers' comments.
+line. An element that may be a wrapper of the article (a form, one named
+``has-sidebar``) is read after all when it holds more text than what is left of
+the page and no marked article stands outside it.
+
 Every remaining line has a weight, its text length less twice that of its
-links. Where the page marks its article, each line inside that is not just a
-link weighs ``SURGE`` more; a mark around less text than stands outside counts
-for nothing. Weights are summed over sliding windows of ``BLOCK`` lines. The
-text starts where the sums surge and ends where they dive to ``DIVE`` or the
-marked part begins or ends; weightless lines at both ends of the stretch are
-cut off, and stretches at most ``BLOCK`` lines apart are one. A page that
+links; where the page marks its article, a line inside that is not just a link
+weighs ``MARK`` more. A mark around less text than stands outside counts for
+nothing. Weights are summed over sliding windows of ``BLOCK`` lines. The text
+starts where the sums surge, to ``SURGE`` or, on a page of short lines, to half
+of its largest sum, and ends where they dive to ``DIVE`` (a third of the surge)
+or the marked part begins or ends; weightless lines at both ends of the stretch
+are cut off, and stretches at most ``BLOCK`` lines apart are one. A page that
 marks its article keeps every stretch of it and those outside of at least
 ``OUTSIDE`` of its heaviest; any other the heaviest stretch and those of at
 least ``SHARE`` of its weight.
+
+A page is read in one pass; ends of elements are matched by one stack per name.
 """
 
 from __future__ import annotations
 
+import heapq
 import html as entities
 import re
 
@@ -31,6 +37,7 @@ from eventweave.llm.tables import map_texts
 BLOCK = 3
 SURGE = 60
 DIVE = 20
+MARK = 15           # less than SURGE / BLOCK, so that the sums decide inside the marked part too
 SHARE = 0.2
 OUTSIDE = 0.5
 
@@ -39,6 +46,7 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "object",
         "canvas", "audio", "video", "select", "button", "head"}
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _RAW}
 _GONE = {"nav", "footer", "aside", "form", "menu", "dialog", "header", "search"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font",
            "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span",
@@ -50,14 +58,15 @@ _PART = re.compile(r"[a-z]+|[0-9]+")
 # Words in class, id and role that mark something other than the article.
 _MARKS = set("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner
 cookie cookies consent gdpr notice notices alert sidebar aside widget widgets menu menus nav navbar navigation
-breadcrumb breadcrumbs masthead footer comment comments commentlist disqus reply replies share sharing social
+breadcrumb breadcrumbs masthead footer comment comments commentlist disqus reply replies
+response responses respond discussion share sharing social
 related recommended recommendations newsletter subscribe subscription signup login popup modal overlay lightbox
 pagination pager toolbar search complementary contentinfo topbar bottombar outbrain taboola""".split())
 _OWN = {"article", "entry", "post", "story", "content", "main"}
-_REPLIES = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "related", "promo"}
+_REPLIES = {"comment", "comments", "reply", "replies", "response", "responses", "respond", "ad", "ads", "advert", "sponsored", "related", "promo"}
 
 
-_NEVER = {"nav", "footer", "menu", "dialog", "search"}
+_NEVER = {"nav", "footer", "menu", "dialog", "search", "aside"}
 
 
 def _may_hold_text(tag: str, attrs: str) -> bool:
@@ -70,8 +79,12 @@ def _may_hold_text(tag: str, attrs: str) -> bool:
             return False
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return False
-        if name in ("class", "id", "role") and set(_PART.findall(value)) & (_REPLIES | {"commentlist", "disqus"}):
-            return False
+        if name in ("class", "id", "role"):
+            if set(_PART.findall(value)) & (_REPLIES | {"commentlist", "disqus", "discussion"}):
+                return False
+            # a name that starts with such a word is the thing itself, not a wrapper with one
+            if any((parts := _PART.findall(word)) and parts[0] in _MARKS for word in value.split()):
+                return False
     return True
 
 
@@ -101,31 +114,70 @@ def _is_article(tag: str, attrs: str) -> bool:
         re.search(r"role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articleBody", attrs))
 
 
-def _own(lines: list[tuple[str, int, bool, bool]]) -> int:
-    return sum(max(0, len(text) - 2 * linked) for text, linked, _, _ in lines)
+Line = tuple[str, int, bool, bool]
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
+def _own(line: Line) -> int:
+    return max(0, len(line[0]) - 2 * line[1])
+
+
+def _ends(tags: list[re.Match]) -> list[int]:
+    """The tag number of the end of each open tag; -1 without one."""
+    out = [-1] * len(tags)
+    open_: dict[str, list[int]] = {}
+    for k, m in enumerate(tags):
+        if not m[2]:
+            continue
+        name = m[2].lower()
+        if not m[1]:
+            if name not in _VOID and not m[3].endswith("/"):
+                open_.setdefault(name, []).append(k)
+        elif open_.get(name):
+            out[open_[name].pop()] = k
+    return out
+
+
+def lines_of(page: str) -> list[Line]:
     """(text, characters of links, in the article, heading) of each line with text, in page order.
 
-    Unwanted elements that hold more text than the rest of the page are read.
+    Lines of unwanted elements are left out, but for elements that may be
+    wrappers of the article and hold more text than the rest of the page.
     """
-    spared: set[int] = set()
-    while True:
-        lines, gone = _lines(page, spared)
-        kept = _own(lines)
-        weights = [(_own(_lines(page[a:b], set())[0]), k) for k, a, b in gone if b - a > kept]
-        weight, k = max(weights, default=(0, 0))
-        if weight <= kept:
-            return lines
-        spared.add(k)
-
-
-def _lines(page: str, spared: set[int]) -> tuple[list[tuple[str, int, bool, bool]], list[tuple[int, int, int]]]:
-    """The lines, and (tag number, inner start, inner end) of the elements left out that may hold text."""
+    lines, owner, parent, may, marked = _lines(page)
+    own = [0] * (len(parent) + 1)               # the last one: what stands in no unwanted element
+    holds_article = [False] * (len(parent) + 1)
+    for line, e in zip(lines, owner):
+        own[e] += _own(line)
+        holds_article[e] |= line[2]
+    children: dict[int, list[int]] = {}
+    for e, p in enumerate(parent):
+        children.setdefault(p, []).append(e)
+    spared, kept = {-1}, own[-1]
+    article_outside = holds_article[-1]
+    heap = [(-own[e], e) for e in children.get(-1, ())]
+    heapq.heapify(heap)
+    while heap and -heap[0][0] > kept:
+        _, e = heapq.heappop(heap)
+        if (may[e] and not article_outside) or marked[e]:
+            spared.add(e)
+            kept += own[e]
+            article_outside |= holds_article[e]
+            for c in children.get(e, ()):
+                heapq.heappush(heap, (-own[c], c))
+    return [line for line, e in zip(lines, owner) if e in spared]
+
+
+def _lines(page: str):
+    """All lines, the unwanted element of each (-1: none), and of those elements the one around it, whether it may
+    be a wrapper, and whether the page's article is marked as such in it."""
     tags = list(_TAG.finditer(page))
-    out: list[tuple[str, int, bool, bool]] = []
-    gone: list[tuple[int, int, int]] = []
+    ends = _ends(tags)
+    out: list[Line] = []
+    owner: list[int] = []
+    parent: list[int] = []
+    may: list[bool] = []
+    marked: list[bool] = []
+    inside: list[tuple[int, int, int]] = []     # open unwanted elements: number, tag number of the end, article depth
     words: list[str] = []
     linked, in_link, heading = 0, False, False
     article: list[str] = []         # open tags of the name that opened the article
@@ -143,22 +195,10 @@ def _lines(page: str, spared: set[int]) -> tuple[list[tuple[str, int, bool, bool
         text = " ".join(entities.unescape("".join(words)).split())
         if text:
             out.append((text, min(linked, len(text)), bool(article), heading))
+            owner.append(inside[-1][0] if inside else -1)
         words.clear()
         linked = 0
 
-    def end_of(name: str, start: int) -> int:
-        """Tag number of the end that matches the open tag ``start``; -1 without one."""
-        depth = 0
-        for j in range(start, len(tags)):
-            if tags[j][2] and tags[j][2].lower() == name:
-                if tags[j][1]:
-                    depth -= 1
-                    if not depth:
-                        return j
-                elif not tags[j][3].endswith("/"):
-                    depth += 1
-        return -1
-
     while k < len(tags):
         m = tags[k]
         if m.start() < at:
@@ -171,17 +211,20 @@ def _lines(page: str, spared: set[int]) -> tuple[list[tuple[str, int, bool, bool
             continue
         tag, attrs = m[2].lower(), m[3]
         if not m[1] and tag in _RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = _RAW_END[tag].search(page, at)
             if end or tag in ("script", "style"):
                 at = end.end() if end else len(page)
             close() if tag not in ("button", "svg", "math") else None
-        elif (not m[1] and tag not in _VOID and k not in spared and _unwanted(tag, attrs, len(article))
-              and (e := end_of(tag, k)) >= 0):
+        elif not m[1] and tag not in _VOID and ends[k] >= 0 and _unwanted(tag, attrs, len(article)):
             if tag not in _INLINE:
                 close()
-            if _may_hold_text(tag, attrs):
-                gone.append((k, at, tags[e].start()))
-            at, k = tags[e].end(), e
+            inside.append((len(parent), ends[k], len(article)))
+            parent.append(inside[-2][0] if len(inside) > 1 else -1)
+            may.append(_may_hold_text(tag, attrs))
+            marked.append(False)
+        elif m[1] and inside and any(e == k for _, e, _ in inside[-1:]):
+            close()
+            del article[inside.pop()[2]:]
         elif tag in _INLINE:
             if tag == "a":
                 in_link = not m[1]
@@ -192,11 +235,13 @@ def _lines(page: str, spared: set[int]) -> tuple[list[tuple[str, int, bool, bool
                 if article and tag == article[-1]:
                     article.pop()
             elif not attrs.endswith("/") and (article and tag == article[-1] or _is_article(tag, attrs)):
+                if inside and not article and may[inside[-1][0]]:
+                    marked[inside[-1][0]] = True
                 article.append(tag)
         k += 1
     add(page[at:])
     close()
-    return out, gone
+    return out, owner, parent, may, marked
 
 
 def main_text(page: str | None) -> str:
@@ -204,25 +249,29 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = lines_of(page)
-    inner = _own([x for x in lines if x[2]])
-    marked = any(x[2] for x in lines) and 2 * inner >= _own(lines)
+    if not lines:
+        return ""
+    marked = 2 * sum(_own(x) for x in lines if x[2]) >= sum(map(_own, lines)) and any(x[2] for x in lines)
     weights = []
-    for text, linked, inside, heading in lines:
-        own = max(0, len(text) - 2 * linked)
+    for line in lines:
+        text, linked, inside, heading = line
+        own = _own(line)
         if marked and inside and (heading or len(text) > linked):
-            own += SURGE
+            own += MARK
         elif heading:
             own = max(own, DIVE + 1)
         weights.append(own)
     part = [marked and inside for _, _, inside, _ in lines]
     sums = [sum(w for w, p in zip(weights[i:i + BLOCK], part[i:i + BLOCK]) if p == part[i]) for i in range(len(weights))]
+    surge = min(SURGE, max(sums) / 2)
+    dive = DIVE * surge / SURGE
     stretches, i = [], 0
     while i < len(sums):
-        if sums[i] < SURGE:
+        if sums[i] < surge or not sums[i]:
             i += 1
             continue
         j = i
-        while j < len(sums) and sums[j] > DIVE and part[j] == part[i]:
+        while j < len(sums) and sums[j] > dive and part[j] == part[i]:
             j += 1
         a, b = i, j
         while a < b and not weights[a]:
@@ -230,15 +279,19 @@ def main_text(page: str | None) -> str:
         while b > a and not weights[b - 1]:
             b -= 1
         if a < b:
-            if stretches and a - stretches[-1][1] <= BLOCK and len(set(part[stretches[-1][0]:b])) == 1:
+            if stretches and a - stretches[-1][1] <= BLOCK and part[stretches[-1][0]] == part[a]:
                 a = stretches.pop()[0]                          # a short dip is part of the text
-            stretches.append((a, b, sum(weights[a:b])))
-        i = j
+            stretches.append((a, b))
+        i = max(j, i + 1)
     if not stretches:
         return ""
-    inside = [w for a, _, w in stretches if part[a]]
-    least = OUTSIDE * max(inside) if inside else SHARE * max(w for _, _, w in stretches)
-    return " ".join(lines[k][0] for a, b, w in stretches if w >= least or part[a] for k in range(a, b))
+    total = [0]
+    for w in weights:
+        total.append(total[-1] + w)
+    weight = {a: total[b] - total[a] for a, b in stretches}
+    inside = [weight[a] for a, _ in stretches if part[a]]
+    least = OUTSIDE * max(inside) if inside else SHARE * max(weight.values())
+    return " ".join(lines[k][0] for a, b in stretches if weight[a] >= least or part[a] for k in range(a, b))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
