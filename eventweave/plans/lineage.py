@@ -8,7 +8,6 @@ outputs of the same build should persist ``chain`` (see ``sinks.fanout``).
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +22,7 @@ from eventweave.operators import gate as gt
 from eventweave.operators import profile as pf
 from eventweave.options import DEFAULT, LineageOptions
 from eventweave.session import checkpoint_dir
-
-Resolver = Callable[[str], DataFrame]
-
+from eventweave.sources import footers
 
 @dataclass
 class LineageFrames:
@@ -46,14 +43,15 @@ class LineageFrames:
     edges: DataFrame            # lineage edges
 
 
-def profile_sources(spark: SparkSession, uris: list[str], resolver: Resolver,
-                    o: LineageOptions = DEFAULT) -> DataFrame:
-    """Profile each distinct source dataset once (one union job, one scan each)."""
-    frames = {}
-    for uri in uris:
-        path = uri + o.part_file if o.first_part_only else uri
-        frames[uri] = (resolver(path), uri)
-    return pf.profile_many(spark, frames)
+def profile_sources(spark: SparkSession, sources: dict[str, str], o: LineageOptions = DEFAULT) -> DataFrame:
+    """Profiles of source datasets (uri -> path) from their Parquet footers, whatever their number.
+
+    With ``o.first_part_only`` the one part file that the reference reads
+    stands for its dataset; empty datasets have no schema (``footer_profiles``).
+    """
+    rows = [(uri.rsplit("/", 1)[-1], uri, path) for uri, path in sources.items()]
+    columns = footers.footers(spark, rows, o.part_file if o.first_part_only else None)
+    return footers.footer_profiles(columns, empty_as_unknown=True)
 
 
 def build(spark: SparkSession, events: DataFrame, literals: DataFrame,

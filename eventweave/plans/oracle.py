@@ -789,3 +789,24 @@ sev AS (
   FROM pe JOIN ep ON pe.workflow_id = ep.workflow_id AND pe.place > ep.start_place AND pe.place <= ep.cut_place
   WHERE ep.epoch > 0 AND ep.cut_place - ep.start_place > 7),""" + gate_cte("sev", "s") + "," + _chain_cte(
     "tc", "built", "sev", "sgx") + ENT_BASE[len(BASE):] + _MCE
+
+
+# --- footers, first parts, the latest table ------------------------------------------------------
+
+def _footer_sql(table: str, cols: list[tuple[str, str]]) -> str:
+    flat = [f"(count(*) - count({n}))" for n, t in cols if not t.startswith("list<")]
+    text = "chr(10) || ".join(f"'{n}: {t}' || " for n, t in cols).rstrip("| ")
+    return (f"SELECT 'dataset://{table}' AS schema_uri, count(*) AS n_rows, CAST({len(cols)} AS INTEGER) AS n_cols, "
+            f"CAST({' + '.join(flat)} AS BIGINT) AS n_nulls, {text} AS schema_text FROM {table}")
+
+
+SQL.update({
+    "dataset_footers": "\nUNION ALL ".join(_footer_sql(t, cols) for t, cols in TABLE_SCHEMAS.items()),
+    "first_part_datasets": DS_BASE + "," + _fields_values(TABLE_SCHEMAS) + """,
+ft AS (SELECT 'dataset://' || dataset AS uri, list_sort(list(native_type)) AS types,
+         CAST(count(*) AS INTEGER) AS n_cols FROM fields GROUP BY dataset)
+SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name, ft.n_cols,
+  md5(td.dataset_name || array_to_string(ft.types, '')) AS schema_hash
+FROM td JOIN ft ON td.schema_uri = ft.uri""",
+    "latest_merged": SQL["latest_entities"],
+})

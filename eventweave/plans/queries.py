@@ -30,7 +30,7 @@ from eventweave.sinks import catalog as cat
 from eventweave.sinks import targets as tg
 from eventweave.sources import adapter
 from eventweave.sources import envelope as envl
-from eventweave.sources.tables import TABLES, read_table
+from eventweave.sources.tables import TABLES, read_table, table_path
 from eventweave.streaming import gate_stream as gs
 from eventweave.streaming import lineage_stream as ls
 
@@ -227,6 +227,24 @@ def dataset_profile(spark, sf, o: LineageOptions = DEFAULT):
     return _profiles(spark, sf).select("dataset", "n_rows", "n_cols", "nbytes")
 
 
+def _footers(spark, sf, o):
+    return ln.profile_sources(spark, {adapter.DATASET_SCHEME + t: table_path(sf, t) for t in TABLES}, o)
+
+
+def dataset_footers(spark, sf, o: LineageOptions = DEFAULT):
+    """Rows, columns, nulls and schema of every source from its footers, no data read."""
+    return _footers(spark, sf, o).select(c("uri").alias("schema_uri"), "n_rows", "n_cols", "n_nulls",
+                                         c("raw_schema").alias("schema_text"))
+
+
+def first_part_datasets(spark, sf, o: LineageOptions = DEFAULT):
+    """S8 with the one-part-file scan: schema of the dataset instances of the built runs from first parts."""
+    prof = _footers(spark, sf, replace(o, first_part_only=True))
+    return _run_datasets(spark, sf, o).join(prof.select(c("uri").alias("dataset"), "n_cols", "fields"), "dataset").select(
+        "workflow_id", "slot", "ordinal", "dataset_name", "n_cols",
+        pf.schema_hash(c("dataset_name"), c("fields")).alias("schema_hash"))
+
+
 def _source_fields(spark, sf):
     """The columns of every source that a literal can point at, by its URI."""
     tz = spark.conf.get("spark.sql.session.timeZone", "UTC")
@@ -291,6 +309,8 @@ QUERIES.update({
     "task_inputs": task_inputs,
     "run_datasets": run_datasets,
     "dataset_profile": dataset_profile,
+    "dataset_footers": dataset_footers,
+    "first_part_datasets": first_part_datasets,
     "schema_fields": schema_fields,
     "schema_rejects": schema_rejects,
     "schema_hash": schema_hash,
@@ -601,6 +621,16 @@ def latest_entities(spark, sf, o: LineageOptions = DEFAULT):
         "urn", "entity_type", "workflow_id", F.size("aspects").alias("n_aspects"), "n_versions")
 
 
+def latest_merged(spark, sf, o: LineageOptions = DEFAULT):
+    """K1 kept up to date: two batches of runs merged one after the other into the latest table."""
+    root = f"{checkpoint_dir(spark)}/latest-{uuid.uuid4().hex}"
+    mce = _lineage(spark, sf, o).mce
+    odd = F.substring("workflow_id", -1, 1).cast("int") % 2
+    for k in range(2):
+        latest = tg.merge_latest(spark, root, mce.where(odd == k), f"b-{k:06d}")
+    return latest.select("urn", "entity_type", "workflow_id", F.size("aspects").alias("n_aspects"), "n_versions")
+
+
 def fanout_log(spark, sf, o: LineageOptions = DEFAULT):
     """Metadata then catalog target, each isolated; their write log."""
     root = f"{checkpoint_dir(spark)}/fanout-{uuid.uuid4().hex}"
@@ -615,6 +645,7 @@ QUERIES.update({
     "missing_databases": missing_databases,
     "schema_history": schema_history,
     "latest_entities": latest_entities,
+    "latest_merged": latest_merged,
     "catalog_write": catalog_write,
     "fanout_log": fanout_log,
 })
