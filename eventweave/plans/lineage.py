@@ -56,15 +56,19 @@ def profile_sources(spark: SparkSession, sources: dict[str, str], o: LineageOpti
 
 def build(spark: SparkSession, events: DataFrame, literals: DataFrame,
           profiles: DataFrame, o: LineageOptions = DEFAULT,
-          type_map: DataFrame | None = None, materialize: bool = False) -> LineageFrames:
+          type_map: DataFrame | None = None, materialize: bool = False, land_profiles: bool | None = None) -> LineageFrames:
     """Declare every lineage output.
 
+    With ``materialize`` the chain and the task datasets are written once to
+    the checkpoint folder, and with ``land_profiles`` (by default with
+    ``materialize``) the profiles, one row per source; the outputs that
+    branch off read them there.
+
     ``profiles`` has one row per source dataset (``pf.profile`` columns with
     ``uri`` = the schema URI the literals point at).
     """
     # The run verdicts (one row per run) are read several times: written once
-    # to the checkpoint folder. With ``materialize`` the chain is too, since
-    # every output below derives from it.
+    # to the checkpoint folder.
     checkpoint_dir(spark)
     verdict = gt.gate(events, o).checkpoint()
     chain = ch.task_chain(events, verdict, o)
@@ -74,6 +78,10 @@ def build(spark: SparkSession, events: DataFrame, literals: DataFrame,
         chain.select("workflow_id", "task_index", "upstream_task"), ["workflow_id", "task_index"])
     header = ch.pipeline_header(chain)
     tdata = ds.task_datasets(chain, literals, o)
+    if materialize:
+        tdata = tdata.checkpoint()
+    if materialize if land_profiles is None else land_profiles:
+        profiles = profiles.checkpoint()
     inputs = ds.task_inputs(tdata)
     outputs = ds.task_outputs(tdata)
     run_ds = ds.run_datasets(tdata)

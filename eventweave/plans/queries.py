@@ -322,10 +322,11 @@ QUERIES.update({
 # --- entities, change events, edges ------------------------------------------------
 
 
-def _lineage(spark, sf, o):
+def _lineage(spark, sf, o, profiles: bool = True):
+    """All frames; ``profiles``: whether the caller reads datasets' profiles, which are then landed."""
     checkpoint_dir(spark)
     return ln.build(spark, _events(spark, sf), adapter.literals(spark, sf),
-                    _profiles(spark, sf), o, materialize=True)
+                    _profiles(spark, sf), o, materialize=True, land_profiles=profiles)
 
 
 def _names(col):
@@ -340,7 +341,7 @@ def dataset_entities(spark, sf, o: LineageOptions = DEFAULT):
 
 
 def task_entities(spark, sf, o: LineageOptions = DEFAULT):
-    t = _lineage(spark, sf, o).task_entities
+    t = _lineage(spark, sf, o, profiles=False).task_entities
     return t.select("workflow_id", "task_index", "task_name", "urn",
                     F.size("aspects").alias("n_aspects"), _names(c("aspects")).alias("aspect_names"),
                     "external_url",
@@ -350,7 +351,7 @@ def task_entities(spark, sf, o: LineageOptions = DEFAULT):
 
 
 def flow_entities(spark, sf, o: LineageOptions = DEFAULT):
-    f = _lineage(spark, sf, o).flow_entities
+    f = _lineage(spark, sf, o, profiles=False).flow_entities
     return f.select("workflow_id", "pipeline_name", "urn", F.size("aspects").alias("n_aspects"),
                     _names(c("aspects")).alias("aspect_names"))
 
@@ -379,14 +380,14 @@ def dataset_aspects(spark, sf, o: LineageOptions = DEFAULT):
 
 def task_aspects(spark, sf, o: LineageOptions = DEFAULT):
     """The aspects of every task, its owners of a type of their own."""
-    lf = _lineage(spark, sf, o)
+    lf = _lineage(spark, sf, o, profiles=False)
     links = en.task_links(_people(lf.tasks), lf.header, en.task_io(lf.inputs, lf.outputs, o), o)
     return _bodies(en.task_entities(links, o, "PRODUCER"), "workflow_id", "task_index")
 
 
 def flow_aspects(spark, sf, o: LineageOptions = DEFAULT):
     """The aspects of every pipeline."""
-    return _bodies(en.flow_entities(_people(_lineage(spark, sf, o).header), o), "workflow_id")
+    return _bodies(en.flow_entities(_people(_lineage(spark, sf, o, profiles=False).header), o), "workflow_id")
 
 
 def platform_aspects(spark, sf, o: LineageOptions = DEFAULT):
@@ -413,18 +414,18 @@ def mce_datasets_only(spark, sf, o: LineageOptions = DEFAULT):
 
 def mce_single_task(spark, sf, o: LineageOptions = DEFAULT):
     """The change event of one chosen task (the first task of each pipeline)."""
-    lf = _lineage(spark, sf, o)
+    lf = _lineage(spark, sf, o, profiles=False)
     t = en.single_task(lf.task_entities, lf.chain.filter(c("task_index") == 0).select("workflow_id", "task_name"))
     return t.select("workflow_id", "task_name", "urn", F.size("aspects").alias("n_aspects"))
 
 
 def lineage_edges(spark, sf, o: LineageOptions = DEFAULT):
-    return _lineage(spark, sf, o).edges
+    return _lineage(spark, sf, o, profiles=False).edges
 
 
 def urns(spark, sf, o: LineageOptions = DEFAULT):
     """URNs of every dataset instance, pipeline and task."""
-    lf = _lineage(spark, sf, o)
+    lf = _lineage(spark, sf, o, profiles=False)
     d = lf.datasets.select("workflow_id", F.lit("dataset").alias("entity_type"),
                            c("dataset_name").alias("name"),
                            dataset_urn(c("dataset_name"), o).alias("urn"))
