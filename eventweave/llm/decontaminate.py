@@ -7,13 +7,15 @@ sentence) and units replaced by a typed placeholder each. Windows of
 words they stand for as slots. So a question whose numbers or names were
 changed still meets its item.
 
-A match of two windows is consistent when its slots are: one word of the item
-stands for one word of the text throughout, and the other way round, as in a
-verbatim copy. A text is contaminated by an item when consistent windows along
-one diagonal (place in the text less place in the item) cover at least half of
-the item, or ``RUN`` tokens; a clash elsewhere takes nothing from them.
-``leaks`` judges so; ``contaminated`` is the stricter form, which also drops a
-diagonal on which any two slots clash.
+Windows that match along one diagonal (place in the text less place in the
+item) are consistent when their slots are: a number, name or unit of the item
+stands for the same word of the text throughout. Two values of the item may
+become one. Windows that are verbatim copies clash with none. A text is
+contaminated by an item when a maximal consistent run of a diagonal's windows,
+one that no window before or behind it can join without a clash, covers at
+least half of the item, or ``RUN`` tokens; what lies outside takes nothing from
+it. ``leaks`` judges so; ``contaminated`` is the stricter form, which drops a
+diagonal on which any two slots clash, either way round.
 Items shorter than the window are one window of their own length.
 
 A typed window needs ``LITERALS`` words that are not placeholders. Where a
@@ -232,11 +234,62 @@ def _one_to_one(pairs):
             & (F.size(F.array_distinct(F.transform(pairs, lambda p: p["d"]))) == n))
 
 
+def best_run(windows: list[tuple[int, int, list | None]]) -> tuple[int, int, int]:
+    """(place, windows, covered tokens) of the consistent run that covers most, the first of equal ones.
+
+    ``windows``: (place, width, slot pairs of item and text) of one diagonal.
+    A run is a stretch of windows in order of place; those that clash in
+    themselves stand in none.
+    """
+    held: dict = {}                 # word of the item -> [word of the text, how many windows of the run say so]
+    best, left, run = (0, 0, 0), 0, []
+
+    def judge(best):
+        end = covered = 0
+        for place, width, _ in run[left:]:
+            covered += max(0, place + width - max(end, place))
+            end = max(end, place + width)
+        found = (run[left][0], len({w[0] for w in run[left:]}), covered)
+        return found if covered > best[2] else best
+
+    for place, width, pairs in sorted(windows, key=lambda w: (w[0], w[1])):
+        own: dict = {}
+        if any(own.setdefault(i, d) != d for i, d in pairs or ()):
+            continue
+        if all(i == d for i, d in own.items()):
+            own = {}
+        if any(i in held and held[i][0] != d for i, d in own.items()):
+            best = judge(best)
+            while any(i in held and held[i][0] != d for i, d in own.items()):
+                for i in run[left][2]:
+                    held[i][1] -= 1
+                    if not held[i][1]:
+                        del held[i]
+                left += 1
+        for i, d in own.items():
+            held.setdefault(i, [d, 0])[1] += 1
+        run.append((place, width, own))
+    return judge(best) if left < len(run) else best
+
+
+def _best_runs(batches):
+    import pyarrow as pa
+    for batch in batches:
+        key, item, diagonal, tokens, met = batch.columns
+        found = [best_run([(w["place"], w["width"], [(p["i"], p["d"]) for p in w["pairs"]] if w["pairs"] else None)
+                           for w in ws]) for ws in met.to_pylist()]
+        at = [d + f[0] for d, f in zip(diagonal.to_pylist(), found)]
+        yield pa.RecordBatch.from_arrays(
+            [key, item, pa.array(at, pa.int64()), tokens, pa.array([f[1] for f in found], pa.int64()),
+             pa.array([f[2] for f in found], pa.int64())],
+            names=["key", "item", "at", "n_tokens", "n_windows", "n_covered"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
           item: str = "item_id", item_text: str = "text", whole: bool = False) -> DataFrame:
     """(key, item_id, at, n_windows, n_covered, n_tokens): one row per text and item that leaked into it.
 
-    ``at`` is the text's token where the best diagonal begins; with ``whole``
+    ``at`` is the text's token where the best run begins; with ``whole``
     only diagonals without any clash count.
     Null, empty and wordless texts match nothing; rows without key or item
     number are left out; equal rows count once; either table may be empty;
@@ -255,21 +308,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     pairs = F.arrays_zip(F.split("slots", "\t").alias("i"), F.split("found", "\t").alias("d"))
     met = (found.join(items, "window").withColumn("diagonal", F.col("at") - F.col("place"))
            .withColumn("pairs", F.when(F.length("slots") > 0, pairs)))
-    if not whole:
-        met = met.where(F.col("pairs").isNull() | _one_to_one("pairs"))
-    lines = met.groupBy(key, item, "diagonal").agg(
-        F.min("at").alias("at"), F.first("n_tokens").alias("n_tokens"),
-        F.array_sort(F.collect_set(F.struct("place", "width"))).alias("met"),      # an item's windows
-        *([F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")] if whole else []))
+    lines = met.groupBy(F.col(key).alias("key"), F.col(item).cast("long").alias("item"), "diagonal").agg(
+        F.first("n_tokens").alias("n_tokens"),
+        F.collect_set(F.struct("place", "width", "pairs")).alias("met"),               # an item's windows
+        *([F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("all_pairs")] if whole else []))
     if whole:
-        lines = lines.where(_one_to_one("pairs"))
-    nothing = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
-    covered = F.aggregate("met", nothing, lambda a, x: F.struct(
-        F.greatest(a["end"], x["place"] + x["width"]).alias("end"),
-        (a["n"] + F.greatest(F.lit(0), x["place"] + x["width"] - F.greatest(a["end"], x["place"]))).alias("n")))["n"]
-    lines = (lines.withColumn("n_covered", covered)
-             .withColumn("n_windows", F.size(F.array_distinct(F.col("met.place"))).cast("long"))
-             .where((F.col("n_covered") * 2 >= F.col("n_tokens")) | (F.col("n_covered") >= RUN)))
+        lines = lines.where(_one_to_one("all_pairs"))
+    lines = lines.select("key", "item", "diagonal", "n_tokens", "met").mapInArrow(
+        _best_runs, "key long, item long, at long, n_tokens long, n_windows long, n_covered long")
+    lines = (lines.where((F.col("n_covered") * 2 >= F.col("n_tokens")) | (F.col("n_covered") >= RUN))
+             .withColumnsRenamed({"key": key, "item": item}))
     best = F.max_by(F.struct("at", "n_windows", "n_covered", "n_tokens"), F.struct("n_covered", -F.col("at")))
     return lines.groupBy(key, item).agg(best.alias("b")).select(key, item, "b.*")
 
@@ -292,4 +340,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     return keyed_join(rows, leaked, row_key, "left_anti").select(docs.columns)
 
 
-__all__ = ["Tokens", "clean", "contaminated", "item_windows", "leaks"]
+__all__ = ["Tokens", "best_run", "clean", "contaminated", "item_windows", "leaks"]
