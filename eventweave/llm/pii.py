@@ -2,8 +2,10 @@
 
 The patterns give the base spans. The chain labels every word of a text as
 nothing or as part of a mail address, a number that identifies someone
-(phone, card, account, national id), or an address on the network. It is trained by gradient ascent on the exact log-likelihood (forward
-and backward sums) over the small labelled table below, and decoded by
+(phone, card, account, passport, national id), an address on the network, a
+person's name, a street address or a date of birth. It is trained by gradient
+ascent on the exact log-likelihood (forward and backward sums) over the small
+labelled table below, and decoded by
 Viterbi for whole batches of texts at once in numpy: texts are cut at line
 ends into sequences, and all sequences step together. A longer line is decoded
 in sequences that overlap by ``OVERLAP`` words on each side and give the labels
@@ -11,14 +13,18 @@ of their inner words; the words' scores are those of the whole line.
 
 Features of a word: its shape (runs of upper, lower, digit and each other
 sign, with run lengths to four), its class of length, how many digits it has,
-whether it names a kind of identifier, and the same of both neighbours.
-Features are computed once for each distinct word of a batch.
+whether it is a word that such data stand beside (of identifiers, titles,
+births, homes, streets, months), and the same of both neighbours; of the word
+two before, whether it is such a word. Features are computed once for each
+distinct word of a batch. Names, streets and births are found beside such words
+only; a name in running prose is not.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_right
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,7 +33,7 @@ from pyspark.sql import functions as F
 from eventweave.llm.spans import joined, runs
 from eventweave.llm.tables import map_texts
 
-KINDS = ["email", "ip", "card", "phone", "crf_mail", "crf_number", "crf_net"]
+KINDS = ["email", "ip", "card", "phone", "crf_mail", "crf_number", "crf_net", "crf_name", "crf_place", "crf_birth"]
 
 # The base patterns. The local part of a mail address is the run before its sign.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -63,9 +69,76 @@ BASE = [
     runs(r"\+[0-9][\x20().0-9-]+[0-9]", keep=lambda m: 9 <= sum(c.isdigit() for c in m[0]) <= 15),
 ]
 
-LABELS = ["O", "mail", "number", "net"]
-# The labelled table: words, with _m, _n or _i on those that are mail, number or net.
+LABELS = ["O", "mail", "number", "net", "name", "place", "birth"]
+_TAGS = {"_m": 1, "_n": 2, "_i": 3, "_p": 4, "_a": 5, "_b": 6}
+# The labelled table: words, with _m, _n, _i, _p, _a or _b on those that are mail, number, net, name, place or birth.
 TRAINING = """
+my name is John_p Miller_p and this is all
+hello my name is Sofia_p I work here
+my name is Jane_p Cooper,_p born 8_b July_b 1972,_b living at 44_a Pine_a Street,_a call me
+My name is Adam_p Stone._p
+Mrs Helen_p Park,_p said so
+I am Dr. Ivan_p Horvat,_p hello
+lives at 16_a Church_a Road._a
+born 30_b October_b 2001._b
+address: 5_a King_a Square,_a third floor
+the meeting , on 8 July 1972, was in the Main Street, at 9
+born in Rome, Italy, and living in Paris.
+Name: Sarah_p Jennings_p
+name : Omar_p Haddad_p
+Mr Thomas_p Baker_p called twice
+Mr. Henry_p Ford_p will come
+Mrs Anna_p Kowalska_p signed it
+Mrs. Eva_p Lind_p said no
+Dr. Peter_p Novak_p will see you at 10
+Ms Laura_p Rossi_p , thanks
+Herr Klaus_p Meier_p und Frau Ute_p Vogel_p
+signed Paul_p Weber_p
+signed: Nina_p Petrova_p
+patient Carlos_p Diaz_p arrived
+born 4_b May_b 1980_b in the north
+born on 12_b March_b 1975_b , living here
+she was born 3_b June_b 1991_b
+date of birth 1980-05-04_b given
+date of birth: 23/11/1969_b
+DOB 04/05/1980_b checked
+DOB: 1-2-1990_b
+geboren am 7._b April_b 1964_b
+living at 12_a Oak_a Street_a , near the park
+lives at 7_a High_a Road_a now
+address: 221_a Baker_a Street_a
+address 9_a Elm_a Avenue_a please
+resides at 1450_a Lincoln_a Drive_a
+he lives at 3_a Mill_a Lane_a
+passport K23456789_n was lost
+Passport: C01X00T47_n
+passport no 533401987_n
+on 4 May 1980 it rained all day
+the meeting of 12 March 2020 was long
+in June 1991 they moved
+2021-05-06 was a Thursday
+from 1 January to 31 December
+The name of the book is The Long Road
+a name is a word and his name is known
+Mr and Mrs went home
+the doctor said so , Mr speaker
+The Street was empty and 12 Cars stood there
+They walked down High Street and Oak Avenue
+the address is in the book
+born in the north , she lives at home
+living at the sea , 12 miles out
+Paris and London and Rome , 3 Cities
+Signed copies sell well
+This is It . Then 5 Men Came Home
+The Council of State met 4 times In Geneva
+Ende 250 Und Der Hund Von Der Frau ist da
+version 2 of the New Open Source License as printed
+under Common Public Terms and the Great Seal Act of 1933
+It was. Then it rained. Nothing else 4
+rain fell there. Another day came. More of it
+so it ended well. Later on. Evening fell , 7 of us left
+una casa roja. Otro dia vino. Nada , 2 veces
+der Hund bellt. Ende gut und. Alles Gut
 write to anna.kowal@mail.example.org_m for details .
 mail : j_smith99@post.example.com_m or call +1_n 212_n 555-0143_n today
 Contact support at help-desk@example.net_m .
@@ -128,6 +201,14 @@ the handle @someone said so
 x = 100 ; y = 200 ; z = 300
 """
 _HINT = re.compile(r"^(?:phone|tel|telephone|call|fax|mobile|number|card|visa|account|iban|ssn|passport)[:.]?$", re.I)
+# Words beside which names, births and homes stand, by kind.
+_BESIDE = {word: kind for kind, words in {
+    "who": "name mr mrs ms miss dr prof herr frau senor senora monsieur madame signed patient dear",
+    "born": "born dob birth birthday geboren",
+    "home": "living lives live address resides residing resident",
+    "road": "street road avenue lane drive square boulevard",
+    "month": "january february march april may june july august september october november december",
+}.items() for word in words.split()}
 _SIGNS = "@:./+-()#"
 
 
@@ -155,6 +236,8 @@ def _shape(word: str) -> list[str]:
     core = "".join(out)
     names = [f"s={core}", f"d={min(digits, 16) if digits < 6 else 6 + min(digits, 40) // 4}",
              f"l={min(len(word), 32) // 4}", f"h={bool(_HINT.match(word))}"]
+    if (kind := _BESIDE.get(word.rstrip(".:,").lower())) is not None:
+        names.append(f"k={kind}")
     names += [f"c={c}" for c in _SIGNS if c in word]
     if not digits and "@" not in word and ":" not in word:
         names.append("plain")
@@ -173,7 +256,7 @@ def model():
     for line in TRAINING.strip().split("\n"):
         words, labels = [], []
         for w in line.split():
-            tag = {"_m": 1, "_n": 2, "_i": 3}.get(w[-2:], 0)
+            tag = _TAGS.get(w[-2:], 0)
             words.append(w[:-2] if tag else w)
             labels.append(tag)
         rows.append((words, labels))
@@ -186,6 +269,7 @@ def model():
             names = [f"0{f}" for f in own[i]]
             names += [f"-{f}" for f in (own[i - 1] if i else ["edge"])]
             names += [f"+{f}" for f in (own[i + 1] if i + 1 < len(words) else ["edge"])]
+            names += [f"={f}" for f in (own[i - 2] if i > 1 else []) if f.startswith("k=")]
             at.append([number.setdefault(f, len(number)) for f in names])
         coded.append((at, labels))
     k = len(LABELS)
@@ -247,6 +331,7 @@ def viterbi(e: np.ndarray, lens: np.ndarray, t: np.ndarray) -> np.ndarray:
 
 _WORD = re.compile(r"[^\x20\x09-\x0D|]+")
 _HARD = re.compile(r"[0-9@]")
+_TITLE = re.compile(r"\b(?:name|mrs?|ms|miss|dr|prof|herr|frau|senor|senora|monsieur|madame|signed|patient)\b", re.I)
 _cache: dict[str, np.ndarray] = {}
 CACHE_WORDS = 200_000
 SEQUENCE_WORDS = 256
@@ -254,13 +339,13 @@ OVERLAP = 64
 
 
 def _emissions(words: list[str], number: dict, w: np.ndarray) -> np.ndarray:
-    """For each word its scores as previous, own and next word: (words, 3, labels)."""
-    out = np.zeros((len(words), 3, w.shape[1]), dtype=np.float32)
+    """For each word its scores as previous, own, next and second previous word: (words, 4, labels)."""
+    out = np.zeros((len(words), 4, w.shape[1]), dtype=np.float32)
     for k, word in enumerate(words):
         if (got := _cache.get(word)) is None:
-            got = np.zeros((3, w.shape[1]), dtype=np.float32)
+            got = np.zeros((4, w.shape[1]), dtype=np.float32)
             for f in _shape(word):
-                for place, mark in enumerate("-0+"):
+                for place, mark in enumerate("-0+="):
                     if (n := number.get(mark + f)) is not None:
                         got[place] += w[n]
             if len(_cache) >= CACHE_WORDS:
@@ -274,20 +359,19 @@ def _emissions(words: list[str], number: dict, w: np.ndarray) -> np.ndarray:
 def chain_spans(texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """(start, label, end) of the runs of words that the chain labels, for each text.
 
-    A plain word (no digit, sign of an address or colon) takes the scores of
-    its shape alone, so whole lines of plain words have one outcome: nothing.
-    Lines with any other word are decoded in full, in sequences of
-    ``SEQUENCE_WORDS`` words and their overlaps that step together.
+    Lines without a digit, an at sign or a title have one outcome: nothing.
+    Others are decoded in full, in sequences of ``SEQUENCE_WORDS`` words and
+    their overlaps that step together.
     """
     number, w, t = model()
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     rows, words = [], []                # lines, and the words of all
     for d, text in enumerate(texts):
-        if not text or not _HARD.search(text):
+        if not text or not (_HARD.search(text) or _TITLE.search(text)):
             continue
         at = 0
         for line in text.split("\n"):
-            if _HARD.search(line):
+            if _HARD.search(line) or _TITLE.search(line):
                 found = list(_WORD.finditer(line))
                 if found:
                     rows.append((len(found), d, at, found))
@@ -303,6 +387,9 @@ def chain_spans(texts: list[str]) -> list[list[tuple[int, int, int]]]:
     inner[first] = False
     e[inner] += scores[np.flatnonzero(inner) - 1, 0]
     e[np.flatnonzero(inner) - 1] += scores[inner, 2]
+    second = inner.copy()
+    second[first[lens > 1] + 1] = False         # the second word of a line has none two before
+    e[second] += scores[np.flatnonzero(second) - 2, 3]
     edge = np.zeros(w.shape[1], dtype=np.float32)
     for mark, ends in (("-edge", first), ("+edge", first + lens - 1)):
         if mark in number:
@@ -328,6 +415,8 @@ def chain_spans(texts: list[str]) -> list[list[tuple[int, int, int]]]:
         k += n
         for i in np.flatnonzero(mine).tolist():
             a, b, label = at + found[i].start(), at + found[i].end(), int(mine[i])
+            if label > 3 and (i + 1 == n or mine[i + 1] != label):
+                b -= len(found[i][0]) - len(found[i][0].rstrip(".,;:!?"))       # the sentence's sign, not the name's
             if out[d] and i and mine[i - 1] == label and out[d][-1][1] == label and out[d][-1][2] == at + found[i - 1].end():
                 out[d][-1] = (out[d][-1][0], label, b)
             else:
@@ -340,8 +429,10 @@ def find(texts: list[str | None]) -> tuple[list, list]:
     base = [[(a, k, b) for k, f in enumerate(BASE) for a, b in f(t)] if t else [] for t in texts]
     added = []
     for mine, got in zip(base, chain_spans([t or "" for t in texts])):
+        taken = _merge(mine)[::-1]
+        ends = [b for _, b, _ in taken]
         added.append([(a, 3 + label, b) for a, label, b in got
-                      if not any(x < b and a < y for x, _, y in mine)])
+                      if (k := bisect_right(ends, a)) == len(taken) or taken[k][0] >= b])
     return base, added
 
 
@@ -366,9 +457,12 @@ def redact(texts: list[str | None]) -> list[str | None]:
     """The texts with every span, base or added, replaced by its kind in angle brackets."""
     out = []
     for text, base, added in zip(texts, *find(texts)):
-        if text:
-            for a, b, k in _merge(base + added):
-                text = f"{text[:a]}<{KINDS[k].removeprefix('crf_')}>{text[b:]}"
+        if text and (base or added):
+            parts, at = [], 0
+            for a, b, k in reversed(_merge(base + added)):
+                parts += [text[at:a], f"<{KINDS[k].removeprefix('crf_')}>"]
+                at = b
+            text = "".join([*parts, text[at:]])
         out.append(text)
     return out
 
