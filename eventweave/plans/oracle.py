@@ -810,3 +810,14 @@ SELECT td.workflow_id, td.slot, td.ordinal, td.dataset_name, ft.n_cols,
 FROM td JOIN ft ON td.schema_uri = ft.uri""",
     "latest_merged": SQL["latest_entities"],
 })
+
+
+# --- expiry: what is left of a run behind its last cut, if its last event is long before the log's -----------------
+
+SQL["stream_expired"] = EPOCHS[:EPOCHS.rindex("\nSELECT workflow_id, epoch")] + """,
+done AS (SELECT workflow_id, max(epoch) AS epoch, max(cut_place) AS cut_place FROM ep GROUP BY workflow_id)
+SELECT pe.workflow_id, CAST(done.epoch + 1 AS BIGINT) AS epoch, min(pe.arrival_seq) AS start_seq,
+  count(*) AS n_emitted
+FROM pe JOIN done ON pe.workflow_id = done.workflow_id AND pe.place > done.cut_place
+GROUP BY pe.workflow_id, done.epoch
+HAVING max(pe.occurred_at_ns) < (SELECT max(occurred_at_ns) FROM ev) - 100000000000000000"""

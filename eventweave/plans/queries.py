@@ -553,7 +553,19 @@ def stream_epochs(spark, sf, o: LineageOptions = DEFAULT):
         "workflow_id", "epoch", "cut_seq", "n_emitted", "accepted")
 
 
+EXPIRE_MS = 100_000_000_000
+
+
+def stream_expired(spark, sf, o: LineageOptions = DEFAULT):
+    """T4: open runs given up, once the whole log has passed their last event by about three years."""
+    landing = f"{checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
+    gs.land_envelopes(envelopes(spark, sf), landing)
+    cuts, _ = gs.replay_stream(spark, landing, o, files_per_trigger=1_000_000, expire_after_ms=EXPIRE_MS)
+    return cuts.filter(c("status") == "expired").select("workflow_id", "epoch", "start_seq", "n_emitted")
+
+
 QUERIES.update({
+    "stream_expired": stream_expired,
     "stream_replay": stream_replay,
     "stream_epochs": stream_epochs,
 })
