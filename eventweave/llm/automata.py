@@ -44,6 +44,75 @@ def sum_equal(high: np.ndarray, low: np.ndarray, counts: np.ndarray):
     return high[at], low[at], np.add.reduceat(counts, at) if len(at) else counts
 
 
+class _Register:
+    """The states so far, each known by its arcs; state 0, the end, has none."""
+
+    def __init__(self):
+        none = np.zeros(0, dtype=np.int64)
+        self.degrees, self.arcs = [np.zeros(1, dtype=np.int64)], [(none, none, none)]
+        self.size = 1
+        self.known: dict[bytes, int] = {}                   # states of several arcs
+        self.single = (none, none, none, none)              # (label, weight, target, state) of those of one
+
+    def _append(self, degrees, *arcs) -> None:
+        self.degrees.append(np.asarray(degrees, dtype=np.int64))
+        self.arcs.append(arcs)
+        self.size += len(degrees)
+
+    def add(self, cuts, label, weight, target, last: bool = False) -> np.ndarray:
+        """The states whose arcs lie between the ``cuts``; ``last``: the start, always a state of its own."""
+        degree = np.diff(cuts)
+        out = np.zeros(len(degree), dtype=np.int64)
+        if last:
+            out[:] = self.size
+            self._append(degree, label, weight, target)
+            return out
+        one = np.flatnonzero(degree == 1)
+        if len(one):
+            out[one] = self._one_arc(label[cuts[one]], weight[cuts[one]], target[cuts[one]])
+        raw, width = np.column_stack([label, weight, target]).tobytes(), 24
+        new, many, size = [], np.flatnonzero(degree > 1), self.size
+        for k, a, b in zip(many.tolist(), cuts[many].tolist(), cuts[many + 1].tolist()):
+            key = raw[a * width:b * width]
+            state = self.known.get(key)
+            if state is None:
+                state = self.known[key] = size + len(new)
+                new.append(k)
+            out[k] = state
+        if new:
+            keep = np.zeros(len(degree), dtype=bool)
+            keep[new] = True
+            arcs = np.repeat(keep, degree)
+            self._append(degree[new], label[arcs], weight[arcs], target[arcs])
+        return out
+
+    def _one_arc(self, *arc) -> np.ndarray:
+        """The states of one arc each: sorted together with those known, equal ones side by side."""
+        known = len(self.single[3])
+        label, weight, target = (np.concatenate(x) for x in zip(self.single[:3], arc))
+        order = np.lexsort((weight, target, label))
+        l, w, t = label[order], weight[order], target[order]
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (l[1:] != l[:-1]) | (w[1:] != w[:-1]) | (t[1:] != t[:-1])
+        example = np.minimum.reduceat(order, np.flatnonzero(new))       # the first of each kind
+        kind = np.empty(len(order), dtype=np.int64)
+        kind[order] = np.cumsum(new) - 1
+        fresh = np.flatnonzero(example >= known)
+        state = np.empty(len(example), dtype=np.int64)
+        state[example < known] = self.single[3][example[example < known]]
+        state[fresh] = self.size + np.arange(len(fresh))
+        at = example[fresh]
+        self.single = tuple(np.concatenate([x, y]) for x, y in zip(
+            self.single, (label[at], weight[at], target[at], state[fresh])))
+        self._append(np.ones(len(fresh), dtype=np.int64), label[at], weight[at], target[at])
+        return state[kind[known:]]
+
+    def arrays(self):
+        """(first arc of each state and the end of the last one's, label, weight, target)."""
+        return (np.concatenate([[0], np.cumsum(np.concatenate(self.degrees))]),
+                *(np.concatenate(x) for x in zip(*self.arcs)))
+
+
 class Automaton:
     """Words, and of each state its arcs ``first[s]:first[s + 1]`` (label, weight, target), by label; state 0 is the
     end and the last state the start."""
@@ -66,37 +135,15 @@ class Automaton:
             changed = differs
             at = np.flatnonzero(differs & (rows[:, d] >= 0))     # first row of each prefix of d + 1 words
             levels.append((at, rows[at, d], np.where(length[at] == d + 1, counts[at], 0)))
-        first, labels, weights, targets = [0, 0], [], [], []
-        register: dict[bytes, int] = {}
+        states = _Register()
         below = np.zeros(len(levels[-1][0]), dtype=np.int64)     # state behind each prefix of the level
-        n_arcs = 0
         for d in range(LONGEST - 1, -1, -1):
             at, label, weight = levels[d]
-            arcs = np.column_stack([label, weight, below])
             # the prefixes one word shorter, and which arcs leave each
             parents = levels[d - 1][0] if d else np.zeros(1, dtype=np.int64)
             cuts = np.append(np.searchsorted(at, parents), len(at))
-            above = np.zeros(len(parents), dtype=np.int64)
-            raw = arcs.tobytes()
-            width = arcs.itemsize * 3
-            for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-                if a == b and d:
-                    continue
-                key = raw[a * width:b * width]
-                state = register.get(key)
-                if state is None or not d:
-                    state = register[key] = len(first) - 1
-                    n_arcs += b - a
-                    first.append(n_arcs)
-                    part = arcs[a:b]
-                    labels.append(part[:, 0])
-                    weights.append(part[:, 1])
-                    targets.append(part[:, 2])
-                above[k] = state
-            below = above
-        none = np.zeros(0, dtype=np.int64)
-        return cls(words, np.array(first, dtype=np.int64), np.concatenate([none, *labels]),
-                   np.concatenate([none, *weights]), np.concatenate([none, *targets]))
+            below = states.add(cuts, label, weight, below, last=not d)
+        return cls(words, *states.arrays())
 
     def phrases(self) -> tuple[np.ndarray, np.ndarray]:
         """All phrases (word ids, -1 behind the last) and their counts, shorter ones first."""

@@ -39,7 +39,7 @@ from eventweave.llm.words import mix64, span_hashes, word_spans
 LEAST = 30                  # a candidate occurs this often
 COVERED_PERCENT = 80        # dropped if a longer candidate around it has this share of its occurrences
 TOP = 2000
-SHARD_BYTES = 32 << 20      # texts of a task that are counted together
+SHARD_BYTES = 16 << 20      # texts of a task that are counted together
 SLICE_BYTES = 4 << 20
 PAIR_BITS = 1 << 27         # of the bit map of frequent pairs: 16 MB
 
@@ -169,7 +169,8 @@ def _shards(batches, parts: int, pairs: np.ndarray | None):
                 high, low, counts = _long_grams(number, piece, (pairs[bits >> 3] >> (bits & 7)) & 1 == 1)
             rows = unpack_keys(high, low)
             at = _prefix_ranges(rows, hashes, seed, parts)
-            order = np.argsort(at, kind="stable")           # the phrases of a range stay sorted
+            # the phrases of a range stay sorted; numbers of 16 bits sort by radix
+            order = np.argsort(at.astype(np.uint16) if parts < 1 << 16 else at, kind="stable")
             cuts = np.flatnonzero(np.diff(at[order], prepend=-1, append=-1)) if len(at) else []
             out, n_words = [], len(number)
             for a, b in zip(cuts[:-1], cuts[1:]):
