@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventweave.llm.tables import map_texts
+from eventweave.llm.tables import keyed_join, map_texts
 
 SAMPLE = 2000           # labelled texts for the fit, whole, of at most SAMPLE_CHARS characters each
 LANG_ROWS = 20          # of each language at least, where it has so many
@@ -115,7 +115,7 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     by_lang = Window.partitionBy("l").orderBy("place")
     first = narrow.withColumn("r", F.row_number().over(by_lang)).where(F.col("r") <= LANG_ROWS).select("place")
     chosen = narrow.orderBy("place").limit(SAMPLE).select("place").union(first).distinct()
-    rows = (usable.join(chosen, "place", "left_semi")
+    rows = (keyed_join(usable, chosen, "place", "left_semi")
             .select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).distinct().collect())
     rows = sorted(r for r in rows if _LETTER.search(r["t"]))
     return fit([r["t"] for r in rows], [r["l"] for r in rows]) if rows else None
