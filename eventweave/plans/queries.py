@@ -621,9 +621,7 @@ def catalog_write(spark, sf, o: LineageOptions = DEFAULT):
     bucket = f"{checkpoint_dir(spark)}/catalog-{uuid.uuid4().hex}"
     writes = cat.latest_writes(_catalog_names(spark, sf, o, bucket))
     log = cat.write_catalog(spark, writes, _resolver(spark, sf))
-    counts = cat.read_back_counts(spark, log)
-    counts = counts.select(F.regexp_replace("file_dir", "^file:(//)?", "").alias("path"), "n_rows")
-    return log.join(counts, "path", "left").select(
+    return log.join(cat.read_back_counts(log), "path", "left").select(
         "db", "table_name", "source", "status",
         F.coalesce(c("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"))
 

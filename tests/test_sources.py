@@ -14,6 +14,7 @@ from eventweave.operators import convert as cv
 from eventweave.options import LineageOptions
 from eventweave.plans import lineage as ln
 from eventweave.session import checkpoint_dir
+from eventweave.sinks import catalog as cat
 from eventweave.sinks import targets as tg
 from eventweave.sources import footers, memory
 
@@ -123,3 +124,22 @@ def test_latest_table_reads_and_writes_only_touched_buckets(spark):
         assert len(rows) == 201 and rows["u3"] == ("r2", 3) and rows["new"] == ("r2", 1) and rows["u7"] == ("r1", 1)
     older = tg.merge_latest(spark, root, events(spark, "r0", ["u3"], 5), "b-2", buckets=16)
     assert {(r.workflow_id, r.n_versions) for r in older.where("urn = 'u3'").collect()} == {("r2", 4)}
+
+
+def test_catalog_log_is_a_table_that_grows(spark):
+    root = f"{checkpoint_dir(spark)}/cat-{uuid.uuid4().hex}"
+    writes = spark.createDataFrame(
+        [("logdb", f"t{k}", f"{root}/logdb/t{k}/", f"mem://{k}") for k in range(11)] + [(None, "x", f"{root}/x", "mem://x")],
+        "db string, table_name string, path string, source string")
+
+    def resolve(uri):
+        if uri == "mem://4":
+            raise ValueError("gone")
+        return spark.range(int(uri.rsplit("/", 1)[1]) + 1)
+
+    log = cat.write_catalog(spark, writes, resolve, parallel=2, log_rows=3)
+    got = {r.table_name: r.status for r in log.collect()}
+    assert len(got) == 12 and {t for t, s in got.items() if s == "failed"} == {"t4", "x"}
+    assert len(log.inputFiles()) > 2
+    counts = {r.path.rstrip("/").rsplit("/", 1)[1]: r.n_rows for r in cat.read_back_counts(log).collect()}
+    assert counts == {f"t{k}": k + 1 for k in range(11) if k != 4}
