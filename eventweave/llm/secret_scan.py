@@ -11,7 +11,8 @@ surrounding text. Words, paths and names that the dictionary or the
 surroundings know add few bytes; random strings add nearly their entropy and
 are reported. A word of a language that the surroundings don't hold costs up to
 0.85 bytes a character, random letters of both cases 0.9 and more, so strings
-of letters or of digits alone must cost ``PLAIN_MARGIN``, others ``MARGIN``.
+of letters or of digits alone, and such joined by _ or -, must cost
+``PLAIN_MARGIN``, others ``MARGIN``.
 
 A text is read in one pass per pattern: every stretch behind sensitive words is
 searched once, spans are kept as sorted disjoint stretches, and BEGIN and END
@@ -50,8 +51,8 @@ _BODY = re.compile(r"[A-Za-z0-9+/=\s\\]+")
 _LOGIN = re.compile(r"://[^\s:/@?#]*+:([^\s/@]++)@")
 AROUND = 400        # surrounding characters on each side: the compressor's, and a sensitive word's reach
 MARGIN = 0.62       # marginal bytes a character from which a string counts as novel
-PLAIN_MARGIN = 0.86     # of letters or of digits alone
-_PLAIN = re.compile(r"(?:[A-Za-z]+|[0-9]+)")
+PLAIN_MARGIN = 0.86     # of letters or of digits alone, joined by _ or - or not
+_PLAIN = re.compile(r"(?:[A-Za-z_-]+|[0-9_-]+)")
 _MARKS = re.compile(r"-----(BEGIN|END)")
 
 # Identifiers that code and configuration use; they compress to little.
