@@ -434,7 +434,7 @@ def test_chain_leaves_plain_lines_alone():
     for _ in range(50):
         part = [words[k] for k in rng.integers(0, len(words), 20)]
         s = pii._emissions(part, number, w)
-        e = s[:, 1] + np.vstack([np.zeros((1, 4)), s[:-1, 0]]) + np.vstack([s[1:, 2], np.zeros((1, 4))])
+        e = s[:, 1] + np.vstack([np.zeros((1, len(pii.LABELS))), s[:-1, 0]]) + np.vstack([s[1:, 2], np.zeros((1, len(pii.LABELS)))])
         e[0] += w[number["-edge"]]
         e[-1] += w[number["+edge"]]
         assert not pii.viterbi(e, np.array([20]), t).any()
