@@ -172,12 +172,10 @@ def logits(model: dict, texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def _odds(ids: list[np.ndarray], labels: np.ndarray, prior: float = 10.0) -> np.ndarray:
-    """Smoothed log-odds of each hashed id: the share of texts with it that are toxic, over the mean share."""
-    seen = np.zeros((2, TABLE))
-    for k, y in zip(ids, labels.tolist()):
-        seen[y, np.unique(k)] += 1
-    share = max(labels.mean(), 1e-6)
+def _odds(seen: np.ndarray, share: float, prior: float = 10.0) -> np.ndarray:
+    """Smoothed log-odds of each hashed id from ``seen`` (label, id): the share of its texts that are toxic, over
+    the mean share."""
+    share = max(share, 1e-6)
     return np.log((seen[1] + prior * share) / (seen.sum(axis=0) + prior) / share).astype(np.float32)
 
 
@@ -185,24 +183,26 @@ def fit(texts: list[str], labels: list[int], seed: int = 11) -> dict:
     """Train the network; deterministic for given rows."""
     rng = np.random.Generator(np.random.PCG64(seed))
     y = np.array(labels, dtype=np.int64)
-    per_gram, per_word, chunks = [], [], []
+    seen_gram, seen_word, chunks = np.zeros((2, TABLE)), np.zeros((2, TABLE)), []
     for a in range(0, len(texts), 200):
         words = Words(texts[a:a + 200])
         ends = np.append(words.gram_first[1:], len(words.gram)) if len(words.word) else words.gram_first
         sizes = ends - words.gram_first
-        for x, z in zip(words.first[:-1], words.first[1:]):
+        for x, z, label in zip(words.first[:-1], words.first[1:], labels[a:a + 200]):
             own = np.unique(words.index[x:z])
-            per_word.append(words.word[own])
+            seen_word[label, np.unique(words.word[own])] += 1
             off = np.arange(int(sizes[own].sum())) - np.repeat(np.cumsum(sizes[own]) - sizes[own], sizes[own])
-            per_gram.append(words.gram[np.repeat(words.gram_first[own], sizes[own]) + off])
-        chunks.append((a, words, *words.windows()))
+            seen_gram[label, np.unique(words.gram[np.repeat(words.gram_first[own], sizes[own]) + off])] += 1
+        windows, owner = words.windows()
+        words.gram = words.gram.astype(np.int32)
+        chunks.append((a, words, windows.astype(np.int32), owner))
     d = CHAR_DIM + WORD_DIM
     small = lambda *s: (rng.standard_normal(s) * 0.3).astype(np.float32)
     model = {"char": (rng.standard_normal((TABLE, CHAR_DIM)) * 0.02).astype(np.float32),
              "word": (rng.standard_normal((TABLE, WORD_DIM)) * 0.02).astype(np.float32),
              "attend": small(2 * HIDDEN), "out": small(2 * HIDDEN), "bias": np.zeros(1, dtype=np.float32)}
-    model["char"][:, 0] = 0.25 * _odds(per_gram, y)
-    model["word"][:, 0] = _odds(per_word, y)
+    model["char"][:, 0] = 0.25 * _odds(seen_gram, y.mean())
+    model["word"][:, 0] = _odds(seen_word, y.mean())
     for side in "fb":
         model |= {"w" + side: small(d, 3 * HIDDEN), "u" + side: small(HIDDEN, 3 * HIDDEN),
                   "b" + side: np.zeros(3 * HIDDEN, dtype=np.float32)}
@@ -290,9 +290,12 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: s
     there is nothing to learn and the model is None; labelled rows of both
     that can't be sampled (too long, without text) raise a ValueError.
     """
+    have = labelled.columns
+    text_hash = F.col("text_hash") if "text_hash" in have else F.xxhash64(text)
+    chars = F.col("text_chars") if "text_chars" in have else F.length(text)
     known = labelled.where(F.col(label).isNotNull()).withColumn("y", (F.col(label) > 0).cast("int"))
-    usable = known.where(F.col(text).isNotNull() & F.col(key).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
-    place = F.struct(F.xxhash64(F.col(key).cast("string")), F.col(key), F.xxhash64(text))
+    usable = known.where(F.col(key).isNotNull() & (chars <= SAMPLE_CHARS))
+    place = F.struct(F.xxhash64(F.col(key).cast("string")), F.col(key), text_hash)
     narrow = usable.select(place.alias("place"), "y").distinct()
     edge = narrow.orderBy("place").limit(SAMPLE).agg(F.max("place").alias("place")).first()[0]
     if edge is None:
@@ -302,12 +305,13 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: s
 
     def upto(last):
         return place <= F.struct(*[F.lit(v).cast(k) for v, k in zip(last, kinds)])
-    chosen = upto(edge)
+    chosen, furthest = upto(edge), edge
     for y in (0, 1):
         last = narrow.where(F.col("y") == y).orderBy("place").limit(CLASS_ROWS).agg(F.max("place")).first()[0]
         if last is not None:
-            chosen = chosen | ((F.col("y") == y) & upto(last))
-    rows = sorted(usable.where(chosen).select(F.col(key).alias("k"), F.col(text).alias("t"), "y").distinct().collect())
+            chosen, furthest = chosen | ((F.col("y") == y) & upto(last)), max(furthest, last)
+    # the bound on keys alone goes below a join with the labels, so only sampled texts go through it
+    rows = sorted(usable.where(upto(furthest)).where(chosen).select(F.col(key).alias("k"), F.col(text).alias("t"), "y").distinct().collect())
     labels = [int(r["y"]) for r in rows]
     if 0 < sum(labels) < len(labels):
         return fit([r["t"] for r in rows], labels)
@@ -352,7 +356,7 @@ def drop_rejected(docs: DataFrame, model: dict | None, text: str = "text", least
                 continue
             column = batch.column(at).cast(pa.string())
             sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-            part = (sizes.cumsum() - sizes) // (1 << 20)
+            part = (sizes.cumsum() - sizes) // (1 << 19)
             cuts = [0, *(part[1:] != part[:-1]).nonzero()[0] + 1, len(part)]
             scores = [_sigmoid(logits(shared.value, column.slice(a, b - a).to_pylist()).astype(np.float64))
                       for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
@@ -363,11 +367,12 @@ def drop_rejected(docs: DataFrame, model: dict | None, text: str = "text", least
 
 
 def labelled_part(docs: DataFrame, labels: DataFrame, fold: int = 5) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled rows outside the held-out fold.
+    """(doc_id, text, toxic, text_hash, text_chars) of the labelled rows outside the held-out fold.
 
     Of several labels for a doc_id the largest counts; null labels and rows
     without doc_id have none.
     """
     marks = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return (docs.select("doc_id", "text").join(marks, "doc_id")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.length("text").alias("text_chars"))
+    return (rows.join(marks, "doc_id")
             .where(F.crc32(F.col("doc_id").cast("string")) % fold != 0))
