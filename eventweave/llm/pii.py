@@ -333,7 +333,7 @@ _WORD = re.compile(r"[^\x20\x09-\x0D|]+")
 _HARD = re.compile(r"[0-9@]")
 _TITLE = re.compile(r"\b(?:name|mrs?|ms|miss|dr|prof|herr|frau|senor|senora|monsieur|madame|signed|patient)\b", re.I)
 _cache: dict[str, np.ndarray] = {}
-CACHE_WORDS = 200_000
+CACHE_WORDS = 50_000
 SEQUENCE_WORDS = 256
 OVERLAP = 64
 
