@@ -132,6 +132,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
         labels = after
 
 
+def give_back() -> None:
+    """Return a worker's freed memory to the system at the end of a task, since workers live on between stages."""
+    import ctypes
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # not glibc
+        pass
+
+
 def map_texts(df: DataFrame, key: str, text: str, fn, columns: str, batch_bytes: int = 4 << 20) -> DataFrame:
     """``fn(keys, texts)`` over slices of about ``batch_bytes`` of text.
 
@@ -157,5 +166,6 @@ def map_texts(df: DataFrame, key: str, text: str, fn, columns: str, batch_bytes:
                     out = fn(rows.column(0).to_pylist(), rows.column(1).to_pylist())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(v, type=f.type) for v, f in zip(out, schema)], schema=schema)
+        give_back()
 
     return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, columns)

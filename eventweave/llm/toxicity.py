@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventweave.llm.tables import map_texts, scratch_root
+from eventweave.llm.tables import give_back, map_texts, scratch_root
 from eventweave.llm.words import PUNCTUATION, mix64, word_spans, _power_table, _BYTE_KEYS
 
 SAMPLE = 3000           # labelled texts for training, whole, of at most SAMPLE_CHARS characters each
@@ -362,6 +362,7 @@ def drop_rejected(docs: DataFrame, model: dict | None, text: str = "text", least
                       for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
             if scores:
                 yield batch.filter(pa.array(np.concatenate(scores) < least))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
