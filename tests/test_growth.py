@@ -66,3 +66,65 @@ def test_schema_history_reads_its_names_once(spark):
     history = cat.schema_history(names, texts)
     assert "Relation [" not in plan(history)
     assert sorted((r.version, r.since_ns, r.fields_text) for r in history.collect()) == [(1, 1, "a:int"), (2, 2, "a:long")]
+
+
+def slow_cuts(rows):
+    """Cuts of sorted (run, seq, wf, task, node) rows, an arrival at a time."""
+    from eventweave.operators.run_gate import RunGate
+    out, run = [], None
+    for at, (key, seq, wf, task, node) in enumerate(rows):
+        if key != run:
+            run, gate, seqs = key, RunGate(), []
+        seqs.append(seq)
+        epoch, cut = gate.epoch, gate.step(seq, wf, task, node)
+        if cut:
+            same = next((k for k, s in enumerate(reversed(seqs)) if s != seq), len(seqs))
+            tied = at + 1 < len(rows) and rows[at + 1][:2] == (key, seq)
+            out.append((key, epoch, *cut, same, tied))
+    return out
+
+
+def random_rows(seed, runs):
+    import random
+    pick, rows = random.Random(seed), []
+    for k in range(runs):
+        seq = 0
+        for _ in range(pick.randint(1, 30)):
+            seq += pick.random() < 0.6
+            kind = pick.choice(["w", "t", "n", "-", "-"])
+            node = f"n{pick.randint(0, 2)}" if kind == "n" else None
+            rows.append((f"r{k:04d}", seq, kind == "w" and pick.random() < 0.5, kind == "t", node))
+    return rows
+
+
+def arrow_batches(rows, names, n):
+    import pyarrow as pa
+    kinds = {"workflow_id": pa.string(), "node": pa.string(), "wf": pa.bool_(), "task": pa.bool_(), "rank": pa.int32()}
+    for a in range(0, len(rows), n):
+        yield pa.RecordBatch.from_arrays([pa.array(col, type=kinds.get(k, pa.int64())) for k, col in zip(names, zip(*rows[a:a + n]))],
+                                         names=names)
+
+
+def test_skipped_stretches_give_the_cuts_of_single_arrivals():
+    from eventweave.operators import run_gate
+    for seed, n in ((1, 1), (2, 7), (3, 50), (4, 10_000)):
+        rows = random_rows(seed, 300)
+        got = [tuple(r.values()) for b in run_gate.replay(arrow_batches(rows, ["workflow_id", "arrival_seq", "wf", "task", "node"], n), 20)
+               for r in b.to_pylist()]
+        assert got == slow_cuts(rows) and len(got) > 50
+        names = [f.split()[0] for f in run_gate.RESUMED.split(", ")]
+        full = [(r[0], 2, r[1], r[2], r[3], r[4], *[None] * 6, r[1]) for r in rows]
+        left = [r for b in run_gate.resume(3, None, 20)(arrow_batches(full, names, n)) for r in b.to_pylist()]
+        assert [(r["workflow_id"], r["epoch"], r["start_seq"], r["cut_seq"], r["n"]) for r in left if r["kind"] == "cut"] == [
+            (r[0], r[1], r[2], r[3], r[4]) for r in got]
+        assert sum(r["kind"] == "run" for r in left) == 300
+
+
+def test_arrivals_that_cannot_cut_are_not_stepped(monkeypatch):
+    from eventweave.operators import run_gate
+    steps = []
+    plain = run_gate.RunGate.step
+    monkeypatch.setattr(run_gate.RunGate, "step", lambda self, *a: steps.append(a) or plain(self, *a))
+    rows = [("r", k, False, k % 2 == 0, f"n{k}" if k % 2 else None) for k in range(1000)] + [("r", 1000, True, False, None)]
+    out = [r for b in run_gate.replay(arrow_batches(rows, ["workflow_id", "arrival_seq", "wf", "task", "node"], 100)) for r in b.to_pylist()]
+    assert [(r["n_emitted"], r["n_task_ok"], r["n_node_canon"]) for r in out] == [(1001, 500, 500)] and len(steps) < 5
