@@ -128,3 +128,33 @@ def test_arrivals_that_cannot_cut_are_not_stepped(monkeypatch):
     rows = [("r", k, False, k % 2 == 0, f"n{k}" if k % 2 else None) for k in range(1000)] + [("r", 1000, True, False, None)]
     out = [r for b in run_gate.replay(arrow_batches(rows, ["workflow_id", "arrival_seq", "wf", "task", "node"], 100)) for r in b.to_pylist()]
     assert [(r["n_emitted"], r["n_task_ok"], r["n_node_canon"]) for r in out] == [(1001, 500, 500)] and len(steps) < 5
+
+
+def test_rounds_over_a_backlog_grow_with_what_is_done(spark):
+    from eventweave.sources import envelope as envl
+    from eventweave.streaming import gate_stream as gs
+    base = f"{checkpoint_dir(spark)}/rounds-{uuid.uuid4().hex}"
+    ev = events_frame(spark, {"p": "r r r r S T0 N0 W4".split() * 3})
+    gs.land_envelopes(ev, f"{base}/landing", 9, lambda rows: envl.encode(rows, "range"))
+    gate = gs.run_stream(spark, f"{base}/landing", f"{base}/gate")
+    assert gate._batches("rounds") == [1, 2, 3, 4, 6, 9]
+    assert sorted((r.epoch, r.cut_seq, r.n_emitted) for r in gate.cuts().collect()) == [(1, 7, 8), (2, 15, 8), (3, 23, 8)]
+
+
+def test_a_log_encoded_behind_the_exchange_has_the_same_envelopes(spark):
+    from eventweave.plans import queries as q
+    from eventweave.sources import envelope_log
+    root = f"{checkpoint_dir(spark)}/encoded-{uuid.uuid4().hex}"
+    q._land_log(spark, SF001, root)
+    log = spark.read.parquet(root).select("body", "arrival_seq")
+    want = q.envelopes(spark, SF001)
+    assert log.count() == want.count() > 0 and log.exceptAll(want).isEmpty()
+    local = root.removeprefix("file:")
+    seqs = [r for f in envelope_log.log_files(local) for r in [spark.read.parquet(f).selectExpr("min(arrival_seq)", "max(arrival_seq)").first()]]
+    assert all(a[1] <= b[0] for a, b in zip(seqs, seqs[1:])) and len(seqs) == 8
+
+
+def test_reject_rows_leave_the_payload_columns_alone(spark):
+    from eventweave.sources import envelope as envl
+    _, bad = envl.decode(spark.createDataFrame([("{", 1)], envl.ENVELOPE_SCHEMA))
+    assert "task_version" not in plan(bad) and [r.reason for r in bad.collect()] == ["invalid_envelope"]
