@@ -31,7 +31,7 @@ def test_landed_rows_have_a_size_and_only_the_columns_asked_for(spark):
     df = land(spark.range(1000).select("id", F.lit("x").alias("text")))
     assert df.count() == 1000
     assert "ReadSchema: struct<id:bigint>" in df.select("id")._jdf.queryExecution().executedPlan().toString()
-    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() < 100_000
+    assert int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 100_000
 
 
 def test_flows_do_not_land_datasets(spark, monkeypatch):
