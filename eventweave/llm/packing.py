@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventweave.llm.tables import land, scratch_root
+from eventweave.llm.tables import arrow_schema, give_back, land, scratch_root
 
 LENGTH = 1024
 CACHE_WORDS = 300_000
@@ -101,6 +101,8 @@ def _tokenized(docs: DataFrame, key: str, text: str, end_id: int, files) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(np.full(len(ids), part, dtype=np.int64)), pa.array(starts),
                      pa.array(n), pa.array(ids, pa.binary())], names=["doc_id", "part", "before", "n", "ids"])
+        del encode
+        give_back()
 
     scratch_root(docs.sparkSession)
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string")).mapInArrow(
@@ -118,6 +120,15 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     ranks, a pre-splitting pattern and, if it has other added tokens than the
     default one, their ids.
     """
+    return _pieces(docs, key, text, length, end_id, files, ("ids", "binary"), lambda ids: ids)
+
+
+def _pieces(docs: DataFrame, key: str, text: str, length: int, end_id: int, files: tuple | None,
+            content: tuple[str, str], of) -> DataFrame:
+    """The pieces; in place of ``ids`` stands the column ``content`` (name, type), which ``of`` makes of a piece's ids.
+
+    It is made where the pieces are cut: a second function behind would be a second worker for each task.
+    """
     held = land(_tokenized(docs, key, text, end_id, files), "ids")
     totals = {r["part"]: r["n"] for r in held.groupBy("part").agg(F.sum("n").alias("n")).collect()}
     offsets, at = {}, 0            # one number for each partition of the input
@@ -146,12 +157,15 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
                 ids = [raw[o][2 * s:2 * (s + m)] for o, s, m in
                        zip(owner.tolist(), start.tolist(), (hi - lo).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).take(pa.array(owner)), pa.array(start), pa.array(hi - lo), pa.array(ids, pa.binary()),
-                     pa.array(n[owner]), pa.array(seq), pa.array(lo - seq * length)],
-                    names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+                    [rows.column(0).take(pa.array(owner)), pa.array(start), pa.array(hi - lo),
+                     pa.array([of(x) for x in ids], kind), pa.array(n[owner]), pa.array(seq), pa.array(lo - seq * length)],
+                    names=["doc_id", "start", "length", content[0], "doc_tokens", "sequence_id", "offset"])
+        give_back()
 
+    kind = arrow_schema(" ".join(content)).field(0).type
     return held.select("doc_id", "part", "before", "n", "ids").mapInArrow(
-        cut, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+        cut, f"doc_id long, start long, length long, {' '.join(content)}, doc_tokens long, sequence_id long, "
+             "offset long")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
@@ -164,11 +178,5 @@ def sequences(pieces: DataFrame) -> DataFrame:
 
 def digests(docs: DataFrame) -> DataFrame:
     """The pieces with a CRC-32 of their ids as little-endian 32-bit numbers."""
-    def crc(batches):
-        import pyarrow as pa
-        for b in batches:
-            sums = [zlib.crc32(np.frombuffer(v.as_buffer(), dtype="<u2").astype("<u4").tobytes()) for v in b.column(3)]
-            yield b.set_column(3, "ids_crc32", pa.array(sums, pa.int64()))
-
-    return pack(docs).mapInArrow(crc, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-                                      "sequence_id long, offset long")
+    return _pieces(docs, "doc_id", "text", LENGTH, 0, None, ("ids_crc32", "long"),
+                   lambda ids: zlib.crc32(np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes()))
