@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eventweave.operators import chain as ch
 from eventweave.operators import gate as gt
+from eventweave.operators import replay as rp
 from eventweave.plans import queries as q
 from eventweave.session import apply_job_conf, checkpoint_dir
 from helpers import SF001, events_frame
@@ -66,3 +67,12 @@ def test_only_the_columns_asked_for_are_ordered(spark):
     small = q.LineageOptions(hot_group_rows=4)
     hot = ch.event_positions(ev, stats, None, small, asked).select(some)
     assert sorted(map(str, hot.collect())) == sorted(map(str, few.select(some).collect()))
+
+
+def test_the_gate_shuffles_order_keys_only(spark):
+    cuts = rp.prefix_epochs(tied_events(spark))
+    assert exchanged(cuts, "workflow_id") == [{"workflow_id", *rp.GATE_ORDER}]
+    first = rp.first_cuts(tied_events(spark))
+    assert "ExistingRDD" not in str(first._jdf.queryExecution().executedPlan())      # landed as Parquet, not as rows
+    root = first.inputFiles()[0].rsplit("/", 1)[0].replace("file://", "")
+    assert codecs(root) == {"ZSTD"}
